@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .packing import pack
 from .token_counts import count_tokens
 
 
@@ -16,6 +17,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
