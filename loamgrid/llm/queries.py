@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .line_dedup import line_report
 from .packing import pack
+from .quality_rules import judge
 from .token_counts import count_tokens
 
 
@@ -22,6 +23,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
