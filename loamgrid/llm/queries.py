@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .lang_id import language_report
 from .line_dedup import line_report
 from .packing import pack
 from .quality_rules import judge
@@ -19,6 +20,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
