@@ -12,6 +12,7 @@ from .line_dedup import line_report
 from .packing import pack
 from .quality_rules import judge
 from .token_counts import count_tokens
+from .toxicity import toxicity_report
 
 
 def tokenizer(name: str) -> str:
@@ -36,6 +37,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
