@@ -23,9 +23,10 @@ from .common import slices
 
 BUCKETS, SIZE, FILTERS, WIDTHS = 1 << 20, 8, 8, (1, 2, 3)
 TRAIN_ROWS, MOST_CHARS = 8000, 100_000
-EPOCHS, BATCH, RATE = 6, 32, 0.01
-#: Texts of the sample that a bucket must be in to have an embedding: rarer words would be learnt by heart.
-LEAST_TEXTS = 8
+STEPS, BATCH, RATE = 1200, 32, 0.01
+#: Texts of the sample that a bucket must be in to have an embedding, or one of 800 if that is more: rarer words would
+#: be learnt by heart.
+LEAST_TEXTS = 3
 #: Rows of each label that a language needs for a threshold of its own.
 LEAST_ROWS = 20
 WORD = re.compile(r"[^\W_]+")
@@ -106,11 +107,11 @@ class Classifier:
             x[a : a + len(r)] = r
         return x, begins
 
-    def fit(self, rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> None:
+    def fit(self, rows: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, seed: int = 11) -> None:
         """Adam for the filters, Adagrad for the embeddings; the rows' words are dropped now and then."""
         rng = np.random.default_rng(seed)
         ids, texts = np.unique(np.concatenate([np.unique(r) for r in rows] or [self.known]), return_counts=True)
-        self.known = ids[texts >= LEAST_TEXTS]
+        self.known = ids[texts >= max(LEAST_TEXTS, len(rows) // 800)]
         pad = len(self.known)
         e = np.concatenate([rng.normal(0, 0.1, (pad, SIZE)), np.zeros((1, SIZE))]).astype(np.float32)
         row_of = self.rows_of()
@@ -119,7 +120,7 @@ class Classifier:
         slots = {**{("w", k): self.w[k] for k in WIDTHS}, **{("b", k): self.b[k] for k in WIDTHS}, "out": self.out}
         m, v = ({k: np.zeros_like(a) for k, a in slots.items()} for _ in range(2))
         step = 0
-        for epoch in range(epochs):
+        for _ in range(-(-steps * BATCH // max(1, len(xs)))):
             order = rng.permutation(len(xs))
             for a in range(0, len(order), BATCH):
                 chosen = order[a : a + BATCH]
