@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .lang_id import language_report
 from .line_dedup import line_report
+from .near_dedup import near_duplicate_report
 from .packing import pack
 from .quality_rules import judge
 from .token_counts import count_tokens
@@ -29,6 +30,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
