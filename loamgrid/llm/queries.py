@@ -12,6 +12,7 @@ from .lang_id import language_report
 from .line_dedup import line_report
 from .near_dedup import near_duplicate_report
 from .packing import pack
+from .quality_lm import quality_report
 from .quality_rules import judge
 from .token_counts import count_tokens
 from .toxicity import toxicity_report
@@ -35,6 +36,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op4_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
