@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,7 +69,7 @@ def text_column(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 2048, most_bytes: int = 8 << 20, text: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 2048, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Batches of at most so many rows, and of about most_bytes of text unless one row has more."""
     for batch in batches:
         if not batch.num_rows:
@@ -77,14 +77,3 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 2048, most_bytes: int
         step = max(1, min(rows, int(most_bytes * batch.num_rows / max(1, batch.nbytes))))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
-
-
-def in_batches(make: Callable[[pa.RecordBatch], dict], schema: pa.Schema, **size) -> Callable:
-    """For mapInArrow: columns made of each slice."""
-
-    def run(batches):
-        for batch in slices(batches, **size):
-            made = make(batch)
-            yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in schema], schema=schema)
-
-    return run

@@ -16,6 +16,7 @@ from .quality_lm import quality_report
 from .quality_rules import judge
 from .token_counts import count_tokens
 from .toxicity import toxicity_report
+from .url_filter import url_report
 
 
 def tokenizer(name: str) -> str:
@@ -40,6 +41,14 @@ def op4_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: Rules of the URL query: host and path, and whether they allow.
+URL_RULES = [("com/en/", False), ("example.com/en/7", True), ("net/de/", True), ("example.net/de/8", False), ("org/es/", False)]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_report(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
