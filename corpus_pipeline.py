@@ -1,13 +1,66 @@
-"""The corpus pipeline; its stages follow."""
+"""The corpus pipeline: toxic documents go, frequent lines go, near copies go, leaked test items go, the rest is packed.
+
+A stage is f(spark, docs, sf_dir) and returns a table; docs has the columns of documents, and all stages but the last
+return these. Each stage works on all rows that the one before it kept.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loamgrid.llm import decontam, line_dedup, near_dedup, packing, toxicity
+from loamgrid.llm.common import cut, table
+from loamgrid.llm.queries import tokenizer
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is below their language's threshold. Learnt from the labelled ones among docs."""
+    classifier = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, classifier).where(~F.col("toxic")).select(docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that five or more have, the last one's apart; n_chars follows the text."""
+    out = line_dedup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id."""
+    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("gone_h"))
+    return docs.join(cut(gone, "gone"), same, "left_anti")
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no item of the benchmark, edited copies included."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens: a row for each piece of a document."""
+    return packing.pack(docs, tokenizer("byte_bpe_50k.json"))
+
+
+STAGES = [("toxicity", drop_toxic), ("line dedup", drop_lines), ("MinHash near-dedup", drop_near_copies), ("benchmark decontamination", drop_leaks), ("best-fit packing", pack_documents)]
+
+#: Trained scores, alignments and a tokenizer aren't SQL; tests hold run() against a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return {"pipeline": run}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
