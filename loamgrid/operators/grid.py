@@ -84,15 +84,25 @@ def best_scale(wanted: DataFrame, scales: DataFrame) -> DataFrame:
 
 
 def shuffled(df: DataFrame, key: str, seed: int, by: list[str] | None = None) -> DataFrame:
-    """df with place (from 0) in an order of hashes that any engine can repeat, and how many there are, within `by`."""
+    """df with place (from 0) in an order of hashes that any engine can repeat, and how many there are, within `by`.
+
+    Hashes are dealt to 4096 buckets: a row's place is its rank in its bucket and the sizes of the buckets before it, so
+    no task sorts a whole group."""
+    keys = by or []
     h = F.pmod(F.col(key).cast("long") * 48271 + seed, F.lit(2147483647))
-    w = Window.partitionBy(*(by or [F.lit(0)]))
-    return df.withColumns({"place": F.row_number().over(w.orderBy(h, key)) - 1, "many": F.count("*").over(w)})
+    dealt = df.withColumns({"_h": h, "_bucket": F.shiftright(h, 19)})
+    sizes = dealt.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
+    group = Window.partitionBy(*(keys or [F.lit(0)]))  # at most 4096 rows each
+    before = sizes.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_bucket").alias("_b"), (F.sum("_n").over(group.orderBy("_bucket")) - F.col("_n")).alias("_before"), F.sum("_n").over(group).alias("many"))
+    same = F.col("_bucket") == F.col("_b")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy("_h", key)) - 1
+    return dealt.withColumn("_rank", rank).join(before, same).withColumn("place", F.col("_before") + F.col("_rank")).select(*df.columns, "place", "many")
 
 
 def split(df: DataFrame, key: str, seed: int, by: list[str] | None = None, train: float = 0.7) -> DataFrame:
-    """df with split: so much of each group for train, half of the rest for val, the others for test. Without groups the
-    order is global: the table of ids is one window, as a split of tiles is; with groups each is its own."""
+    """df with split: so much of each group for train, half of the rest for val, the others for test."""
     s = shuffled(df, key, seed, by)
     n_train = F.floor(F.col("many") * train)
     n_val = n_train + F.floor((F.col("many") - n_train) / 2)
@@ -104,3 +114,10 @@ def val_to_test(df: DataFrame, key: str) -> DataFrame:
     w = Window.partitionBy("split")
     move = (F.col("split") == "val") & (F.row_number().over(w.orderBy(key)) <= F.floor(F.count("*").over(w) / 2) + 1)
     return df.withColumn("split", F.when(move, "test").otherwise(F.col("split")))
+
+
+def same_aspect(df: DataFrame, width: Column, height: Column, to_width: Column, to_height: Column, digits: int = 2) -> DataFrame:
+    """df, with an error for a row whose ratio of width to height isn't that of its target, to so many digits."""
+    ratio = lambda w, h: F.round(w / h, digits)
+    ok = ratio(width, height) == ratio(to_width, to_height)
+    return df.where(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit("aspect ratios differ")).cast("boolean")))

@@ -184,6 +184,13 @@ def web_tiles(spark, d):
     return p.select("id", "zoom", x.alias("x"), y.alias("y"))
 
 
+@query("tg8b_same_aspect", X + "SELECT id, x1 - x0 AS width, y1 - y0 AS height FROM bx WHERE id % 10 = 0")
+def same_aspect(spark, d):
+    b = boxes(spark, d).where("id % 10 = 0").withColumns({"width": F.col("x1") - F.col("x0"), "height": F.col("y1") - F.col("y0")})
+    w, h = F.col("width"), F.col("height")
+    return grid.same_aspect(b, w, h, w * 4, h * 4).select("id", "width", "height")
+
+
 # splits
 
 HASH = "(CAST({k} AS BIGINT) * 48271 + 7) % 2147483647"
@@ -312,6 +319,12 @@ def change_histogram(spark, d):
     return changes.change_histogram(tagged(spark, d))
 
 
+@query("rs13_nodata_regions")
+def nodata_regions(spark, d):
+    px = regions.polygonize(pixels(spark, d).withColumn("empty", (F.col("pred") % 3 == 0).cast("int")), "empty").where("empty = 1")
+    return changes.region_stats(px, ["tile_id", "region"]).where("area_m2 > 10").select("tile_id", "region", "n_px", "area_m2")
+
+
 @query("rs17_rs19_corrected")
 def corrected(spark, d):
     return regions.correct_artefacts(pixels(spark, d).where("tile_id < 12"), "pred", "px_dm").select("tile_id", "r", "c", "pred", "corrected")
