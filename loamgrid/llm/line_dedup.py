@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, UPPER, cut, text_column
+from .common import BLANKS, LOWER, UPPER, cut, free_name, text_column
 
 #: Keys that are dealt by document too, and into how many parts.
 HOT_KEYS, HOT_PARTS = 256, 1024
@@ -81,8 +81,9 @@ def kept_text(text: Column, runs: Column) -> Column:
     return F.when(runs.isNull(), text).otherwise(F.array_join(kept, "\n"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """docs with text replaced by its kept lines and three more columns, _n_lines, _n_dropped and _keep_runs (the bitmap).
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, names: tuple[str, str, str] = ("_n_lines", "_n_dropped", "_keep_runs")) -> DataFrame:
+    """docs with text replaced by its kept lines and three more columns, by default _n_lines, _n_dropped and _keep_runs
+    (the bitmap).
 
     A key of at least min_chars code points in at least min_docs different doc_ids loses its lines except in the largest
     doc_id. A null or empty text is one empty line; a text that loses nothing is unchanged, null stays null. A null
@@ -90,15 +91,17 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Data
     all keep or lose a key's lines; equal rows are treated alike. Texts may be of any length. An empty table gives an
     empty one. Columns named like the three are replaced; all others stay.
     """
-    maps = keep_bitmaps(dropped_lines(docs, min_chars, min_docs)).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("n_dropped").alias("__n"), F.col("runs").alias("__runs"))
-    same = docs["doc_id"].cast("long").eqNullSafe(maps["__id"]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == maps["__h"])
+    doc_id, h, n, runs = (free_name(docs, k) for k in ("__id", "__h", "__n", "__runs"))
+    maps = keep_bitmaps(dropped_lines(docs, min_chars, min_docs)).toDF(doc_id, h, n, runs)
+    same = docs["doc_id"].cast("long").eqNullSafe(maps[doc_id]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == maps[h])
     joined = docs.join(maps, same, "left")
+    lines, dropped, bitmap = names
     return joined.withColumns({
-        "text": kept_text(F.col("text"), F.col("__runs")),
-        "_n_lines": F.size(F.split(text_column(), "\n")).cast("long"),
-        "_n_dropped": F.coalesce(F.col("__n"), F.lit(0)).cast("long"),
-        "_keep_runs": F.col("__runs"),
-    }).drop("__id", "__h", "__n", "__runs")
+        "text": kept_text(F.col("text"), F.col(runs)),
+        lines: F.size(F.split(text_column(), "\n")).cast("long"),
+        dropped: F.coalesce(F.col(n), F.lit(0)).cast("long"),
+        bitmap: F.col(runs),
+    }).drop(doc_id, h, n, runs)
 
 
 def line_report(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:

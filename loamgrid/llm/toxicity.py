@@ -235,6 +235,23 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
     return keep.mapInArrow(run, keep.withColumns({"toxicity": F.lit(0.0), "toxic": F.lit(True)}).schema)
 
 
+def without_toxic(docs: DataFrame, classifier: Classifier) -> DataFrame:
+    """The rows of docs whose score is below their language's threshold, with all their columns and no other; nulls and
+    empty texts as in score()."""
+    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+    at = docs.columns.index("text")
+    lang_at = docs.columns.index("lang") if "lang" in docs.columns else None
+
+    def run(batches):
+        c = shared.value
+        for batch in slices(batches):
+            made = c.scores([word_features(t) for t in batch.column(at).to_pylist()])
+            langs = batch.column(lang_at).to_pylist() if lang_at is not None else [None] * len(made)
+            yield batch.filter(pa.array([s < c.thresholds.get(x, c.threshold) for s, x in zip(made.tolist(), langs, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity_report(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted (score >= threshold); learnt from the rows whose crc32 of the id as text isn't
     `held` modulo folds. A row without an id is held out."""
