@@ -10,29 +10,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamgrid.llm import decontam, line_dedup, near_dedup, packing, toxicity
-from loamgrid.llm.common import cut, table
+from loamgrid.llm.common import cut, free_name, table
 from loamgrid.llm.queries import tokenizer
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below their language's threshold. Learnt from the labelled ones among docs."""
-    classifier = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, classifier).where(~F.col("toxic")).select(docs.columns)
+    return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that five or more have, the last one's apart; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs)
+    names = tuple(free_name(docs, n) for n in ("_n_lines", "_n_dropped", "_keep_runs"))
+    out = line_dedup.dedup_lines(docs, names=names)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(names[1]) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
-    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("gone_h"))
-    return docs.join(cut(gone, "gone"), same, "left_anti")
+    doc_id, h = free_name(docs, "gone_id"), free_name(docs, "gone_h")
+    gone = cut(near_dedup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias(doc_id), F.col("h").alias(h)), "gone")
+    same = docs["doc_id"].cast("long").eqNullSafe(gone[doc_id]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == gone[h])
+    return docs.join(gone, same, "left_anti")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
