@@ -2,31 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that the whole cluster shares")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cut-"))
-    return df.checkpoint()
+from ..sources.shared import cut
 
 
 def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     """node, root: the smallest node that edges(u, v) lead to from each of nodes(node). Each round takes the smallest root
     among neighbours and then that root's own root, so chains halve."""
-    both = _checkpointed(edges.where("u <> v").select("u", "v").unionByName(edges.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    now = _checkpointed(nodes.select("node", F.col("node").alias("root")))
+    both = cut(edges.where("u <> v").select("u", "v").unionByName(edges.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    now = cut(nodes.select("node", F.col("node").alias("root")))
     for _ in range(most_rounds):
         near = both.join(now, F.col("v") == F.col("node")).groupBy("u").agg(F.min("root").alias("near"))
         step = now.join(near, F.col("node") == F.col("u"), "left").select("node", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("was"))
         jump = step.select(F.col("node").alias("k"), F.col("root").alias("further"))
-        after = _checkpointed(step.join(jump, F.col("root") == F.col("k")).select("node", F.least("root", "further").alias("root"), "was"))
+        after = cut(step.join(jump, F.col("root") == F.col("k")).select("node", F.least("root", "further").alias("root"), "was"))
         if not after.where("root <> was").limit(1).count():
             return after.select("node", "root")
         now = after.select("node", "root")
