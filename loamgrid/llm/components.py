@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from .common import cut, drop_cut
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-    return r.n, r.s
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node has one edge at most to a smaller one, and that one has none: then all edges lead to roots."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return not ends.groupBy("node").agg(F.sum("up").alias("n"), F.max("down").alias("d")).where("n > 1 OR (n > 0 AND d > 0)").limit(1).count()
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -21,23 +22,20 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     their minimum, and the minimum goes back by a join. Rounds grow with the logarithm of the nodes.
     """
     now = cut(edges.where("u IS NOT NULL AND v IS NOT NULL AND u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = _mark(now)
     for _ in range(most_rounds):
-        if not mark[0]:
+        if _settled(now):
             break
         # large star: neighbours above a node go to the smallest of the node and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = cut(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
         # small star: a node and its smaller neighbours go to the smallest of these
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.greatest("v", "m")).alias("u"), F.least("v", "m").alias("v")).distinct()
         after = cut(small, "edges")
-        then = _mark(after)
         drop_cut(now)
-        now, done, mark = after, then == mark, then
-        if done:
-            break
+        drop_cut(large)
+        now = after
     else:
         raise RuntimeError("components have not settled")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -3,9 +3,10 @@
 1. A scan makes each text's set of distinct word shingles (64-bit hashes), the set's 128-bit digest, BANDS band keys and
    a signature of CHECKS 16-bit values. Texts with equal sets become one class: exact copies go no further.
 2. Classes that share a band key are candidates. In each bucket the classes are compared with two leaders, the first and
-   the last, so that a bucket of n gives 2n pairs; links make components; then only classes outside of a bucket's
-   largest component are compared with the bucket's other components. Pairs within a component need no comparison: they
-   change no result. Nothing is capped.
+   the last, so that a bucket of n gives 2n pairs; links make components. A bucket that lies in one component is done:
+   pairs within a component change no result. In the others, the classes outside of the bucket's largest component are
+   queries against all classes that buckets connect them with. Queries and classes meet in blocks of at most BLOCK each,
+   inside of one task, and only links leave it: no pair becomes a row, however large a group is. Nothing is capped.
 3. A pair is compared by batches of BATCH signature values. With m of n equal and a uniform prior, its similarity has a
    Beta(m + 1, n - m + 1) posterior; the pair is pruned as soon as the probability of reaching the threshold is below
    MISS. Survivors are verified exactly on the full sets of their texts.
@@ -27,6 +28,7 @@ from .common import cut, slices, text_column
 from .components import connected_components
 
 BANDS, ROWS, CHECKS, BATCH, MISS = 40, 6, 128, 16, 1e-7
+BLOCK = 1024
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _rng = np.random.default_rng(20240607)
 _A = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -144,6 +146,93 @@ def _verified(words: int, percent: int):
     return run
 
 
+class _Block:
+    """Classes of one block: their signatures as a matrix, and their sets made when a query first needs them."""
+
+    def __init__(self, rows: list[tuple], words: int):
+        self.words = words
+        self.cids, self.roots = (np.asarray([r[k] for r in rows], np.int64) for k in (0, 1))
+        self.sigs = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(-1, CHECKS)
+        self.texts = [r[3] for r in rows]
+        self.sets: dict[int, np.ndarray] = {}
+
+    def set_of(self, k: int) -> np.ndarray:
+        if k not in self.sets:
+            self.sets[k] = shingle_set(self.texts[k], self.words)
+        return self.sets[k]
+
+
+def _block_links(queries: _Block, members: _Block, bounds: list[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
+    """For each query its component with each other one that it is linked with."""
+    out = []
+    for q in range(len(queries.cids)):
+        left = np.flatnonzero(members.roots != queries.roots[q])
+        equal = np.zeros(len(left), np.int64)
+        for n, m in bounds:
+            part = slice(n - BATCH, n)
+            equal += (members.sigs[left, part] == queries.sigs[q, part]).sum(1)
+            left, equal = left[equal >= m], equal[equal >= m]
+        if not len(left):
+            continue
+        own = queries.set_of(q)
+        sets = [members.set_of(k) for k in left.tolist()]
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        all_ = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(own, all_), len(own) - 1)
+        same = np.add.reduceat((own[at] == all_).astype(np.int64), np.cumsum(sizes) - sizes)
+        linked = left[100 * same >= percent * (len(own) + sizes - same)]
+        out += [(int(queries.roots[q]), root) for root in np.unique(members.roots[linked]).tolist()]
+    return out
+
+
+def _in_blocks(words: int, percent: int):
+    """Rows (cluster, qb, mb, query, cid, root, sig, text), in order of the first three: components that are linked."""
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+    bounds = least_matches(percent / 100)
+
+    def links(rows: list[list[tuple]]) -> pa.RecordBatch:
+        members, queries = (_Block(r, words) for r in rows)
+        found = _block_links(queries, members, bounds, percent) if len(queries.cids) and len(members.cids) else []
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=schema)
+
+    def run(batches):
+        key, rows = None, [[], []]
+        for batch in slices(batches):
+            columns = [c.to_pylist() for c in batch.columns]
+            for a, b, c, query, *row in zip(*columns, strict=True):
+                if (a, b, c) != key:
+                    if key is not None:
+                        yield links(rows)
+                    key, rows = (a, b, c), [[], []]
+                rows[query].append(tuple(row))
+        if key is not None:
+            yield links(rows)
+
+    return run
+
+
+def _rest_links(members: DataFrame, roots: DataFrame, star: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs of roots of components that are linked, among components that buckets have in common."""
+    placed = members.select("key", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("key", "cid", F.coalesce("root", "cid").alias("root"))
+    placed = cut(placed, "placed")
+    by_root = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    mains = cut(by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main")).where("roots > 1").select("key", "main"), "mains")
+    part = placed.join(mains, "key").groupBy("cid", "root").agg(F.max((F.col("root") != F.col("main")).cast("int")).alias("query"))
+    clusters = connected_components(star.toDF("u", "v")).select(F.col("node").alias("cid"), F.col("root").alias("cluster"))
+    part = cut(part.join(clusters, "cid"), "part")
+    many = lambda n: F.ceil(n / BLOCK).cast("int")
+    sizes = cut(part.groupBy("cluster").agg(many(F.count("*")).alias("nb"), many(F.sum("query")).alias("nq")).where("nq > 0"), "blocks")
+    dealt = part.join(sizes, "cluster")
+    block = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = dealt.select("cluster", every("nq").alias("qb"), block("nb").alias("mb"), F.lit(0).alias("query"), "cid", "root")
+    asked = dealt.where("query = 1").select("cluster", block("nq").alias("qb"), every("nb").alias("mb"), F.lit(1).alias("query"), "cid", "root")
+    full = classes.select("cid", "sig").join(texts, "cid")
+    rows = own.unionByName(asked).join(full, "cid").select("cluster", "qb", "mb", "query", "cid", "root", "sig", "text")
+    rows = rows.repartition("cluster", "qb", "mb").sortWithinPartitions("cluster", "qb", "mb")
+    return cut(rows.mapInArrow(_in_blocks(words, percent), "x long, y long"), "more")
+
+
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (x, y) of classes that the signatures leave and the full sets confirm."""
     sigs = classes.select("cid", "sig")
@@ -179,16 +268,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     star = cut(star.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "star")
     links = _links(star, classes, texts, words, percent)
     roots = cut(connected_components(links.toDF("u", "v")), "roots")
-    # what is outside of a bucket's largest component, against all else in the bucket but its own component
-    placed = members.select("key", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("key", "cid", F.coalesce("root", "cid").alias("root"))
-    placed = cut(placed, "placed")
-    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main")).where("roots > 1")
-    open_ = cut(placed.join(cut(sizes, "sizes").select("key", "main"), "key"), "open")
-    minor = open_.where("root <> main").select("key", F.col("cid").alias("x"), F.col("root").alias("rx"))
-    other = open_.select("key", F.col("cid").alias("y"), F.col("root").alias("ry"), "main")
-    rest = minor.join(other, "key").where("rx <> ry AND (ry = main OR x > y)").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct().join(star, ["x", "y"], "left_anti")
-    more = _links(cut(rest, "rest"), classes, texts, words, percent)
-    roots = connected_components(links.unionByName(more).toDF("u", "v"))
+    more = _rest_links(members, roots, star, classes, texts, words, percent)
+    over = connected_components(more.toDF("u", "v")).select(F.col("node").alias("root"), F.col("root").alias("over"))
+    roots = roots.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root")).unionByName(over.join(roots, over["root"] == roots["node"], "left_anti").select(F.col("root").alias("node"), F.col("over").alias("root")))
     # names of components: the smallest id among their classes
     named = classes.select("cid", "digest", "least").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("digest", "least", F.coalesce("root", "cid").alias("root"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
