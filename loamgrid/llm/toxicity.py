@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 BUCKETS, SIZE, FILTERS, WIDTHS = 1 << 20, 8, 8, (1, 2, 3)
-TRAIN_ROWS, MOST_CHARS = 8000, 100_000
+TRAIN_ROWS, MOST_CHARS = 6000, 100_000
 STEPS, BATCH, RATE = 1200, 32, 0.01
 #: Texts of the sample that a bucket must be in to have an embedding, or one of 800 if that is more: rarer words would
 #: be learnt by heart.
@@ -203,13 +203,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Classifier:
     """A classifier of a sample of the labelled documents; without any it scores all texts alike."""
     found = labelled_sample(docs, labels, rows)
+    features = [word_features(r.text) for r in found]
+    toxic, langs = np.asarray([r.toxic for r in found], np.float32), [r.lang for r in found]
+    held = np.asarray([zlib.crc32(str(r.doc_id).encode()) // 4 % 5 == 0 for r in found], bool)
+    # texts and words aren't needed while the driver trains
+    found.clear()
+    _places.clear()
     classifier = Classifier()
-    held = [zlib.crc32(str(r.doc_id).encode()) // 4 % 5 == 0 for r in found]
-    learn, check = [r for r, h in zip(found, held, strict=True) if not h], [r for r, h in zip(found, held, strict=True) if h]
+    learn, check = np.flatnonzero(~held).tolist(), np.flatnonzero(held).tolist()
     if learn:
-        classifier.fit([word_features(r.text) for r in learn], np.asarray([r.toxic for r in learn], np.float32))
+        classifier.fit([features[k] for k in learn], toxic[learn])
     if check:
-        classifier.calibrate(classifier.scores([word_features(r.text) for r in check]), np.asarray([r.toxic for r in check]), [r.lang for r in check])
+        classifier.calibrate(classifier.scores([features[k] for k in check]), toxic[check], [langs[k] for k in check])
     return classifier
 
 
