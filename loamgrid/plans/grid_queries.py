@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
 from ..operators import changes, grid, regions, tiles
 from ..sources.fixtures import BX_SQL, GRID_SQL, PX_SQL, boxes, pixels, tile_grid
 from .range_join import box_join, halo, prefixed
-from .registry import query
+from .registry import SQL, query
 
 X = f"WITH {BX_SQL} "
 INTER = "greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0)"
@@ -233,37 +235,43 @@ def split_map(spark, d):
     return customers(spark, d).groupBy("split").agg(F.array_join(F.sort_array(F.collect_list("id")).cast("array<string>"), ",").alias("ids"))
 
 
-# regions: transition codes on one tile of each kind, so that the SQL's closure stays small
+# regions. The queries named as in the survey are held to SQL of the first twelve tiles; those ending in _all, and those without SQL, run on all tiles.
 
+SOME = " WHERE tile_id < 12"
 REGIONS = f"""WITH RECURSIVE {PX_SQL}, v AS (SELECT *, CASE WHEN tile_id % 2 = 0 THEN CAST((y1 - 1) * 17 + y2 AS INT) ELSE y1 END AS code FROM px WHERE tile_id < 12),
 reach(tile_id, r, c, r0, c0, code) AS (SELECT tile_id, r, c, r, c, code FROM v UNION SELECT v.tile_id, v.r, v.c, reach.r0, reach.c0, v.code FROM reach JOIN v ON v.tile_id = reach.tile_id AND v.code = reach.code AND abs(v.r - reach.r) + abs(v.c - reach.c) = 1),
 lab AS (SELECT tile_id, r, c, code, min(r0 * 65536 + c0) AS region FROM reach GROUP BY ALL), q AS (SELECT lab.*, v.y1, v.y2, v.px_dm, v.conf1_milli, v.conf2_milli FROM lab JOIN v USING (tile_id, r, c))"""
 
 
-def labelled(spark, d):
-    px = pixels(spark, d).where("tile_id < 12").withColumn("code", F.when(F.col("tile_id") % 2 == 0, (F.col("y1") - 1) * 17 + F.col("y2")).otherwise(F.col("y1")).cast("int"))
+def _tiles(spark, d, whole):
+    px = pixels(spark, d)
+    return px if whole else px.where("tile_id < 12")
+
+
+def labelled(spark, d, whole=False):
+    px = _tiles(spark, d, whole).withColumn("code", F.when(F.col("tile_id") % 2 == 0, (F.col("y1") - 1) * 17 + F.col("y2")).otherwise(F.col("y1")).cast("int"))
     return regions.polygonize(px, "code")
 
 
 @query("rs11_region_labels", REGIONS + " SELECT tile_id, r, c, CAST(region AS BIGINT) AS region FROM q")
-def region_labels(spark, d):
-    return labelled(spark, d).select("tile_id", "r", "c", "region")
+def region_labels(spark, d, whole=False):
+    return labelled(spark, d, whole).select("tile_id", "r", "c", "region")
 
 
 @query("rs21_component_stats", REGIONS + " SELECT tile_id, CAST(region AS BIGINT) AS region, count(*) AS n_px, CAST(count(*) AS DOUBLE) * max(px_dm) * max(px_dm) / 100 AS area_m2, round(CAST(count(*) AS DOUBLE) / ((max(r) - min(r) + 1) * (max(c) - min(c) + 1)), 6) AS fill, (greatest(max(r) - min(r), max(c) - min(c)) + 1) * max(px_dm) / 10.0 AS long_axis FROM q GROUP BY tile_id, region")
-def component_stats(spark, d):
-    return changes.region_stats(labelled(spark, d), ["tile_id", "region"]).select("tile_id", "region", "n_px", "area_m2", F.round("fill", 6).alias("fill"), "long_axis")
+def component_stats(spark, d, whole=False):
+    return changes.region_stats(labelled(spark, d, whole), ["tile_id", "region"]).select("tile_id", "region", "n_px", "area_m2", F.round("fill", 6).alias("fill"), "long_axis")
 
 
 @query("ag15_zonal_conf", REGIONS + " SELECT tile_id, CAST(region AS BIGINT) AS region, round(least(avg(conf1_milli), avg(conf2_milli)), 6) AS conf FROM q GROUP BY tile_id, region")
-def zonal_conf(spark, d):
-    s = changes.region_stats(labelled(spark, d), ["tile_id", "region"], conf=["conf1_milli", "conf2_milli"])
+def zonal_conf(spark, d, whole=False):
+    s = changes.region_stats(labelled(spark, d, whole), ["tile_id", "region"], conf=["conf1_milli", "conf2_milli"])
     return s.select("tile_id", "region", F.round(F.least("mean_conf1_milli", "mean_conf2_milli"), 6).alias("conf"))
 
 
 @query("rs12_region_sizes_back", REGIONS + " SELECT tile_id, r, c, CAST(count(*) OVER (PARTITION BY tile_id, region) AS BIGINT) AS n_px FROM q")
-def region_sizes_back(spark, d):
-    px = labelled(spark, d)
+def region_sizes_back(spark, d, whole=False):
+    px = labelled(spark, d, whole)
     return px.join(px.groupBy("tile_id", "region").agg(F.count("*").alias("n_px")), ["tile_id", "region"]).select("tile_id", "r", "c", "n_px")
 
 
@@ -271,24 +279,24 @@ EDGES = REGIONS + ", e0 AS (SELECT a.tile_id, a.region AS a, b.region AS b FROM
 
 
 @query("jn6_touching_regions", EDGES + " SELECT tile_id, CAST(region AS BIGINT) AS region, CAST(neighbour AS BIGINT) AS neighbour, shared_px FROM e")
-def touching_regions(spark, d):
-    return regions.shared_edges(labelled(spark, d)).select("tile_id", "region", "neighbour", "shared_px")
+def touching_regions(spark, d, whole=False):
+    return regions.shared_edges(labelled(spark, d, whole)).select("tile_id", "region", "neighbour", "shared_px")
 
 
 @query("wn1_so4_best_neighbour", EDGES + " SELECT tile_id, CAST(region AS BIGINT) AS region, CAST(arg_min(neighbour, -shared_px * 10000000000 + neighbour) AS BIGINT) AS neighbour FROM e GROUP BY tile_id, region")
-def best_neighbour(spark, d):
-    e = regions.shared_edges(labelled(spark, d))
+def best_neighbour(spark, d, whole=False):
+    e = regions.shared_edges(labelled(spark, d, whole))
     return e.groupBy("tile_id", "region").agg(F.min_by("neighbour", F.struct(-F.col("shared_px"), F.col("neighbour"))).alias("neighbour"))
 
 
 @query("fl8_candidates", REGIONS + ", s AS (SELECT tile_id, region, count(*) AS n, CAST(count(*) AS DOUBLE) / ((max(r) - min(r) + 1) * (max(c) - min(c) + 1)) AS fill, max(px_dm) AS e, 2 * (max(r) - min(r) + 1 + max(c) - min(c) + 1) AS around FROM q GROUP BY tile_id, region) SELECT tile_id, CAST(region AS BIGINT) AS region FROM s WHERE fill > 0.4 AND around * e / 10.0 < 400")
-def candidates(spark, d):
-    s = changes.region_stats(labelled(spark, d), ["tile_id", "region"])
+def candidates(spark, d, whole=False):
+    s = changes.region_stats(labelled(spark, d, whole), ["tile_id", "region"])
     return s.where((F.col("fill") > 0.4) & (2 * (F.col("long_axis") + F.col("short_axis")) < 400)).select("tile_id", "region")
 
 
-def tagged(spark, d):
-    px = pixels(spark, d).where("tile_id < 12").withColumn("code", ((F.col("y1") - 1) * 17 + F.col("y2")).cast("int"))
+def tagged(spark, d, whole=False):
+    px = _tiles(spark, d, whole).withColumn("code", ((F.col("y1") - 1) * 17 + F.col("y2")).cast("int"))
     px = regions.polygonize(px, "code")
     s = changes.region_stats(px, ["tile_id", "region", "y1", "y2"], conf=["conf1_milli", "conf2_milli"])
     conf = F.least("mean_conf1_milli", "mean_conf2_milli") / 1000
@@ -310,13 +318,21 @@ t AS (SELECT tile_id, region, CAST(CASE WHEN y1 = y2 THEN 0 WHEN area < 1 THEN 6
 
 
 @query("rs22_monitor_tags", TAGS + " SELECT tile_id, region, tag FROM t")
-def monitor_tags(spark, d):
-    return tagged(spark, d).select("tile_id", "region", "tag")
+def monitor_tags(spark, d, whole=False):
+    return tagged(spark, d, whole).select("tile_id", "region", "tag")
 
 
 @query("ag12_change_histogram", TAGS + " SELECT tag, count(*) AS n, CAST((SELECT count(*) FROM t WHERE tag BETWEEN 20 AND 26) AS BIGINT) AS soil_to_nonsoil, CAST((SELECT count(*) FROM t WHERE tag BETWEEN 30 AND 36) AS BIGINT) AS nonsoil_to_soil FROM t GROUP BY tag")
-def change_histogram(spark, d):
-    return changes.change_histogram(tagged(spark, d))
+def change_histogram(spark, d, whole=False):
+    return changes.change_histogram(tagged(spark, d, whole))
+
+
+WHOLE_TILES = {
+    "rs11_region_labels": region_labels, "rs21_component_stats": component_stats, "ag15_zonal_conf": zonal_conf, "rs12_region_sizes_back": region_sizes_back, "jn6_touching_regions": touching_regions,
+    "wn1_so4_best_neighbour": best_neighbour, "fl8_candidates": candidates, "rs22_monitor_tags": monitor_tags, "ag12_change_histogram": change_histogram,
+}
+for _name, _f in WHOLE_TILES.items():
+    query(f"{_name}_all", SQL[_name].replace(SOME, ""))(functools.partial(_f, whole=True))
 
 
 @query("rs13_nodata_regions")
@@ -327,7 +343,7 @@ def nodata_regions(spark, d):
 
 @query("rs17_rs19_corrected")
 def corrected(spark, d):
-    return regions.correct_artefacts(pixels(spark, d).where("tile_id < 12"), "pred", "px_dm").select("tile_id", "r", "c", "pred", "corrected")
+    return regions.correct_artefacts(pixels(spark, d), "pred", "px_dm").select("tile_id", "r", "c", "pred", "corrected")
 
 
 @query("rs20_halo_post_processing")
@@ -339,7 +355,7 @@ def post_processed(spark, d):
 
 @query("rs21_rotated_rectangles")
 def rotated(spark, d):
-    return regions.rectangles(labelled(spark, d), ["tile_id", "region"])
+    return regions.rectangles(labelled(spark, d, whole=True), ["tile_id", "region"])
 
 
 @query("rs23_merged_small_regions")
