@@ -83,16 +83,21 @@ def coverage(spark, d):
 
 
 @query("jn12_vg6_contiguous", X + ", n AS (SELECT id, x0 // 2 AS x0, y0 // 2 AS y0, x0 // 2 + 2 AS x1, y0 // 2 + 2 AS y1 FROM bx WHERE id % 4 = 0 AND id < 1600), e AS (SELECT a.id AS u, b.id AS v FROM n a JOIN n b ON " + TOUCH + "), w AS (WITH RECURSIVE reach(u, v) AS (SELECT u, v FROM e UNION SELECT reach.u, e.v FROM reach JOIN e ON reach.v = e.u) SELECT u, min(v) AS root FROM reach GROUP BY u) SELECT u AS id, root, CAST(count(*) OVER (PARTITION BY root) AS BIGINT) AS members FROM w")
-def contiguous(spark, d):
+def contiguous(spark, d, which="id % 4 = 0 AND id < 1600"):
     from ..operators.graphs import components
 
-    n = boxes(spark, d).where("id % 4 = 0 AND id < 1600").selectExpr("id", "x0 div 2 AS x0", "y0 div 2 AS y0", "x0 div 2 + 2 AS x1", "y0 div 2 + 2 AS y1")
+    n = boxes(spark, d).where(which).selectExpr("id", "x0 div 2 AS x0", "y0 div 2 AS y0", "x0 div 2 + 2 AS x1", "y0 div 2 + 2 AS y1")
     e = box_join(n, prefixed(n), 16).select(F.col("id").alias("u"), F.col("r_id").alias("v"))
     c = components(n.select(F.col("id").alias("node")), e)
     sizes = c.groupBy("root").agg(F.count("*").alias("members"))
     return c.join(sizes, "root").select(F.col("node").alias("id"), "root", "members")
 
 
+@query("jn12_vg6_contiguous_all")
+def contiguous_all(spark, d):
+    return contiguous(spark, d, "true")
+
+
 @query("ag16_dissolved_lists", X + "SELECT grp, count(*) AS n, list_aggregate(list_sort(list(id)), 'string_agg', ',') AS ids, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM bx GROUP BY grp")
 def dissolved(spark, d):
     return boxes(spark, d).groupBy("grp").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("id")).cast("array<string>"), ",").alias("ids"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
@@ -104,6 +109,14 @@ def rasterized(spark, d):
     return tiles.rasterize(boxes(spark, d).where("id < 400").withColumn("v", F.col("grp") + 1), "v", "id", g)
 
 
+@query("rs10_rasterized_all", SQL["rs10_rasterized"].replace(" WHERE id < 400", "").replace("range // 200 AS INT", "range // w AS INT").replace("range % 200 AS INT", "range % w AS INT").replace("FROM range(40000)", "FROM (SELECT max(x1) AS w, max(y1) AS h FROM bx) e, range(e.w * e.h)"))
+def rasterized_all(spark, d):
+    b = boxes(spark, d)
+    w, h = b.agg(F.coalesce(F.max("x1"), F.lit(0)), F.coalesce(F.max("y1"), F.lit(0))).first()
+    g = spark.range(w * h).select(F.floor(F.col("id") / w).cast("int").alias("r"), (F.col("id") % w).cast("int").alias("c"))
+    return tiles.rasterize(b.withColumn("v", F.col("grp") + 1), "v", "id", g)
+
+
 @query("rs25_snapped", "SELECT p_partkey AS id, round(round(p_retailprice / 7, 1) - p_retailprice / 7, 6) AS shift, round(p_retailprice / 7, 1) AS x FROM part")
 def snapped(spark, d):
     x = F.col("p_retailprice") / 7
@@ -172,6 +185,11 @@ def matrix_tiles(spark, d):
     return grid.matrix_tiles(boxes(spark, d).where("id < 300"), 0.0, 500.0, 25.6, "https://tiles.example/{TileCol}/{TileRow}.png")
 
 
+@query("tg8_matrix_tiles_all", SQL["tg8_matrix_tiles"].replace(" WHERE id < 300", ""))
+def matrix_tiles_all(spark, d):
+    return grid.matrix_tiles(boxes(spark, d), 0.0, 500.0, 25.6, "https://tiles.example/{TileCol}/{TileRow}.png")
+
+
 @query("jn17_best_scale", "WITH s AS (SELECT CAST(range AS INT) AS place, 100.0 / 2 ** range AS size FROM range(9)), w AS (SELECT p_partkey AS id, p_size / 10.0 AS wanted FROM part), p AS (SELECT id, CAST(coalesce(min(place) FILTER (WHERE size <= wanted), max(place)) AS INT) AS place FROM w, s GROUP BY id) SELECT id, place, CAST(size AS DOUBLE) AS size FROM p JOIN s USING (place)")
 def best_scale(spark, d):
     s = spark.range(9).select(F.col("id").cast("int").alias("place"), (100.0 / F.pow(F.lit(2.0), "id")).alias("size"))
@@ -187,12 +205,17 @@ def web_tiles(spark, d):
 
 
 @query("tg8b_same_aspect", X + "SELECT id, x1 - x0 AS width, y1 - y0 AS height FROM bx WHERE id % 10 = 0")
-def same_aspect(spark, d):
-    b = boxes(spark, d).where("id % 10 = 0").withColumns({"width": F.col("x1") - F.col("x0"), "height": F.col("y1") - F.col("y0")})
+def same_aspect(spark, d, which="id % 10 = 0"):
+    b = boxes(spark, d).where(which).withColumns({"width": F.col("x1") - F.col("x0"), "height": F.col("y1") - F.col("y0")})
     w, h = F.col("width"), F.col("height")
     return grid.same_aspect(b, w, h, w * 4, h * 4).select("id", "width", "height")
 
 
+@query("tg8b_same_aspect_all", SQL["tg8b_same_aspect"].replace(" WHERE id % 10 = 0", ""))
+def same_aspect_all(spark, d):
+    return same_aspect(spark, d, "true")
+
+
 # splits
 
 HASH = "(CAST({k} AS BIGINT) * 48271 + 7) % 2147483647"

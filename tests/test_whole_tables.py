@@ -1,12 +1,13 @@
 """Queries that run on whole tables against DuckDB and brute force, on tables larger than any cut of the SQL'd ones."""
 
 import os
+from collections import Counter
 
 import duckdb
 import pytest
 
 from loamgrid.plans import grid_queries, registry
-from loamgrid.sources.fixtures import pixels
+from loamgrid.sources.fixtures import boxes, pixels
 
 from .test_queries import rows
 
@@ -37,3 +38,29 @@ def test_no_tile_is_left_out(spark, name):
     tiles = lambda df: {r.tile_id for r in df.select("tile_id").distinct().collect()}
     want = tiles(pixels(spark, SF))
     assert len(want) > 12 and tiles(registry.QUERIES[name](spark, SF)) == want
+
+
+@pytest.mark.parametrize("name", ["rs10_rasterized_all", "tg8_matrix_tiles_all", "tg8b_same_aspect_all"])
+def test_all_boxes_equal_sql(spark, db, name):
+    assert not any(cut in registry.SQL[name] for cut in ("id <", "id %", "40000"))
+    equal_sql(spark, db, name)
+
+
+def test_all_contiguous_boxes_equal_brute_force(spark):
+    b = [(r.id, r.x0 // 2, r.y0 // 2) for r in boxes(spark, SF).collect()]
+    root = {k: k for k, _, _ in b}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for k, x, y in b:
+        for m, u, v in b:
+            if m < k and abs(x - u) <= 2 and abs(y - v) <= 2:
+                p, q = sorted((find(k), find(m)))
+                root[q] = p
+    top = {k: find(k) for k in root}
+    members = Counter(top.values())
+    got = {(r.id, r.root, r.members) for r in registry.QUERIES["jn12_vg6_contiguous_all"](spark, SF).collect()}
+    assert len(got) == len(b) > 1600 and got == {(k, r, members[r]) for k, r in top.items()}
