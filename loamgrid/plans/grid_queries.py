@@ -54,6 +54,13 @@ def contains_join(spark, d):
     return box_join(b.where("id % 5 = 1"), prefixed(p), CELL, how="left", residual=B.contains(B.box(), B.box("r_"))).select("id", F.coalesce("r_id", F.lit(-1)).alias("inner_id"))
 
 
+@query("jn7_contains_join_all", SQL["jn7_contains_join"].replace("id % 5 = 0 AND ", "").replace(" WHERE id % 5 = 1", "") + " AND a.id <> b.id")
+def contains_join_all(spark, d):
+    b = boxes(spark, d)
+    p = b.where("x1 - x0 > 6 AND y1 - y0 > 6").select("id", *(e.alias(n) for e, n in zip(B.grown(B.box(), F.lit(-3)), B.BOX, strict=True)))
+    return box_join(b, prefixed(p), CELL, how="left", residual=B.contains(B.box(), B.box("r_")) & (F.col("id") != F.col("r_id"))).select("id", F.coalesce("r_id", F.lit(-1)).alias("inner_id"))
+
+
 @query("jn8_within_join", X + ", z AS (SELECT CAST(range AS INT) AS zone, CAST(range % 5 * 100 AS INT) AS x0, CAST(range // 5 * 100 AS INT) AS y0, CAST(range % 5 * 100 + 100 AS INT) AS x1, CAST(range // 5 * 100 + 100 AS INT) AS y1 FROM range(25)) SELECT a.id, coalesce(zone, -1) AS zone FROM bx a LEFT JOIN z b ON b.x0 <= a.x0 AND b.y0 <= a.y0 AND b.x1 >= a.x1 AND b.y1 >= a.y1")
 def within_join(spark, d):
     k = F.col("id")
@@ -67,6 +74,12 @@ def intersects_mask(spark, d):
     return box_join(b.where("id % 3 = 0"), prefixed(b.where("id % 7 = 1")), CELL, how="left_semi").select("id")
 
 
+@query("jn9_intersects_mask_all", SQL["jn9_intersects_mask"].replace("a.id % 3 = 0 AND ", "").replace("b.id % 7 = 1", "b.id <> a.id"))
+def intersects_mask_all(spark, d):
+    b = boxes(spark, d)
+    return box_join(b, prefixed(b), CELL, how="left_semi", residual=F.col("id") != F.col("r_id")).select("id")
+
+
 @query("jn10_jn16_clipped_pairs", X + f"SELECT a.id, b.id AS r_id, greatest(a.x0, b.x0) AS x0, greatest(a.y0, b.y0) AS y0, least(a.x1, b.x1) AS x1, least(a.y1, b.y1) AS y1 FROM bx a JOIN bx b ON {TOUCH} WHERE a.id % 4 = 0 AND b.id % 9 = 2 AND {INTER} > 0")
 def clipped_pairs(spark, d):
     b = boxes(spark, d)
@@ -74,14 +87,26 @@ def clipped_pairs(spark, d):
     return pairs.select("id", "r_id", *(e.alias(n) for e, n in zip(B.intersection(B.box(), B.box("r_")), B.BOX, strict=True)))
 
 
+@query("jn10_jn16_clipped_pairs_all", SQL["jn10_jn16_clipped_pairs"].replace("a.id % 4 = 0 AND b.id % 9 = 2", "a.id <> b.id"))
+def clipped_pairs_all(spark, d):
+    b = boxes(spark, d)
+    pairs = box_join(b, prefixed(b), CELL, residual=(B.overlap(B.box(), B.box("r_")) > 0) & (F.col("id") != F.col("r_id")))
+    return pairs.select("id", "r_id", *(e.alias(n) for e, n in zip(B.intersection(B.box(), B.box("r_")), B.BOX, strict=True)))
+
+
 @query("fl13_st5_coverage", X + f", c AS (SELECT a.id, max(CASE WHEN b.id IS NULL THEN 0 ELSE {INTER} END) AS covered, max({AREA.format('a')}) AS area FROM bx a LEFT JOIN bx b ON {TOUCH} AND b.id % 11 = 3 AND b.id <> a.id GROUP BY a.id) SELECT id FROM c WHERE 1 - coalesce(CAST(covered AS DOUBLE), 0) / area > 0.4")
-def coverage(spark, d):
+def coverage(spark, d, layer="id % 11 = 3"):
     b = boxes(spark, d)
-    pairs = box_join(b, prefixed(b.where("id % 11 = 3")), CELL, residual=F.col("id") != F.col("r_id"))
+    pairs = box_join(b, prefixed(b.where(layer)), CELL, residual=F.col("id") != F.col("r_id"))
     covered = pairs.groupBy("id").agg(F.max(B.overlap(B.box(), B.box("r_"))).alias("covered"))
     return b.join(covered, "id", "left").where(1 - F.coalesce("covered", F.lit(0)) / B.area(B.box()) > 0.4).select("id")
 
 
+@query("fl13_st5_coverage_all", SQL["fl13_st5_coverage"].replace("b.id % 11 = 3 AND ", ""))
+def coverage_all(spark, d):
+    return coverage(spark, d, "true")
+
+
 @query("jn12_vg6_contiguous", X + ", n AS (SELECT id, x0 // 2 AS x0, y0 // 2 AS y0, x0 // 2 + 2 AS x1, y0 // 2 + 2 AS y1 FROM bx WHERE id % 4 = 0 AND id < 1600), e AS (SELECT a.id AS u, b.id AS v FROM n a JOIN n b ON " + TOUCH + "), w AS (WITH RECURSIVE reach(u, v) AS (SELECT u, v FROM e UNION SELECT reach.u, e.v FROM reach JOIN e ON reach.v = e.u) SELECT u, min(v) AS root FROM reach GROUP BY u) SELECT u AS id, root, CAST(count(*) OVER (PARTITION BY root) AS BIGINT) AS members FROM w")
 def contiguous(spark, d, which="id % 4 = 0 AND id < 1600"):
     from ..operators.graphs import components

@@ -64,3 +64,9 @@ def test_all_contiguous_boxes_equal_brute_force(spark):
     members = Counter(top.values())
     got = {(r.id, r.root, r.members) for r in registry.QUERIES["jn12_vg6_contiguous_all"](spark, SF).collect()}
     assert len(got) == len(b) > 1600 and got == {(k, r, members[r]) for k, r in top.items()}
+
+
+@pytest.mark.parametrize("name", ["jn7_contains_join_all", "jn9_intersects_mask_all", "jn10_jn16_clipped_pairs_all", "fl13_st5_coverage_all"])
+def test_all_pairs_of_boxes_equal_sql(spark, db, name):
+    assert "id %" not in registry.SQL[name].split("FROM part)")[1]
+    equal_sql(spark, db, name)
