@@ -1,18 +1,18 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model trained on trusted text.
 
-The n-grams are of ORDER symbols out of ALPHABET: characters, with rare ones in classes. So the model has a proven bound
-(ALPHABET ** ORDER, 67 MB) whatever the corpus, and may go to every executor, while its counts come from all trusted
-documents: each task counts its own n-grams, sums are sharded by n-gram, and the lower orders' continuation counts, the
-contexts' totals and the discounted probabilities are joins of count tables sharded by context. A join of all documents'
-n-gram occurrences with the counts would move a multiple of the corpus instead.
+The n-grams are of ORDER code points, each for itself: the model grows with what the trusted text holds, in any script. Each
+task counts its own n-grams, sums are sharded by n-gram, and the lower orders' continuation counts, the contexts' totals and
+the discounted probabilities are joins of count tables sharded by context. Executors get the model as sorted 64-bit hashes
+of the n-grams seen with their shares. A join of all documents' n-gram occurrences with the counts would move a multiple of
+the corpus instead.
+
+codes(), train() and log_table() make the model of classes of characters over a fixed alphabet; queries don't use it.
 
 Documents are scored whole in one scan. A language's threshold comes from quantiles of its documents' scores.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -130,28 +130,117 @@ def log_table(model: dict[int, dict[str, np.ndarray]]) -> np.ndarray:
     return np.log(p)
 
 
-_tables: dict[str, np.ndarray] = {}
+def distinct_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of code points as rows of ORDER numbers (0 stands before a text, U+FFFD for U+0000), the row of
+    the n-gram that ends at each symbol, and where each text begins."""
+    sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts))
+    begins = np.cumsum(sizes) - sizes
+    s = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    s = np.where(s == 0, np.uint32(0xFFFD), s)
+    seen = np.zeros(0x110000, bool)
+    seen[s] = True
+    points = np.append(0, np.flatnonzero(seen)).astype(np.uint32)
+    place_of = np.zeros(0x110000, np.uint64)
+    place_of[points] = np.arange(len(points), dtype=np.uint64)
+    ids, place = place_of[s], np.arange(len(s)) - np.repeat(begins, sizes)
+    bits = np.uint64(int(len(points)).bit_length())
+
+    def before(k: int) -> np.ndarray:
+        back = np.zeros_like(ids)
+        back[k:] = ids[: len(ids) - k]
+        back[place < k] = 0
+        return back
+
+    firsts, lasts = before(3) << bits | before(2), before(1) << bits | ids
+    half = np.uint64(2) * bits
+    if half <= 32:
+        both, heads, tails = firsts << half | lasts, None, None
+    else:  # more than 65,535 different code points: number the halves
+        heads, a = np.unique(firsts, return_inverse=True)
+        tails, b = np.unique(lasts, return_inverse=True)
+        half = np.uint64(32)
+        both = a.astype(np.uint64) << half | b.astype(np.uint64)
+    found = np.unique(both)
+    row = np.searchsorted(found, both)
+    hi, lo = found >> half, found & ((np.uint64(1) << half) - np.uint64(1))
+    if heads is not None:
+        hi, lo = heads[hi.astype(np.int64)], tails[lo.astype(np.int64)]
+    mask = (np.uint64(1) << bits) - np.uint64(1)
+    return np.stack([points[(k & mask).astype(np.int64)] for k in (hi >> bits, hi, lo >> bits, lo)], axis=1), row, begins
+
+
+def _hashes(rows: np.ndarray) -> np.ndarray:
+    """64-bit hashes of rows of code points."""
+    h = np.full(len(rows), 0x2545F4914F6CDD1D, np.uint64)
+    for k in range(rows.shape[1]):
+        h = (h ^ rows[:, k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+    return h
+
+
+def _count_grams(batches):
+    for batch in slices(batches, most_bytes=4 << 20):
+        rows, row, _ = distinct_grams([t or "" for t in batch.column(0).to_pylist()])
+        n = np.bincount(row, minlength=len(rows)).astype(np.int64)
+        grams = np.ascontiguousarray(rows, np.uint32).view(f"<U{ORDER}").ravel() if len(rows) else np.zeros(0, "<U1")
+        for a in range(0, len(grams), 1 << 16):
+            yield pa.RecordBatch.from_pydict({"gram": pa.array(grams[a : a + (1 << 16)].tolist(), pa.string()), "n": pa.array(n[a : a + (1 << 16)])})
+
+
+def _sorted(grams: list[str], values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    points = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(len(grams), length)
+    h = _hashes(points)
+    at = np.argsort(h)
+    return h[at], values[at].astype(np.float32)
 
 
-def _kept_table(key: str, shared) -> np.ndarray:
-    """The worker's table of a model; one model's at a time."""
-    if key not in _tables:
-        _tables.clear()
-        _tables[key] = log_table(shared.value)
-    return _tables[key]
+def train_points(texts: DataFrame) -> dict[int, tuple]:
+    """For each order: hashes of n-grams, sorted, with their discounted shares, and hashes of contexts with their weights of
+    the lower order; at 0 the probability of any symbol. texts(text): all trusted text."""
+    counts = cut(texts.mapInArrow(_count_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    model: dict[int, tuple] = {}
+    for order in range(ORDER, 0, -1):
+        d1, d2, d3 = _discounts(counts)
+        discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+        own = counts.withColumn("context", F.substring("gram", 1, order - 1)).withColumn("d", discount)
+        sums = own.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("given"))
+        shares = own.join(sums, "context").select("gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("share")).toPandas()
+        weights = sums.select("context", (F.col("given") / F.col("total")).alias("weight")).toPandas()
+        model[order] = (*_sorted(shares.gram.tolist(), shares.share.to_numpy(), order), *_sorted(weights.context.tolist(), weights.weight.to_numpy(), order - 1))
+        if order > 1:
+            counts = cut(counts.groupBy(F.substring("gram", 2, order - 1).alias("gram")).agg(F.count("*").alias("n")), "grams")
+    model[0] = (1 / (len(model[1][0]) + 1),)  # the symbols seen, and one for all others
+    return model
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, other: float) -> np.ndarray:
+    if not len(keys):
+        return np.full(len(wanted), other)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], other)
+
+
+def log_probabilities(model: dict[int, tuple], rows: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the probability of each n-gram's last symbol after the others."""
+    p = np.full(len(rows), model[0][0])
+    for order in range(1, ORDER + 1):
+        grams, share, contexts, weight = model[order]
+        own = rows[:, ORDER - order :]
+        p = _found(contexts, weight, _hashes(own[:, :-1]), 1.0) * p + _found(grams, share, _hashes(own), 0.0)
+    return np.log(p)
 
 
-def perplexities(docs: DataFrame, model: dict[int, dict[str, np.ndarray]]) -> DataFrame:
+def perplexities(docs: DataFrame, model: dict[int, tuple]) -> DataFrame:
     """doc_id, lang, n_symbols, nats: the length and the negative log-likelihood of each whole text."""
-    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_symbols", pa.int64()), ("nats", pa.float64())])
 
     def run(batches):
-        table = _kept_table(key, shared)
         for batch in slices(batches, most_bytes=4 << 20):
             texts = [t or "" for t in batch.column(2).to_pylist()]
-            code, begins = codes(texts)
-            sums = np.append(np.cumsum(table[code], dtype=np.float64), 0.0)
+            rows, row, begins = distinct_grams(texts)
+            sums = np.append(np.cumsum(log_probabilities(shared.value, rows)[row], dtype=np.float64), 0.0)
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             upto = np.where(begins + sizes > 0, sums[begins + sizes - 1], 0.0)
             before = np.where(begins > 0, sums[begins - 1], 0.0)
@@ -174,7 +263,7 @@ def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     teach = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).where("text <> ''")
     ids = trusted.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
     # by shuffling at any size: a broadcast of ids would do for few of them, and then disk use would jump
-    model = train(teach.join(ids.hint("shuffle_hash"), "id", "left_semi").select("text"))
+    model = train_points(teach.join(ids.hint("shuffle_hash"), "id", "left_semi").select("text"))
     scored = cut(perplexities(docs, model), "scored")
     rate = F.col("nats") / F.col("n_symbols")
     by_lang = scored.where("n_symbols > 0").groupBy(F.col("lang").alias("lang_")).agg(F.percentile_approx(rate, F.array(F.lit(0.5), F.lit(0.75)), 10_000).alias("q"))

@@ -174,3 +174,62 @@ def test_toxicity_of_awkward_rows(spark, awkward, nothing):
     assert toxicity.toxicity_report(nothing, labels).count() == 0
     assert toxicity.toxicity_report(awkward, labels.limit(0)).count() == awkward.count()
     assert toxicity.score(awkward, toxicity.Classifier()).columns == [*awkward.columns, "toxicity", "toxic"]
+
+
+def brute_points(texts, discounts_of):
+    """Probabilities of code points by dictionaries, from the definition."""
+    grams = Counter(s[k : k + 4] for t in texts for s in ["\0\0\0" + t] for k in range(len(t)))
+    levels = [grams]
+    for _ in range(3):
+        levels.append(Counter(g[1:] for g in levels[-1]))
+
+    def p(gram, level=0):
+        if level == 4:
+            return 1 / (len(levels[3]) + 1)
+        c, d = levels[level], discounts_of(levels[level])
+        cut = lambda n: d[min(n, 3) - 1]
+        row = {g: n for g, n in c.items() if g[:-1] == gram[:-1]}
+        if not row:
+            return p(gram[1:], level + 1)
+        n = row.get(gram, 0)
+        return ((n - cut(n) if n else 0) + sum(map(cut, row.values())) * p(gram[1:], level + 1)) / sum(row.values())
+
+    return p
+
+
+def test_code_points_equal_definition(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abAB1жд中文\U0001f600 ") for _ in range(rng.randrange(1, 40))) for _ in range(40)]
+
+    def discounts(c):
+        n = Counter(c.values())
+        if not n[1] or not n[2]:
+            return [0.5, 0.75, 0.9]
+        y = n[1] / (n[1] + 2 * n[2])
+        raw = [1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3] if n[3] else 1.0]
+        return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(raw, 1)]
+
+    model = quality_lm.train_points(spark.createDataFrame([(t,) for t in texts], "text string"))
+    p = brute_points(texts, discounts)
+    tried = [*texts[:3], "zzЖ中a", ""]
+    rows, row, begins = quality_lm.distinct_grams(tried)
+    got = np.exp(quality_lm.log_probabilities(model, rows))[row]
+    want = [p(("\0\0\0" + t)[k : k + 4]) for t in tried for k in range(len(t))]
+    assert got == pytest.approx(want, rel=1e-4)
+
+
+def test_many_code_points_in_one_batch():
+    text = "".join(chr(k) for k in range(1, 0x15000) if not 0xD800 <= k < 0xE000)
+    rows, row, _ = quality_lm.distinct_grams([text, "ab"])
+    s = [0, 0, 0, *map(ord, text)]
+    assert len(rows) == len(text) + 2 and rows[row[:-2]].tolist() == [s[k : k + 4] for k in range(len(text))]
+
+
+def test_prose_of_any_script_is_told_from_random_letters(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("абвгдежзик") for _ in range(rng.randrange(2, 7))) for _ in range(40)]
+    prose = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(40)]
+    noise = ["".join(rng.sample(t, len(t))) for t in prose[:5]]
+    docs = spark.createDataFrame([(k, t, "ru") for k, t in enumerate(prose + noise)], "doc_id long, text string, lang string")
+    out = {r.doc_id: r.perplexity for r in quality_lm.classify(docs, docs.where("doc_id < 30").select("doc_id")).collect()}
+    assert max(out[k] for k in range(30, 40)) * 1.5 < min(out[k] for k in range(40, 45))
