@@ -3,8 +3,8 @@
 Two smoothed variable-order Markov models, of accepted and of rejected URLs, learn from all URLs that a rule judges. A
 character's probability interpolates the contexts of 0 to ORDER characters, each by how many different characters were
 seen after it (Witten-Bell); a context never seen passes the shorter one's on, so the order varies. Contexts and
-n-grams are hashed to SLOTS slots: the counts come from all of the corpus, summed by slot across the cluster, while the
-tables on the executors have a fixed size. The mean difference of log-likelihoods per character is compared with a
+n-grams are known by 64-bit hashes: the counts come from all of the corpus, summed by hash across the cluster, and the
+tables on the executors hold each n-gram that was seen, so they grow with the corpus. The mean difference of log-likelihoods per character is compared with a
 threshold calibrated on the judged URLs.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, cut
 
-ORDER, SLOTS = 5, 1 << 20
+ORDER = 5
 #: Bins of the calibration's histogram, over differences of -RANGE to RANGE a character.
 BINS, RANGE = 4001, 4.0
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -53,8 +53,8 @@ def with_rules(df: DataFrame, rules: list[tuple[str, bool]]) -> DataFrame:
     return df.withColumns({"rule": rule, "allowed": allowed})
 
 
-def slots(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each byte of all URLs, by order: the slot of its context and that of the context with the byte; where each URL
+def hashes(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each byte of all URLs, by order: the hash of its context and that of the context with the byte; where each URL
     begins, with one more byte 0 at its end."""
     coded = [u.encode() + b"\0" for u in urls]
     sizes = np.fromiter(map(len, coded), np.int64, len(coded))
@@ -62,7 +62,7 @@ def slots(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     s = np.frombuffer(b"".join(coded), np.uint8).astype(np.uint64) + np.uint64(1)
     place = np.arange(len(s)) - np.repeat(begins, sizes)
     h = np.zeros(len(s), np.uint64)
-    contexts, grams = np.empty((ORDER + 1, len(s)), np.int32), np.empty((ORDER + 1, len(s)), np.int32)
+    contexts, grams = np.empty((ORDER + 1, len(s)), np.int64), np.empty((ORDER + 1, len(s)), np.int64)
     for order in range(ORDER + 1):
         if order:
             back = np.zeros_like(s)
@@ -71,45 +71,63 @@ def slots(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             h = (h + back) * _K1
             h ^= h >> np.uint64(29)
         seed = (h + np.uint64(order)) * _K2
-        contexts[order] = (seed >> np.uint64(44)).astype(np.int32)
+        contexts[order] = seed.view(np.int64)
         gram = (seed ^ s) * _K1
         gram = (gram ^ (gram >> np.uint64(31))) * _K2
-        grams[order] = (gram >> np.uint64(44)).astype(np.int32)
+        grams[order] = gram.view(np.int64)
     return contexts, grams, begins
 
 
 def _counted(batches):
-    """n of each (accepted, context slot, gram slot)."""
+    """n of each (label, context, gram)."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        contexts, grams, begins = slots(batch.column(0).to_pylist())
+        contexts, grams, begins = hashes(batch.column(0).to_pylist())
         label = np.repeat(np.asarray(batch.column(1).to_pylist(), np.int64), np.diff(np.append(begins, contexts.shape[1])))
-        key = (label[None] << 40) | (contexts.astype(np.int64) << 20) | grams
-        found, n = np.unique(key, return_counts=True)
-        yield pa.RecordBatch.from_pydict({"key": pa.array(found), "n": pa.array(n.astype(np.int64))})
+        for k in (0, 1):
+            # a gram's hash has its context's in it
+            found, first, n = np.unique(grams[:, label == k].ravel(), return_index=True, return_counts=True)
+            context = contexts[:, label == k].ravel()[first]
+            yield pa.RecordBatch.from_pydict({"label": pa.array(np.full(len(found), k)), "context": pa.array(context), "gram": pa.array(found), "n": pa.array(n.astype(np.int64))})
+
+
+def _sorted(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    at = np.argsort(keys)
+    return keys[at], *(v[at].astype(np.float32) for v in values)
+
+
+def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in the sorted keys, at least one, each wanted one is, and whether it is there."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
 
 
 class Ratio:
-    """For each of the two models: counts by gram slot, and totals and distinct followers by context slot."""
+    """For each of the two models: sorted hashes of n-grams with counts, of contexts with totals and distinct followers."""
 
     def __init__(self):
-        self.gram = np.zeros((2, SLOTS), np.float32)
-        self.total = np.zeros((2, SLOTS), np.float32)
-        self.followers = np.zeros((2, SLOTS), np.float32)
+        none = np.zeros(0, np.int64), np.zeros(0, np.float32)
+        self.grams = [none, none]
+        self.contexts = [(*none, none[1])] * 2
         self.threshold = 0.0
 
     def differences(self, urls: list[str]) -> np.ndarray:
         """Mean log-likelihood a byte as accepted, less that as rejected."""
-        contexts, grams, begins = slots(urls)
+        contexts, grams, begins = hashes(urls)
         if not len(begins):
             return np.zeros(0)
         logs = []
         for k in (1, 0):
             p = np.full(contexts.shape[1], 1 / 257)
+            (gram, count), (context, total, followers) = self.grams[k], self.contexts[k]
             for c, g in zip(contexts, grams, strict=True):
-                t = self.followers[k, c]
-                p = np.where(t > 0, (self.gram[k, g] + t * p) / np.maximum(self.total[k, c] + t, 1), p)
+                if not len(context):
+                    break
+                at, known = _places(context, c)
+                t = np.where(known, followers[at], 0)
+                by, seen = _places(gram, g)
+                p = np.where(known, (np.where(seen, count[by], 0) + t * p) / np.maximum(np.where(known, total[at], 0) + t, 1), p)
             logs.append(np.log(p))
         sizes = np.diff(np.append(begins, contexts.shape[1]))
         return np.add.reduceat(logs[0] - logs[1], begins) / sizes
@@ -119,13 +137,13 @@ def fit(judged: DataFrame) -> Ratio:
     """judged(url, allowed): all URLs with a rule's verdict."""
     ratio = Ratio()
     rows = judged.where("url IS NOT NULL").select("url", F.col("allowed").cast("int").alias("label"))
-    counts = cut(rows.mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "contexts")
-    label, context, gram = F.shiftright("key", 40), F.shiftright("key", 20).bitwiseAND(F.lit(SLOTS - 1)), F.col("key").bitwiseAND(F.lit(SLOTS - 1))
-    # at most 2 * SLOTS rows each
-    for slot, made in ((context, {"total": F.sum("n"), "followers": F.count("*")}), (gram, {"gram": F.sum("n")})):
-        found = counts.groupBy(label.alias("label"), slot.alias("slot")).agg(*(f.alias(k) for k, f in made.items())).toPandas()
-        for k in made:
-            getattr(ratio, k)[found.label.to_numpy(np.int64), found.slot.to_numpy(np.int64)] = found[k].to_numpy(np.float32)
+    counts = cut(rows.mapInArrow(_counted, "label long, context long, gram long, n long").groupBy("label", "context", "gram").agg(F.sum("n").alias("n")), "contexts")
+    for k in (0, 1):
+        own = counts.where(F.col("label") == k)
+        grams = own.select("gram", "n").toPandas()
+        contexts = own.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("followers")).toPandas()
+        ratio.grams[k] = _sorted(grams.gram.to_numpy(np.int64), grams.n.to_numpy())
+        ratio.contexts[k] = _sorted(contexts.context.to_numpy(np.int64), contexts.total.to_numpy(), contexts.followers.to_numpy())
     return ratio
 
 
@@ -171,7 +189,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, bool]]) -> DataFrame:
     ruled = with_rules(clean.withColumns({"host": host_of(url), "path": path_of(url)}), rules)
     judged = ruled.where("allowed IS NOT NULL").select("url", "allowed")
     ratio = fit(judged)
-    both = bool(ratio.total[0].any() and ratio.total[1].any())
+    both = all(len(g[0]) for g in ratio.grams)
     ratio.threshold = calibrate(ratio, judged) if both else -RANGE
     scored = _scored(ruled, ratio)
     allowed = F.coalesce(F.col("allowed"), (F.col("difference") >= ratio.threshold) if both else F.lit(True))

@@ -1,6 +1,7 @@
 """Line dedup, quality rules and URL rules against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -144,3 +145,14 @@ def test_sources_of_null_group_together(spark):
     rows = [(k, "a b " * 20, None, None) for k in range(5)]
     got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).agg(F.count("*")).first()[0]
     assert got == 5
+
+
+def test_url_tables_grow_with_the_grams(spark):
+    """More distinct n-grams than 2 ** 20: each keeps its own count."""
+    rng = random.Random(6)
+    urls = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(60)) for _ in range(12_000)]
+    keys, counts = url_filter.fit(spark.createDataFrame([(u, True) for u in urls], "url string, allowed boolean").repartition(4)).grams[1]
+    pad = "^" * url_filter.ORDER
+    want = Counter((n, s[k - n : k + 1]) for s in (pad + u + "\0" for u in urls) for k in range(len(pad), len(s)) for n in range(url_filter.ORDER + 1))
+    assert len(keys) == len(want) > 1 << 20
+    assert sorted(counts) == sorted(want.values())
