@@ -233,3 +233,10 @@ def test_prose_of_any_script_is_told_from_random_letters(spark):
     docs = spark.createDataFrame([(k, t, "ru") for k, t in enumerate(prose + noise)], "doc_id long, text string, lang string")
     out = {r.doc_id: r.perplexity for r in quality_lm.classify(docs, docs.where("doc_id < 30").select("doc_id")).collect()}
     assert max(out[k] for k in range(30, 40)) * 1.5 < min(out[k] for k in range(40, 45))
+
+
+def test_a_word_in_three_texts_is_learnt_from_at_any_size():
+    rows = [toxicity.word_features(f"w{k % 40}" + (" snork" if k < 3 else "")) for k in range(4000)]
+    c = toxicity.Classifier()
+    c.fit(rows, np.asarray([k < 3 for k in range(4000)], np.float32), steps=1)
+    assert np.isin(toxicity.word_features("snork"), c.known).any() and toxicity.TRAIN_ROWS >= 8000
