@@ -5,13 +5,16 @@
 2. Classes that share a band key are candidates. In each bucket the classes are compared with two leaders, the first and
    the last, so that a bucket of n gives 2n pairs; links make components. A bucket that lies in one component is done:
    pairs within a component change no result. In the others, the classes outside of the bucket's largest component are
-   queries against all classes that buckets connect them with. Queries and classes meet in blocks of at most BLOCK each,
-   inside of one task, and only links leave it: no pair becomes a row, however large a group is. Nothing is capped.
+   queries against the bucket's classes. They meet in blocks inside of one task, first by signatures, then those that
+   signatures leave by their texts, each pair in its first common bucket; only links leave a task: no pair becomes a row,
+   however large a group is, and components that a link has joined need no more pairs. Nothing is capped.
 3. A pair is compared by batches of BATCH signature values. With m of n equal and a uniform prior, its similarity has a
    Beta(m + 1, n - m + 1) posterior; the pair is pruned as soon as the probability of reaching the threshold is below
    MISS. Survivors are verified exactly on the full sets of their texts.
 
-A pair of the threshold's similarity shares no band with a chance of (1 - 0.8 ** ROWS) ** BANDS, about 5e-6.
+A pair of the threshold's similarity shares no band with a chance of (1 - 0.8 ** ROWS) ** BANDS, about 5e-6. Rows of a hot
+key (a bucket, a leader) are joined with tables of one row a key that are written first, so that both sides are plain
+exchanges which the adaptive skew join can split.
 """
 
 from __future__ import annotations
@@ -24,11 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, text_column
+from .common import cut, in_arrow, scratch, slices, text_column
 from .components import connected_components
 
 BANDS, ROWS, CHECKS, BATCH, MISS = 40, 6, 128, 16, 1e-7
-BLOCK = 1024
+#: Classes of a block, and shingles of their texts (about 8 bytes each as sets, 6 as texts).
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _rng = np.random.default_rng(20240607)
 _A = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -147,100 +151,171 @@ def _verified(words: int, percent: int):
 
 
 class _Block:
-    """Classes of one block: their signatures as a matrix, and their sets made when a query first needs them."""
+    """Classes of one unit: signatures and band keys as matrices, and sets made when a pair first needs them."""
+
+    #: Values of the sets that are kept for further pairs.
+    MOST_KEPT = 4 << 20
 
     def __init__(self, rows: list[tuple], words: int):
         self.words = words
         self.cids, self.roots = (np.asarray([r[k] for r in rows], np.int64) for k in (0, 1))
         self.sigs = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(-1, CHECKS)
-        self.texts = [r[3] for r in rows]
+        self.bands = np.frombuffer(b"".join(r[3] for r in rows), np.int64).reshape(-1, BANDS)
+        self.texts = [r[4] for r in rows] if rows and len(rows[0]) > 4 else []
         self.sets: dict[int, np.ndarray] = {}
+        self.kept = 0
 
     def set_of(self, k: int) -> np.ndarray:
         if k not in self.sets:
-            self.sets[k] = shingle_set(self.texts[k], self.words)
+            made = shingle_set(self.texts[k], self.words)
+            if self.kept + len(made) > self.MOST_KEPT:
+                self.sets.clear()
+                self.kept = 0
+            self.sets[k] = made
+            self.kept += len(made)
         return self.sets[k]
 
 
-def _block_links(queries: _Block, members: _Block, bounds: list[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
-    """For each query its component with each other one that it is linked with."""
-    out = []
+def _survivors(queries: _Block, q: int, members: _Block, band: int, left: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
+    """Those of the members `left` that signatures don't prune, and whose first common bucket with the query is this one:
+    each pair is compared in one bucket only."""
+    equal = np.zeros(len(left), np.int64)
+    for n, m in bounds:
+        part = slice(n - BATCH, n)
+        equal += (members.sigs[left, part] == queries.sigs[q, part]).sum(1)
+        left, equal = left[equal >= m], equal[equal >= m]
+    return left[(members.bands[left, :band] != queries.bands[q, :band]).all(1)]
+
+
+def _wanted(queries: _Block, members: _Block, band: int, bounds: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Which queries and which members are in a pair of different components that signatures leave."""
+    asked, wanted = np.zeros(len(queries.cids), bool), np.zeros(len(members.cids), bool)
+    for q in range(len(queries.cids)):
+        left = _survivors(queries, q, members, band, np.flatnonzero(members.roots != queries.roots[q]), bounds)
+        asked[q] = len(left)
+        wanted[left] = True
+    return asked, wanted
+
+
+def _block_links(queries: _Block, members: _Block, band: int, bounds: list[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
+    """Pairs of components that are linked. Components that links have joined already need no further pair."""
+    out: list[tuple[int, int]] = []
+    over: dict[int, int] = {}
+
+    def top(root: int) -> int:
+        while root in over:
+            root = over[root]
+        return root
+
     for q in range(len(queries.cids)):
-        left = np.flatnonzero(members.roots != queries.roots[q])
-        equal = np.zeros(len(left), np.int64)
-        for n, m in bounds:
-            part = slice(n - BATCH, n)
-            equal += (members.sigs[left, part] == queries.sigs[q, part]).sum(1)
-            left, equal = left[equal >= m], equal[equal >= m]
-        if not len(left):
-            continue
-        own = queries.set_of(q)
-        sets = [members.set_of(k) for k in left.tolist()]
-        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        all_ = np.concatenate(sets)
-        at = np.minimum(np.searchsorted(own, all_), len(own) - 1)
-        same = np.add.reduceat((own[at] == all_).astype(np.int64), np.cumsum(sizes) - sizes)
-        linked = left[100 * same >= percent * (len(own) + sizes - same)]
-        out += [(int(queries.roots[q]), root) for root in np.unique(members.roots[linked]).tolist()]
+        mine = top(int(queries.roots[q]))
+        names, at = np.unique(members.roots, return_inverse=True)
+        other = np.asarray([top(r) != mine for r in names.tolist()], bool)[at] if len(names) else np.zeros(0, bool)
+        left = _survivors(queries, q, members, band, np.flatnonzero(other), bounds)
+        own = queries.set_of(q) if len(left) else None
+        for k in left.tolist():
+            theirs = top(int(members.roots[k]))
+            if theirs == mine:
+                continue
+            other_set = members.set_of(k)
+            place = np.minimum(np.searchsorted(own, other_set), len(own) - 1)
+            same = int((own[place] == other_set).sum())
+            if 100 * same >= percent * (len(own) + len(other_set) - same):
+                over[max(mine, theirs)] = mine = min(mine, theirs)
+                out.append((int(queries.roots[q]), int(members.roots[k])))
     return out
 
 
-def _in_blocks(words: int, percent: int):
-    """Rows (cluster, qb, mb, query, cid, root, sig, text), in order of the first three: components that are linked."""
-    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
-    bounds = least_matches(percent / 100)
+def _values(column: pa.Array) -> list:
+    """Python values; band keys as bytes."""
+    if pa.types.is_list(column.type):
+        return [row.tobytes() for row in column.flatten().to_numpy().reshape(len(column), BANDS)]
+    return column.to_pylist()
 
-    def links(rows: list[list[tuple]]) -> pa.RecordBatch:
-        members, queries = (_Block(r, words) for r in rows)
-        found = _block_links(queries, members, bounds, percent) if len(queries.cids) and len(members.cids) else []
-        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=schema)
+
+def _units(work):
+    """work(queries, members, unit) for each unit of rows (key, band, qb, mb, query, ...), in order of key, qb and mb."""
 
     def run(batches):
-        key, rows = None, [[], []]
+        unit, rows = None, [[], []]
         for batch in slices(batches):
-            columns = [c.to_pylist() for c in batch.columns]
-            for a, b, c, query, *row in zip(*columns, strict=True):
-                if (a, b, c) != key:
-                    if key is not None:
-                        yield links(rows)
-                    key, rows = (a, b, c), [[], []]
+            columns = [_values(c) for c in batch.columns]
+            for key, band, qb, mb, query, *row in zip(*columns, strict=True):
+                if (key, band, qb, mb) != unit:
+                    if unit is not None and rows[0] and rows[1]:
+                        yield work(rows[1], rows[0], unit)
+                    unit, rows = (key, band, qb, mb), [[], []]
                 rows[query].append(tuple(row))
-        if key is not None:
-            yield links(rows)
+        if unit is not None and rows[0] and rows[1]:
+            yield work(rows[1], rows[0], unit)
 
     return run
 
 
-def _rest_links(members: DataFrame, roots: DataFrame, star: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs of roots of components that are linked, among components that buckets have in common."""
-    placed = members.select("key", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("key", "cid", F.coalesce("root", "cid").alias("root"))
+UNIT_DDL = "key long, band int, qb int, mb int, query int"
+
+
+def _sieve(words: int, bounds: list[tuple[int, int]]):
+    """The rows (unit, cid, root, sig, bands) that are in a pair which signatures leave."""
+    schema = pa.schema([("key", pa.int64()), ("band", pa.int32()), ("qb", pa.int32()), ("mb", pa.int32()), ("query", pa.int32()), ("cid", pa.int64()), ("root", pa.int64())])
+
+    def work(asked: list[tuple], members: list[tuple], unit: tuple) -> pa.RecordBatch:
+        queries, all_ = _Block(asked, words), _Block(members, words)
+        found = _wanted(queries, all_, unit[1], bounds)
+        rows = [(*unit, 1 - which, int(b.cids[k]), int(b.roots[k])) for which, (b, some) in enumerate(zip((queries, all_), found, strict=True)) for k in np.flatnonzero(some)]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    return _units(work)
+
+
+def _in_blocks(words: int, percent: int, bounds: list[tuple[int, int]]):
+    """Rows (unit, cid, root, sig, bands, text): components that are linked."""
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+
+    def work(asked: list[tuple], members: list[tuple], unit: tuple) -> pa.RecordBatch:
+        found = _block_links(_Block(asked, words), _Block(members, words), unit[1], bounds, percent)
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=schema)
+
+    return _units(work)
+
+
+def _rest_links(members: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs of roots of components that are linked, among components that a bucket has in common.
+
+    Work is dealt by bucket: a query meets the classes of its own buckets only. In a bucket of two classes the leaders'
+    comparison was complete. Blocks of a bucket hold at most about BLOCK classes and BLOCK_SHINGLES shingles. Signatures
+    come first; texts move only for classes that are in a pair which signatures leave."""
+    bounds = least_matches(percent / 100)
+    placed = members.where("n > 2").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("key", "band", "cid", "n_shingles", F.coalesce("root", "cid").alias("root"))
     placed = cut(placed, "placed")
     by_root = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     mains = cut(by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main")).where("roots > 1").select("key", "main"), "mains")
-    part = placed.join(mains, "key").groupBy("cid", "root").agg(F.max((F.col("root") != F.col("main")).cast("int")).alias("query"))
-    clusters = connected_components(star.toDF("u", "v")).select(F.col("node").alias("cid"), F.col("root").alias("cluster"))
-    part = cut(part.join(clusters, "cid"), "part")
-    many = lambda n: F.ceil(n / BLOCK).cast("int")
-    sizes = cut(part.groupBy("cluster").agg(many(F.count("*")).alias("nb"), many(F.sum("query")).alias("nq")).where("nq > 0"), "blocks")
-    dealt = part.join(sizes, "cluster")
+    part = cut(placed.join(mains, "key").select("key", "band", "cid", "root", "n_shingles", (F.col("root") != F.col("main")).cast("int").alias("query")), "part")
+    many = lambda own: F.ceil(F.greatest(F.sum(own) / BLOCK, F.sum(own * F.col("n_shingles")) / BLOCK_SHINGLES)).cast("int")
+    sizes = cut(part.groupBy("key").agg(many(F.lit(1)).alias("nb"), many(F.col("query")).alias("nq")), "blocks")
+    dealt = part.join(sizes, "key")
     block = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = dealt.select("cluster", every("nq").alias("qb"), block("nb").alias("mb"), F.lit(0).alias("query"), "cid", "root")
-    asked = dealt.where("query = 1").select("cluster", block("nq").alias("qb"), every("nb").alias("mb"), F.lit(1).alias("query"), "cid", "root")
-    full = classes.select("cid", "sig").join(texts, "cid")
-    rows = own.unionByName(asked).join(full, "cid").select("cluster", "qb", "mb", "query", "cid", "root", "sig", "text")
-    rows = rows.repartition("cluster", "qb", "mb").sortWithinPartitions("cluster", "qb", "mb")
-    return cut(rows.mapInArrow(_in_blocks(words, percent), "x long, y long"), "more")
+    own = dealt.select("key", "band", every("nq").alias("qb"), block("nb").alias("mb"), F.lit(0).alias("query"), "cid", "root")
+    asked = dealt.where("query = 1").select("key", "band", block("nq").alias("qb"), every("nb").alias("mb"), F.lit(1).alias("query"), "cid", "root")
+
+    def in_units(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "qb", "mb").sortWithinPartitions("key", "qb", "mb")
+
+    signed = own.unionByName(asked).join(classes.select("cid", "sig", "bands"), "cid").select("key", "band", "qb", "mb", "query", "cid", "root", "sig", "bands")
+    wanted = cut(in_arrow(in_units(signed), _sieve(words, bounds), f"{UNIT_DDL}, cid long, root long"), "wanted")
+    full = wanted.join(classes.select("cid", "sig", "bands"), "cid").join(texts, "cid").select("key", "band", "qb", "mb", "query", "cid", "root", "sig", "bands", "text")
+    return cut(in_arrow(in_units(full), _in_blocks(words, percent, bounds), "x long, y long"), "more")
 
 
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (x, y) of classes that the signatures leave and the full sets confirm."""
     sigs = classes.select("cid", "sig")
     both = pairs.join(sigs.select(F.col("cid").alias("x"), F.col("sig").alias("sx")), "x").join(sigs.select(F.col("cid").alias("y"), F.col("sig").alias("sy")), "y")
-    left = cut(both.select("x", "y", "sx", "sy").mapInArrow(_surviving(percent / 100), "x long, y long"), "pairs")
+    left = cut(in_arrow(both.select("x", "y", "sx", "sy"), _surviving(percent / 100), "x long, y long"), "pairs")
     tx, ty = texts.select(F.col("cid").alias("x"), F.col("text").alias("tx")), texts.select(F.col("cid").alias("y"), F.col("text").alias("ty"))
     rows = left.join(tx, "x").join(ty, "y").select("x", "y", "tx", "ty").sortWithinPartitions("y")
-    return cut(rows.mapInArrow(_verified(words, percent), "x long, y long"), "links")
+    return cut(in_arrow(rows, _verified(words, percent), "x long, y long"), "links")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -254,10 +329,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     aren't read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")).select("doc_id", F.xxhash64("text").alias("h"), "text")
-    rows = cut(docs.mapInArrow(_signed(words), SIGNED_DDL), "signed")
-    classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"), F.min_by(F.struct("doc_id", "h"), F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    with scratch(docs.sparkSession) as kept:
+        rows = cut(in_arrow(docs, _signed(words), SIGNED_DDL), "signed")
+        kept.append(rows)
+        found = _components(docs, rows, words, percent)
+        kept.append(found)
+    out = rows.select("doc_id", "h", "n_shingles", "digest").join(found, "digest", "left")
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "h", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _components(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """digest, component_id of each class of equal sets."""
+    firsts = [F.first(c).alias(c) for c in ("n_shingles", "bands", "sig")]
+    classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"), F.min_by(F.struct("doc_id", "h"), F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("rep"), *firsts)
     classes = cut(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    members = classes.select("cid", F.explode("bands").alias("key"))
+    members = classes.select("cid", "n_shingles", F.posexplode("bands").alias("band", "key"))
     buckets = cut(members.groupBy("key").agg(F.count("*").alias("n"), F.min("cid").alias("first"), F.max("cid").alias("last")).where("n > 1"), "buckets")
     members = cut(members.join(buckets, "key"), "members")
     needed = members.select("cid").distinct().join(classes.select("cid", "rep"), "cid")
@@ -268,16 +355,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     star = cut(star.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "star")
     links = _links(star, classes, texts, words, percent)
     roots = cut(connected_components(links.toDF("u", "v")), "roots")
-    more = _rest_links(members, roots, star, classes, texts, words, percent)
+    more = _rest_links(members, roots, classes, texts, words, percent)
     over = connected_components(more.toDF("u", "v")).select(F.col("node").alias("root"), F.col("root").alias("over"))
     roots = roots.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root")).unionByName(over.join(roots, over["root"] == roots["node"], "left_anti").select(F.col("root").alias("node"), F.col("over").alias("root")))
     # names of components: the smallest id among their classes
     named = classes.select("cid", "digest", "least").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("digest", "least", F.coalesce("root", "cid").alias("root"))
-    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = cut(named.join(names, "root").select("digest", "component_id"), "found")
-    out = rows.select("doc_id", "h", "n_shingles", "digest").join(found, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "h", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    names = cut(named.groupBy("root").agg(F.min("least").alias("component_id")), "names")
+    return cut(named.join(names, "root").select("digest", "component_id"), "found")
 
 
 def near_duplicate_report(docs: DataFrame, words: int = 2, percent: int = 80) -> DataFrame:
