@@ -4,8 +4,8 @@ The network reads windows of WINDOW bytes in both directions with its state set
 position a distribution over the languages, and a document's probabilities are the means over all its positions. Windows
 bound the memory and let one step run for thousands of positions at once, so that long texts take no longer a byte.
 
-It is trained by backpropagation through time on a bounded sample (TRAIN_DOCS whole documents for each language, and
-windows of these), with the document's language as the label of each position. Training takes the same time at any
+It is trained by backpropagation through time on a bounded sample (TRAIN_DOCS documents for each language, and windows
+of these), with the document's language as the label of each position. Training takes the same time at any
 size of input; scoring is one scan without an exchange.
 """
 
@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_column
+from .common import in_arrow, slices, text_column
 
 WINDOW, HIDDEN = 64, 8
-#: Documents for each language in the sample, most languages (by frequency), and most characters of a sample's document.
-TRAIN_DOCS, MOST_LANGS, MOST_CHARS = 400, 64, 100_000
+#: Documents for each language in the sample, most characters of one (longer ones give a stretch), and of all of them.
+TRAIN_DOCS, MOST_CHARS, SAMPLE_CHARS = 400, 100_000, 48_000_000
 STEPS, BATCH, RATE = 250, 128, 0.02
 UNKNOWN = "und"
 _ASCII_LETTER = re.compile("[A-Za-z]")
@@ -198,17 +198,20 @@ def predict(network: Network, texts: list[str | None]) -> tuple[list[str], list[
     return langs, [min(1.0, float(p[k])) if ok else 0.0 for p, k, ok in zip(prob, best, said, strict=True)] if network.langs else [0.0] * len(texts)
 
 
-def training_sample(docs: DataFrame, each: int = TRAIN_DOCS, most_langs: int = MOST_LANGS, most_chars: int = MOST_CHARS) -> list:
-    """Rows (lang, text) of about `each` documents for each of the most frequent languages, by a hash of id and text."""
-    docs = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= most_chars))
-    counts = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs).collect()
-    if not counts:
+def training_sample(docs: DataFrame, each: int = TRAIN_DOCS, most_chars: int = MOST_CHARS, all_chars: int = SAMPLE_CHARS) -> list:
+    """Rows (lang, text) of about `each` documents for every language, fewer where languages are so many that the sample
+    would have more than about all_chars characters, by a hash of id and text. Of a text longer than most_chars there is
+    a stretch of that length from a place that the hash gives."""
+    at = F.pmod(F.xxhash64(F.lit(2), "doc_id", "text"), F.greatest(F.length("text") - most_chars, F.lit(0)) + 1).cast("int") + 1
+    docs = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("text_", F.col("text").substr(at, F.lit(most_chars)))
+    counts = docs.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text_")).alias("chars"))
+    of_all = counts.agg(F.count("*").alias("n"), F.sum(F.least(F.lit(1.0), 1.1 * each / F.col("n")) * F.col("chars")).alias("chars")).first()
+    if not of_all.n:
         return []
-    share = F.lit(None)
-    for r in counts:
-        share = F.when(F.col("lang") == r.lang, min(1.0, 1.1 * each / r.n)).otherwise(share)
+    part = min(1.0, all_chars / of_all.chars)
+    shares = counts.select(F.col("lang").alias("lang_"), (F.least(F.lit(1.0), 1.1 * each / F.col("n")) * part).alias("share"))
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    return docs.where(place < share).select("lang", "text").limit(2 * each * most_langs).collect()
+    return docs.join(shares, F.col("lang") == F.col("lang_")).where(place < F.col("share")).select("lang", F.col("text_").alias("text")).collect()
 
 
 def fit(docs: DataFrame, each: int = TRAIN_DOCS, steps: int = STEPS) -> Network:
@@ -248,7 +251,7 @@ def _with_predictions(keep: DataFrame, schema, network) -> DataFrame:
             langs, scores = predict(network.value, batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "lang_score"])
 
-    return keep.mapInArrow(run, schema)
+    return in_arrow(keep, run, schema)
 
 
 def language_report(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:

@@ -1,14 +1,16 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model trained on trusted text.
 
 The n-grams are of ORDER code points, each for itself: the model grows with what the trusted text holds, in any script. Each
-task counts its own n-grams, sums are sharded by n-gram, and the lower orders' continuation counts, the contexts' totals and
-the discounted probabilities are joins of count tables sharded by context. Executors get the model as sorted 64-bit hashes
-of the n-grams seen with their shares. A join of all documents' n-gram occurrences with the counts would move a multiple of
-the corpus instead.
+task counts its own n-grams and sums are sharded by n-gram. The lower orders' continuation counts, the contexts' totals,
+the discounted shares and the weights of the lower order are tables sharded by n-gram or context; nothing sends them whole
+to anywhere.
 
-codes(), train() and log_table() make the model of classes of characters over a fixed alphabet; queries don't use it.
+The distinct n-grams of all documents join these tables, order by order, which gives each one its log-probability. The
+HEAVY most frequent of them go to the executors (a table of a fixed bound), where a scan sums them for each document. All
+other n-grams leave that scan as rows (document, n-gram, how often), join their log-probabilities by n-gram, and are summed
+for each document. Whether an n-gram is heavy decides where it is looked up, never what it counts.
 
-Documents are scored whole in one scan. A language's threshold comes from quantiles of its documents' scores.
+A language's threshold comes from quantiles of its documents' scores.
 """
 
 from __future__ import annotations
@@ -18,71 +20,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices
+from .common import cut, in_arrow, scratch, slices
 
-ORDER, BITS = 4, 6
-ALPHABET = 1 << BITS
+ORDER = 4
+#: N-grams whose log-probabilities go to every executor (12 bytes each).
+HEAVY = 1 << 17
+#: Distinct n-grams that a task sums up before it hands them on.
+MOST_HELD = 1 << 18
+#: Ids of trusted documents that are broadcast (16 bytes each); more are joined by a shuffle.
+MOST_IDS = 1 << 21
 #: A document is kept up to the median plus so many times the distance from the median to the upper quartile.
 FENCE = 8.0
 #: Least distance, in nats a symbol, and symbols at the language's median that each score is averaged with.
 LEAST_SPREAD, PRIOR = 0.02, 100.0
-#: Symbols: 0 begins a text; then letters, classes of accented ones, capitals, digits, white space, marks.
-_PLAIN = "abcdefghijklmnopqrstuvwxyz \n.,!?:;'\"-|#$%&*()/@_=+<>"
-_ACCENTS = "éèêëàâäáîïíôöóûüúùçñß"
-
-
-def _symbols() -> np.ndarray:
-    out = np.full(0x181, 62, np.uint8)  # any other letter or mark of Latin-1 and Extended-A
-    out[0x180] = 63  # all beyond
-    for k, c in enumerate(_PLAIN):
-        out[ord(c)] = 1 + k
-    at = 1 + len(_PLAIN)
-    for k, group in enumerate(("éèêë", "àâäá", "îïí", "ôöó", "ûüúù", "çñß")):
-        for c in group:
-            out[ord(c)] = at + k
-    for c in range(ord("A"), ord("Z") + 1):
-        out[c] = at + 6
-    for c in range(0xC0, 0xDF):
-        out[c] = at + 6
-    for c in "0123456789":
-        out[ord(c)] = at + 7
-    for c in "\t\r\x0b\x0c":
-        out[ord(c)] = out[ord(" ")]
-    return out
-
-
-SYMBOLS = _symbols()
-
-
-def symbols(text: str) -> np.ndarray:
-    return SYMBOLS[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 0x180)]
-
-
-def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The code of the n-gram that ends at each symbol of each text, and where each text begins."""
-    sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts))
-    begins = np.cumsum(sizes) - sizes
-    s = symbols("".join(texts)).astype(np.uint32)
-    out = s.copy()
-    place = np.arange(len(s)) - np.repeat(begins, sizes)
-    for k in range(1, ORDER):
-        back = np.zeros_like(s)
-        back[k:] = s[:-k]
-        back[place < k] = 0
-        out |= back << np.uint32(BITS * k)
-    return out, begins
-
-
-def _count(batches):
-    total = np.zeros(1 << (BITS * ORDER), np.int32)
-    for batch in slices(batches, most_bytes=4 << 20):
-        code, _ = codes([t or "" for t in batch.column(0).to_pylist()])
-        found, n = np.unique(code, return_counts=True)
-        total[found] += n.astype(np.int32)
-    found = np.flatnonzero(total)
-    for a in range(0, len(found), 1 << 16):
-        part = found[a : a + (1 << 16)]
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(part, pa.int64()), "n": pa.array(total[part], pa.int64())})
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -96,40 +46,6 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(out, 1)]
 
 
-def train(texts: DataFrame) -> dict[int, dict[str, np.ndarray]]:
-    """For each order: n-grams' codes with their discounted shares, and contexts' codes with their weights of the lower
-    order. texts(text): all trusted text."""
-    counts = cut(texts.mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    model: dict[int, dict[str, np.ndarray]] = {}
-    for order in range(ORDER, 0, -1):
-        d1, d2, d3 = _discounts(counts)
-        discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        own = counts.withColumn("context", F.shiftright("gram", BITS)).withColumn("d", discount)
-        sums = own.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("given"))
-        shares = own.join(sums, "context").select("gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("share")).toPandas()
-        weights = sums.select("context", (F.col("given") / F.col("total")).alias("weight")).toPandas()
-        model[order] = {"gram": shares.gram.to_numpy(np.int64), "share": shares.share.to_numpy(np.float32), "context": weights.context.to_numpy(np.int64), "weight": weights.weight.to_numpy(np.float32)}
-        if order > 1:
-            # continuation counts: before how many symbols' n-grams the shorter one stands
-            shorter = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (order - 1))) - 1))
-            counts = cut(counts.groupBy(shorter.alias("gram")).agg(F.count("*").alias("n")), "grams")
-    return model
-
-
-def log_table(model: dict[int, dict[str, np.ndarray]]) -> np.ndarray:
-    """Natural logarithms of the probability of each n-gram's last symbol after the others."""
-    p = np.full(ALPHABET, 1 / ALPHABET, np.float32)
-    for order in range(1, ORDER + 1):
-        m = model[order]
-        weight = np.ones(1 << (BITS * (order - 1)), np.float32)
-        weight[m["context"]] = m["weight"]
-        low = p.reshape(-1, ALPHABET)  # by the lower order's context
-        repeat = len(weight) // len(low)
-        p = (weight.reshape(repeat, len(low), 1) * low[None]).reshape(-1)
-        p[m["gram"]] += m["share"]
-    return np.log(p)
-
-
 def distinct_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct n-grams of code points as rows of ORDER numbers (0 stands before a text, U+FFFD for U+0000), the row of
     the n-gram that ends at each symbol, and where each text begins."""
@@ -179,78 +95,117 @@ def _hashes(rows: np.ndarray) -> np.ndarray:
     return h
 
 
-def _count_grams(batches):
-    for batch in slices(batches, most_bytes=4 << 20):
-        rows, row, _ = distinct_grams([t or "" for t in batch.column(0).to_pylist()])
-        n = np.bincount(row, minlength=len(rows)).astype(np.int64)
-        grams = np.ascontiguousarray(rows, np.uint32).view(f"<U{ORDER}").ravel() if len(rows) else np.zeros(0, "<U1")
-        for a in range(0, len(grams), 1 << 16):
-            yield pa.RecordBatch.from_pydict({"gram": pa.array(grams[a : a + (1 << 16)].tolist(), pa.string()), "n": pa.array(n[a : a + (1 << 16)])})
+def _strings(rows: np.ndarray) -> list[str]:
+    return np.ascontiguousarray(rows, np.uint32).view(f"<U{ORDER}").ravel().tolist() if len(rows) else []
 
 
-def _sorted(grams: list[str], values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    points = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(len(grams), length)
-    h = _hashes(points)
-    at = np.argsort(h)
-    return h[at], values[at].astype(np.float32)
+def _count_grams(batches):
+    """gram, n: of all the task's texts together, as far as MOST_HELD distinct ones go."""
+    held, counts = np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
 
+    def out():
+        for a in range(0, len(held), 1 << 16):
+            yield pa.RecordBatch.from_pydict({"gram": pa.array(_strings(held[a : a + (1 << 16)]), pa.string()), "n": pa.array(counts[a : a + (1 << 16)])})
 
-def train_points(texts: DataFrame) -> dict[int, tuple]:
-    """For each order: hashes of n-grams, sorted, with their discounted shares, and hashes of contexts with their weights of
-    the lower order; at 0 the probability of any symbol. texts(text): all trusted text."""
-    counts = cut(texts.mapInArrow(_count_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    model: dict[int, tuple] = {}
+    for batch in slices(batches):
+        rows, row, _ = distinct_grams([t or "" for t in batch.column(0).to_pylist()])
+        if not len(rows):
+            continue
+        both = np.concatenate([held, rows])
+        n = np.concatenate([counts, np.bincount(row, minlength=len(rows))])
+        as_one = both.view(f"V{4 * ORDER}").ravel()
+        _, first, inverse = np.unique(as_one, return_index=True, return_inverse=True)
+        held, counts = both[first], np.bincount(inverse, n, len(first)).astype(np.int64)
+        if len(held) > MOST_HELD:
+            yield from out()
+            held, counts = held[:0], counts[:0]
+    yield from out()
+
+
+def counted(texts: DataFrame) -> DataFrame:
+    """gram, n of texts(text): the n-gram that ends at each code point, \\0 standing before the text."""
+    return in_arrow(texts, _count_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def train(texts: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
+    """For each order the tables (gram, share), the discounted shares of n-grams after their contexts, and (context,
+    weight), the lower order's weights. texts(text): all trusted text."""
+    counts = cut(counted(texts), "grams")
+    model: dict[int, tuple[DataFrame, DataFrame]] = {}
     for order in range(ORDER, 0, -1):
         d1, d2, d3 = _discounts(counts)
         discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
         own = counts.withColumn("context", F.substring("gram", 1, order - 1)).withColumn("d", discount)
-        sums = own.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("given"))
-        shares = own.join(sums, "context").select("gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("share")).toPandas()
-        weights = sums.select("context", (F.col("given") / F.col("total")).alias("weight")).toPandas()
-        model[order] = (*_sorted(shares.gram.tolist(), shares.share.to_numpy(), order), *_sorted(weights.context.tolist(), weights.weight.to_numpy(), order - 1))
+        sums = cut(own.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("given")), "contexts")
+        shares = cut(own.join(sums, "context").select("gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("share")), "shares")
+        model[order] = (shares, sums.select("context", (F.col("given") / F.col("total")).alias("weight")))
         if order > 1:
+            # continuation counts: before how many symbols' n-grams the shorter one stands
             counts = cut(counts.groupBy(F.substring("gram", 2, order - 1).alias("gram")).agg(F.count("*").alias("n")), "grams")
-    model[0] = (1 / (len(model[1][0]) + 1),)  # the symbols seen, and one for all others
     return model
 
 
-def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, other: float) -> np.ndarray:
-    if not len(keys):
-        return np.full(len(wanted), other)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], other)
-
-
-def log_probabilities(model: dict[int, tuple], rows: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the probability of each n-gram's last symbol after the others."""
-    p = np.full(len(rows), model[0][0])
+def log_probabilities(model: dict[int, tuple[DataFrame, DataFrame]], grams: DataFrame) -> DataFrame:
+    """grams(gram, ...), each n-gram once, with log_p: the natural logarithm of its last symbol's probability after the
+    others. A join for each table of counts, sharded by n-gram or context."""
+    # all symbols seen, and one for the others, are equally likely below the first order
+    out = grams.withColumn("p", F.lit(1 / (model[1][0].count() + 1)))
     for order in range(1, ORDER + 1):
-        grams, share, contexts, weight = model[order]
-        own = rows[:, ORDER - order :]
-        p = _found(contexts, weight, _hashes(own[:, :-1]), 1.0) * p + _found(grams, share, _hashes(own), 0.0)
-    return np.log(p)
+        shares, weights = model[order]
+        part = F.substring("gram", ORDER - order + 1, order)
+        out = out.withColumn("part", part).withColumn("context", F.substring("part", 1, order - 1))
+        out = out.join(shares.withColumnRenamed("gram", "part"), "part", "left").join(weights, "context", "left")
+        out = out.withColumn("p", F.coalesce("weight", F.lit(1.0)) * F.col("p") + F.coalesce("share", F.lit(0.0))).drop("part", "context", "share", "weight")
+    return out.withColumn("log_p", F.log("p")).drop("p")
 
 
-def perplexities(docs: DataFrame, model: dict[int, tuple]) -> DataFrame:
-    """doc_id, lang, n_symbols, nats: the length and the negative log-likelihood of each whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_symbols", pa.int64()), ("nats", pa.float64())])
+def _sums(heavy):
+    """A row for each document with the sum over its heavy n-grams, and one for each other distinct n-gram in it."""
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("lang", pa.string()), ("n_symbols", pa.int64()), ("nats", pa.float64()), ("gram", pa.string()), ("n", pa.int64())])
 
     def run(batches):
-        for batch in slices(batches, most_bytes=4 << 20):
-            texts = [t or "" for t in batch.column(2).to_pylist()]
+        keys, values = heavy.value
+        for batch in slices(batches):
+            texts = [t or "" for t in batch.column(3).to_pylist()]
             rows, row, begins = distinct_grams(texts)
-            sums = np.append(np.cumsum(log_probabilities(shared.value, rows)[row], dtype=np.float64), 0.0)
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            upto = np.where(begins + sizes > 0, sums[begins + sizes - 1], 0.0)
-            before = np.where(begins > 0, sums[begins - 1], 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), pa.array(np.where(sizes > 0, before - upto, 0.0))], schema=schema)
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, lang string, n_symbols long, nats double")
-
-
-def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+            h = _hashes(rows)
+            at = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
+            known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
+            log_p = np.where(known, values[at] if len(keys) else 0.0, 0.0)
+            sums = np.append(np.cumsum(log_p[row], dtype=np.float64), 0.0)
+            nats = np.where(sizes > 0, np.where(begins > 0, sums[begins - 1], 0.0) - sums[begins + sizes - 1], 0.0)
+            none = pa.nulls(len(texts))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(sizes), pa.array(nats), none.cast(pa.string()), none.cast(pa.int64())], schema=schema)
+            light = np.flatnonzero(~known[row])
+            if len(light):
+                doc = np.repeat(np.arange(len(texts)), sizes)[light]
+                pairs, n = np.unique(doc * len(rows) + row[light], return_counts=True)
+                doc, gram = pa.array(pairs // len(rows)), _strings(rows[pairs % len(rows)])
+                nothing = pa.nulls(len(pairs))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(doc) for k in (0, 1, 2)), nothing.cast(pa.int64()), nothing.cast(pa.float64()), pa.array(gram, pa.string()), pa.array(n)], schema=schema)
+
+    return run
+
+
+def perplexities(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], heavy: int = HEAVY) -> DataFrame:
+    """doc_id, lang, n_symbols, nats: the length and the negative log-likelihood of each whole text."""
+    spark = docs.sparkSession
+    # rows with equal ids, languages and texts have equal sums, so they may share one
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    every = cut(log_probabilities(model, cut(counted(texts.select("text")), "seen")), "log-p")
+    top = every.orderBy(F.desc("n"), "gram").limit(heavy).toPandas()
+    h = _hashes(np.frombuffer("".join(top.gram).encode("utf-32-le"), np.uint32).reshape(-1, ORDER))
+    order = np.argsort(h)
+    table = spark.sparkContext.broadcast((h[order], top.log_p.to_numpy(np.float32)[order]))
+    rows = cut(in_arrow(texts, _sums(table), "doc_id long, h long, lang string, n_symbols long, nats double, gram string, n long"), "sums")
+    light = rows.where("gram IS NOT NULL").join(every.select("gram", "log_p"), "gram").select("doc_id", "h", "lang", F.lit(None).cast("long").alias("n_symbols"), (-F.col("n") * F.col("log_p")).alias("nats"), F.lit(0).alias("base"))
+    own = rows.where("gram IS NULL").select("doc_id", "h", "lang", "n_symbols", "nats", F.lit(1).alias("base"))
+    sums = own.unionByName(light).groupBy("doc_id", "h", "lang").agg(F.max("n_symbols").alias("n_symbols"), F.sum("nats").alias("nats"), F.sum("base").alias("copies"))
+    return sums.select("doc_id", "lang", "n_symbols", (F.col("nats") / F.col("copies")).alias("nats"), F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("col")
+
+
+def classify(docs: DataFrame, trusted: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold, kept: a row for each row of docs(doc_id, text, lang, ...).
 
     trusted(doc_id): the documents to learn from; ids that are null or in no document teach nothing. perplexity is a
@@ -260,14 +215,15 @@ def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     trusted text all symbols are equally likely and every text with a symbol is kept. Texts may be of any length. An empty
     table gives an empty one. Other columns aren't read.
     """
-    teach = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).where("text <> ''")
-    ids = trusted.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
-    # by shuffling at any size: a broadcast of ids would do for few of them, and then disk use would jump
-    model = train_points(teach.join(ids.hint("shuffle_hash"), "id", "left_semi").select("text"))
-    scored = cut(perplexities(docs, model), "scored")
-    rate = F.col("nats") / F.col("n_symbols")
-    by_lang = scored.where("n_symbols > 0").groupBy(F.col("lang").alias("lang_")).agg(F.percentile_approx(rate, F.array(F.lit(0.5), F.lit(0.75)), 10_000).alias("q"))
-    q = cut(by_lang.select("lang_", F.col("q")[0].alias("median"), (F.col("q")[0] + FENCE * F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(LEAST_SPREAD))).alias("most")), "thresholds")
+    with scratch(docs.sparkSession) as stays:
+        teach = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).where("text <> ''")
+        ids = cut(trusted.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct(), "trusted")
+        few = ids.count() <= MOST_IDS
+        scored = cut(perplexities(docs, train(teach.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("text")), heavy), "scored")
+        rate = F.col("nats") / F.col("n_symbols")
+        by_lang = scored.where("n_symbols > 0").groupBy(F.col("lang").alias("lang_")).agg(F.percentile_approx(rate, F.array(F.lit(0.5), F.lit(0.75)), 10_000).alias("q"))
+        q = cut(by_lang.select("lang_", F.col("q")[0].alias("median"), (F.col("q")[0] + FENCE * F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(LEAST_SPREAD))).alias("most")), "thresholds")
+        stays += [scored, q]
     joined = scored.join(q, F.col("lang").eqNullSafe(F.col("lang_")), "left")
     shrunk = (F.col("nats") + PRIOR * F.col("median")) / (F.col("n_symbols") + PRIOR)
     kept = F.coalesce((F.col("n_symbols") > 0) & (shrunk <= F.col("most")), F.lit(False))

@@ -59,62 +59,6 @@ def test_language_of_awkward_rows(awkward, nothing):
     assert set(lang_id.identify(awkward, awkward).columns) == {*awkward.columns, "lang_pred", "lang_score"}
 
 
-def brute_kneser_ney(texts, discounts_of):
-    """Probabilities by dictionaries, from the definition."""
-    grams = Counter()
-    for t in texts:
-        s = [0] * (quality_lm.ORDER - 1) + quality_lm.symbols(t).tolist()
-        grams.update(tuple(s[k : k + quality_lm.ORDER]) for k in range(len(s) - quality_lm.ORDER + 1))
-    levels = [grams]
-    for _ in range(quality_lm.ORDER - 1):
-        levels.append(Counter(g[1:] for g in levels[-1]))
-    tables = []
-    for c in levels:
-        d = discounts_of(c)
-        by = defaultdict(dict)
-        for g, n in c.items():
-            by[g[:-1]][g[-1]] = n
-        tables.append((d, by))
-
-    def p(context, w, level=0):
-        if level == quality_lm.ORDER:
-            return 1 / quality_lm.ALPHABET
-        d, by = tables[level]
-        lower = p(context[1:], w, level + 1)
-        row = by.get(context)
-        if not row:
-            return lower
-        cut = lambda n: d[min(n, 3) - 1]
-        n = row.get(w, 0)
-        return ((n - cut(n) if n else 0) + sum(map(cut, row.values())) * lower) / sum(row.values())
-
-    return p
-
-
-def test_kneser_ney_equals_definition(spark):
-    rng = random.Random(4)
-    texts = ["".join(rng.choice("abcab \nÉé9") for _ in range(rng.randrange(1, 60))) for _ in range(60)]
-
-    def discounts(c):
-        n = Counter(c.values())
-        if not n[1] or not n[2]:
-            return [0.5, 0.75, 0.9]
-        y = n[1] / (n[1] + 2 * n[2])
-        raw = [1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3] if n[3] else 1.0]
-        return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(raw, 1)]
-
-    table = quality_lm.log_table(quality_lm.train(spark.createDataFrame([(t,) for t in texts], "text string")))
-    p = brute_kneser_ney(texts, discounts)
-    code, _ = quality_lm.codes([*texts, "zzab c"])
-    at = 0
-    for t in [*texts[:5]]:
-        s = [0] * 3 + quality_lm.symbols(t).tolist()
-        for k in range(len(t)):
-            assert math.exp(table[code[at + k]]) == pytest.approx(p(tuple(s[k : k + 3]), s[k + 3]), rel=2e-4)
-        at += len(t)
-    assert np.exp(table.reshape(-1, quality_lm.ALPHABET)[:5000]).sum(1) == pytest.approx(1, abs=1e-3)
-
-
 def test_junk_goes_and_clean_text_stays(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     out = quality_lm.quality_report(docs, labels).join(docs.select("doc_id", "text"), "doc_id").collect()
@@ -143,6 +87,83 @@ def toxic_rows(n, seed=5):
     return out
 
 
+def brute_score(c, text):
+    """Each window of each width by itself."""
+    row_of, pad = c.rows_of(), len(c.known)
+    rows = [c.e[row_of[r]].sum(0) for r in toxicity.word_features(text)] + [np.zeros(toxicity.SIZE)]
+    f = []
+    for k in toxicity.WIDTHS:
+        windows = [np.concatenate([rows[at + j] if at + j < len(rows) else np.zeros(toxicity.SIZE) for j in range(k)]) for at in range(len(rows))]
+        f += [max(0.0, max(float(w @ c.w[k][:, n]) for w in windows) + float(c.b[k][n])) for n in range(toxicity.FILTERS)]
+    assert not c.e[pad].any()
+    return 1 / (1 + math.exp(-(float(np.dot(f, c.out)) + float(c.bias))))
+
+
+def test_convolution_equals_windows_one_by_one():
+    c = toxicity.Classifier()
+    rows = toxic_rows(300)
+    c.fit([toxicity.word_features(r[1]) for r in rows], np.asarray([r[3] for r in rows], np.float32), steps=60)
+    texts = [r[1] for r in toxic_rows(12, 9)] + ["", "snork", "unknown words only here"]
+    assert c.scores([toxicity.word_features(t) for t in texts]) == pytest.approx([brute_score(c, t) for t in texts], abs=1e-5)
+
+
+def test_toxicity_gradients_equal_differences():
+    c, rng = toxicity.Classifier(), np.random.default_rng(3)
+    for table in (c.w, c.b):
+        table.update({k: v.astype(np.float64) for k, v in table.items()})
+    for b in c.b.values():
+        b += rng.normal(0, 0.2, b.shape)  # at 0 padding's windows lie on the kink of the maximum with 0
+    c.out, c.bias = c.out.astype(np.float64), float(c.bias)
+    e = np.concatenate([rng.normal(0, 1, (20, toxicity.SIZE)), np.zeros((1, toxicity.SIZE))])
+    x, begins = c.joined([rng.integers(0, 20, (n, 3)) for n in (4, 1, 7)], 20)
+    labels = np.array([1.0, 0.0, 1.0])
+
+    def loss():
+        f, _ = c.maxima(e, x, begins)
+        p = 1 / (1 + np.exp(-(f @ c.out + c.bias)))
+        return -(labels * np.log(p) + (1 - labels) * np.log(1 - p)).mean()
+
+    f, places = c.maxima(e, x, begins, where=True)
+    g, at, total = c.gradients(e, x, f, places, labels)
+    ge = np.zeros_like(e)
+    ge[at] = total
+    pairs = [(e, ge, 20), (c.out, g["out"], None)] + [(c.w[k], g["w", k], None) for k in toxicity.WIDTHS] + [(c.b[k], g["b", k], None) for k in toxicity.WIDTHS]
+    for value, grad, most in pairs:
+        for _ in range(8):
+            place = tuple(rng.integers(0, most if most and not k else n) for k, n in enumerate(value.shape))
+            keep, step = value[place], 1e-6
+            value[place] = keep + step
+            up = loss()
+            value[place] = keep - step
+            down = loss()
+            value[place] = keep
+            assert grad[place] == pytest.approx((up - down) / (2 * step), abs=1e-5)
+
+
+def test_thresholds_of_languages_are_drawn_to_the_common_one():
+    c = toxicity.Classifier()
+    scores = np.array([0.1, 0.2, 0.8, 0.9] * 30 + [0.05, 0.3, 0.35, 0.6])
+    labels = np.array([0, 0, 1, 1] * 30 + [0, 1, 1, 1])
+    c.calibrate(scores, labels, ["a"] * 120 + ["b"] * 3 + [None])
+    common = c.threshold
+    own = toxicity.best_threshold(scores[120:123], labels[120:123])
+    assert c.thresholds["b"] == pytest.approx((own + toxicity.PRIOR_ROWS * common) / (1 + toxicity.PRIOR_ROWS)) and set(c.thresholds) == {"a", "b"}
+
+
+def test_few_labelled_texts_are_enough_for_frequent_words():
+    """240 texts, 40 of them toxic by one of four words among 4,000 others."""
+    def rows(n, seed):
+        rng = random.Random(seed)
+        made = [[f"w{min(rng.randrange(4000), rng.randrange(4000))}" for _ in range(60)] + ([rng.choice(["grublish", "snork", "vexoid", "plumf"])] if k % 6 == 0 else []) for k in range(n)]
+        return [toxicity.word_features(" ".join(rng.sample(w, len(w)))) for w in made], np.asarray([k % 6 == 0 for k in range(n)], np.float32)
+
+    c = toxicity.Classifier()
+    c.fit(*rows(240, 1))
+    features, labels = rows(600, 2)
+    s = c.scores(features)
+    assert np.mean(s[labels == 1] >= 0.3) > 0.8 and np.mean(s[labels == 0] >= 0.3) < 0.05
+
+
 def test_toxicity_held_out(spark):
     rows = toxic_rows(1600)
     docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
@@ -197,25 +218,59 @@ def brute_points(texts, discounts_of):
     return p
 
 
+def discounts(c):
+    n = Counter(c.values())
+    if not n[1] or not n[2]:
+        return [0.5, 0.75, 0.9]
+    y = n[1] / (n[1] + 2 * n[2])
+    raw = [1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3] if n[3] else 1.0]
+    return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(raw, 1)]
+
+
+def random_texts(seed=8):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("abAB1жд中文\U0001f600 ") for _ in range(rng.randrange(1, 40))) for _ in range(40)]
+
+
 def test_code_points_equal_definition(spark):
-    rng = random.Random(8)
-    texts = ["".join(rng.choice("abAB1жд中文\U0001f600 ") for _ in range(rng.randrange(1, 40))) for _ in range(40)]
-
-    def discounts(c):
-        n = Counter(c.values())
-        if not n[1] or not n[2]:
-            return [0.5, 0.75, 0.9]
-        y = n[1] / (n[1] + 2 * n[2])
-        raw = [1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3] if n[3] else 1.0]
-        return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(raw, 1)]
-
-    model = quality_lm.train_points(spark.createDataFrame([(t,) for t in texts], "text string"))
+    texts = random_texts()
+    model = quality_lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
     p = brute_points(texts, discounts)
-    tried = [*texts[:3], "zzЖ中a", ""]
-    rows, row, begins = quality_lm.distinct_grams(tried)
-    got = np.exp(quality_lm.log_probabilities(model, rows))[row]
-    want = [p(("\0\0\0" + t)[k : k + 4]) for t in tried for k in range(len(t))]
-    assert got == pytest.approx(want, rel=1e-4)
+    tried = {("\0\0\0" + t)[k : k + 4] for t in [*texts[:3], "zzЖ中a", ""] for k in range(len(t))}
+    rows = quality_lm.log_probabilities(model, spark.createDataFrame([(g,) for g in sorted(tried)], "gram string")).collect()
+    assert {r.gram for r in rows} == tried and len(rows) == len(tried)
+    assert [math.exp(r.log_p) for r in rows] == pytest.approx([p(r.gram) for r in rows], rel=1e-6)
+
+
+@pytest.mark.parametrize("heavy", [0, 7, 100_000])
+def test_perplexities_equal_definition_wherever_n_grams_are_looked_up(spark, heavy):
+    """Sums over documents, several of which share a batch, some twice."""
+    texts = random_texts()
+    rows = [(k, t, "x") for k, t in enumerate([*texts, "zzЖ中a", "b", "", None])] + [(3, texts[3], "x")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    p = brute_points(texts[:20], discounts)
+    out = quality_lm.classify(docs, docs.where("doc_id < 20").select("doc_id"), heavy=heavy).collect()
+    # a document that is there three times teaches three times
+    p = brute_points([*texts[:20], texts[3], texts[3]], discounts)
+    assert sorted(r.doc_id for r in out) == sorted(r[0] for r in rows)
+    said = dict((r[0], r[1] or "") for r in rows)
+    for r in out:
+        t = said[r.doc_id]
+        want = math.exp(-sum(math.log(p(("\0\0\0" + t)[k : k + 4])) for k in range(len(t))) / len(t)) if t else None
+        assert r.n_symbols == len(t) and (r.perplexity is None if want is None else r.perplexity == pytest.approx(want, rel=1e-4))
+
+
+def test_thresholds_are_the_languages_quantiles(spark):
+    docs = spark.createDataFrame([(k, t, "ab"[k % 2]) for k, t in enumerate(random_texts(9))], "doc_id long, text string, lang string")
+    out = quality_lm.classify(docs, docs.where("doc_id < 25").select("doc_id")).collect()
+    for lang in "ab":
+        own = sorted(math.log(r.perplexity) for r in out if r.lang == lang)
+        median, upper = (own[math.ceil(q * len(own)) - 1] for q in (0.5, 0.75))
+        most = median + quality_lm.FENCE * max(upper - median, quality_lm.LEAST_SPREAD)
+        for r in (r for r in out if r.lang == lang):
+            assert math.log(r.threshold) == pytest.approx(most)
+            nats = r.n_symbols * math.log(r.perplexity)
+            assert r.kept == ((nats + quality_lm.PRIOR * median) / (r.n_symbols + quality_lm.PRIOR) <= most)
 
 
 def test_many_code_points_in_one_batch():
