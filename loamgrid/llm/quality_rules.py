@@ -1,8 +1,9 @@
 """Quality rules in DataFrame operations, with thresholds that follow the data.
 
-One scan makes the measures of each text. Mergeable KLL sketches of the measures are kept for each language and source;
-sketches of small groups are merged into their language's, and those into one of all rows. A threshold is a fence beyond
-the quartiles, so a group without outliers loses nothing. The measures join the groups' fences and are filtered.
+One scan makes the measures of each text. Mergeable KLL sketches of the measures are kept for each language and source,
+merged into those of languages, and these into one of all rows. A group's quartiles are drawn to its language's, and those
+to all rows', as if PRIOR_ROWS rows lay there, by one formula at all sizes. A threshold is a fence beyond the quartiles, so
+a group without outliers loses nothing. The measures join the groups' fences and are filtered.
 
 Repeated words: each word is hashed once, eight neighbours are folded into a window's hash by three pairwise steps, and
 only texts that have an equal pair of windows sort them. Hashes have 64 bits; equal hashes of different windows of one
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, WORD_PATTERN, cut, text_column
 
-#: Sizes of sketches (rank error about 0.4 %), and least rows for a group to have thresholds of its own.
-SKETCH_K, LEAST_ROWS = 800, 100
+#: Sizes of sketches (rank error about 0.4 %), and the rows that the wider group's quartiles count as.
+SKETCH_K, PRIOR_ROWS = 800, 100
 #: A fence is this many spreads beyond a quartile; the spread is that between the quartiles, but at least the second value.
 FENCE = 3.0
 MEASURES = {"word_length": 0.75, "symbol_share": 0.02, "dup_line_share": 0.1, "repeat_share": 0.1}
@@ -86,29 +87,37 @@ def with_shares(rows: DataFrame) -> DataFrame:
 
 
 def fences(rows: DataFrame) -> DataFrame:
-    """For each (lang, source), nulls being values: lo and hi of each measure, from its own sketches if it has enough
-    rows, else from its language's, else from those of all rows."""
-    sketched = rows.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.expr(f"kll_sketch_agg_double({m}, {SKETCH_K})").alias(m) for m in MEASURES))
+    """For each (lang, source), nulls being values: lo and hi of each measure, from the quartiles of its sketches, drawn to
+    those of its language, which are drawn to those of all rows. A measure that a group has no value of weighs nothing."""
+    sketched = rows.groupBy("lang", "source").agg(*(F.expr(f"kll_sketch_agg_double({m}, {SKETCH_K})").alias(m) for m in MEASURES))
     sketched = cut(sketched, "sketches")
 
+    def quartiles(df: DataFrame, keys: list[str], suffix: str) -> DataFrame:
+        out = []
+        for m in MEASURES:
+            n = f"coalesce(kll_sketch_get_n_double({m}), 0)"
+            out.append(F.expr(f"named_struct('n', {n}, 'q1', CASE WHEN {n} > 0 THEN kll_sketch_get_quantile_double({m}, 0.25D) END, 'q3', CASE WHEN {n} > 0 THEN kll_sketch_get_quantile_double({m}, 0.75D) END)").alias(f"{m}_{suffix}"))
+        return df.select(*keys, *out)
+
     def merged(keys: list[str]) -> DataFrame:
-        return sketched.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.expr(f"kll_merge_agg_double({m})").alias(m) for m in MEASURES))
+        return sketched.groupBy(*keys).agg(*(F.expr(f"kll_merge_agg_double({m})").alias(m) for m in MEASURES))
 
-    by_lang = merged(["lang"]).select(F.col("lang").alias("lang_"), *(F.struct("n", m).alias(f"{m}_lang") for m in MEASURES))
-    of_all = merged([]).select(*(F.struct("n", m).alias(f"{m}_all") for m in MEASURES))
+    by_lang = quartiles(merged(["lang"]), ["lang"], "lang").withColumnRenamed("lang", "lang_")
     # one row for each language, and one row of all: the first join's size is that of the groups
-    wide = sketched.join(by_lang, F.col("lang").eqNullSafe(F.col("lang_")), "left").join(F.broadcast(of_all), F.lit(True), "left")
+    wide = quartiles(sketched, ["lang", "source"], "own").join(by_lang, F.col("lang").eqNullSafe(F.col("lang_")), "left").join(F.broadcast(quartiles(merged([]), [], "all")), F.lit(True), "left")
     out = []
     for m, least in MEASURES.items():
-        best = F.when(F.col("n") >= LEAST_ROWS, F.col(m)).when(F.col(f"{m}_lang.n") >= LEAST_ROWS, F.col(f"{m}_lang.{m}")).otherwise(F.col(f"{m}_all.{m}"))
-        wide = wide.withColumn(f"{m}_best", best)
-        enough = f"kll_sketch_get_n_double({m}_best) > 0"
-        q1, q3 = (F.expr(f"CASE WHEN {enough} THEN kll_sketch_get_quantile_double({m}_best, {q}D) END") for q in (0.25, 0.75))
+        q1, q3 = (drawn(F.col(f"{m}_own.n"), F.col(f"{m}_own.{q}"), drawn(F.col(f"{m}_lang.n"), F.col(f"{m}_lang.{q}"), F.col(f"{m}_all.{q}"))) for q in ("q1", "q3"))
         spread = FENCE * F.greatest(q3 - q1, F.lit(least))
         out += [(q3 + spread).alias(f"{m}_hi"), *([(q1 - spread).alias(f"{m}_lo")] if m in TWO_SIDED else [])]
     return wide.select(F.col("lang").alias("lang_"), F.col("source").alias("source_"), *out)
 
 
+def drawn(n: Column, own: Column, wider: Column) -> Column:
+    """own, of n rows, drawn to wider as if PRIOR_ROWS rows had that value."""
+    return (n * F.coalesce(own, F.lit(0.0)) + PRIOR_ROWS * wider) / (n + PRIOR_ROWS)
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept: a row for each row of docs.
 
