@@ -52,7 +52,7 @@ def test_all_rows_through_all_stages(spark):
     def holds(text):
         words = decontam.words_of(text)
         joined = f" {' '.join(words)} "
-        return any(f" {' '.join(i)} " in joined for i in items if len(i) >= decontam.LEAST_WORDS)
+        return any(f" {' '.join(i)} " in joined for i in items if len(i) >= decontam.GRAM)
 
     whole = {r.doc_id for r in apart.collect() if not holds(r.text)}
     left = {r.doc_id for r in safe.collect()}
