@@ -1,19 +1,19 @@
-"""Best-fit packing of documents into sequences, in bulk-synchronous steps.
-
-Lengths are whole numbers up to the sequence length, so documents and gaps in order of size are runs: a size, how many
-have it, and where the run begins. A step takes all documents of one size, the largest sizes first (decreasing best
-fit), and sweeps the gaps upwards from that size (the successor of the size, then its successor, ...). Within a step
-the k-th document of the size, by rank, gets the k-th gap, so no two documents claim one gap; the gaps' sizes are
-updated for the next step; documents without a gap open new sequences. The runs stay as few for any number of rows
-(no more than the square of the sequence length, in practice some thousands), so the sweep itself needs no row.
-
-The rows' part is distributed: a scan tokenizes each text and gives checksums of the pieces (no ids leave the executor),
-ranks within each length come from counts for each partition and length, and each piece looks its place up in the runs.
-No stage gathers the rows of a length, so a length of a large share of all rows does no harm.
+"""Best-fit packing of documents into sequences, in bulk-synchronous rounds.
+
+Pieces of documents are packed by classes of length, the longest first. In a round the class's pieces that are left and the
+gaps of all open sequences are range-sorted by size together, and a sweep over each range finds for every piece how many
+gaps have room for it (its successors). Conflicts are resolved by rank: a closed form of ranks and of a running minimum
+gives every winner a gap of its own, and the largest pieces win. The gaps are updated, and the round is repeated until no
+piece of the class finds a gap; then new sequences open, as many as the pieces left need at least. A sweep needs of the
+other ranges only one row of sums each, so a size of a large share of all rows is spread over many ranges.
+
+No round moves texts or ids of tokens: the first scan tokenizes each text and gives lengths and checksums of its pieces.
+Rounds are some three or four for each halving of the length, whatever the number of rows.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 
@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LETTERS, NUMBERS, UNSAFE, cut, slices, text_column
+from .common import LETTERS, NUMBERS, UNSAFE, cut, in_arrow, scratch, slices, text_column
 
 #: Entries of a worker's caches (each about 200 bytes).
-MOST_CACHED = 600_000
+MOST_CACHED = 200_000
 #: Pre-tokens of byte_bpe_50k.json; a fixed value of that tokenizer, for the safe code points.
 PRE_TOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\\s{LETTERS}{NUMBERS}]+|\\s+(?!\\S)|\\s+")
 #: Where white space isn't a single space or line break between other characters, pre-tokens can span it.
@@ -123,80 +123,106 @@ def _pieces(path: str, size: int, end: int):
     return run
 
 
-def plan_runs(counts: dict[int, int], size: int) -> np.ndarray:
-    """Rows (length, from, to, first sequence, offset): the documents of a length with ranks in [from, to) have the
-    sequences first, first + 1, ... and begin at offset there. counts: how many documents have each length."""
-    gaps: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]  # by size: runs of how many, first sequence
-    there = np.zeros(size + 1, bool)
-    runs, opened = [], 0
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
-        while left:
-            after = np.flatnonzero(there[length:])
-            if len(after):
-                gap = length + int(after[0])
-            else:
-                new = -(-left // (size // length))
-                gap, opened = size, opened + new
-                gaps[gap].append((new, opened - new))
-            n, first = gaps[gap].pop()
-            took = min(n, left)
-            runs.append((length, rank, rank + took, first, size - gap))
-            rank, left = rank + took, left - took
-            if took < n:
-                gaps[gap].append((n - took, first + took))
-            gaps[gap - length].append((took, first))
-            there[[gap, gap - length]] = bool(gaps[gap]), True
-    return np.asarray(runs, np.int64).reshape(-1, 5)
-
-
-#: Ranks of a length stay below this.
-_SPAN = 1 << 50
-
-
-def _ranked(size: int):
-    """Adds the partition and each row's rank among the partition's rows of its length."""
-    schema = PIECES.append(pa.field("part", pa.int32())).append(pa.field("rank", pa.int64()))
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
-        for batch in batches:
-            length = batch.column(3).to_numpy()
-            order = np.argsort(length, kind="stable")
-            ordered = length[order]
-            n = np.bincount(ordered, minlength=size + 1)
-            begin = np.cumsum(n) - n
-            rank = np.empty(len(length), np.int64)
-            rank[order] = np.arange(len(length)) - begin[ordered] + seen[ordered]
-            seen += n
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(length), part, np.int32)), pa.array(rank)], schema=schema)
-
-    return run
-
-
-def _placed(runs):
-    schema = PIECES.append(pa.field("sequence_id", pa.int64())).append(pa.field("offset", pa.int64()))
-
-    def run(batches):
-        table = runs.value
-        begin = table[:, 0] * _SPAN + table[:, 1]
-        order = np.argsort(begin)
-        begin, table = begin[order], table[order]
-        for batch in batches:
-            rank = batch.column(5).to_numpy()
-            at = np.searchsorted(begin, batch.column(3).to_numpy() * _SPAN + rank, side="right") - 1
-            columns = [*batch.columns[:5], pa.array(table[at, 3] + rank - table[at, 1]), pa.array(table[at, 4])]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return run
+#: Lengths are taken by classes: those above size / 2, then above size / 4, and so on, then all others.
+CLASSES = (2, 4, 8, 32)
+#: Sorted before all prefixes.
+_TOP = 1 << 60
+
+
+def _swept(batches):
+    """A sweep over one range of slots and pieces, largest sizes first, slots before pieces of their size: for a slot its
+    rank in the range, for a piece its rank, how many slots have room for it less its rank, and the least such difference of
+    the pieces before it in the range. Only counts are carried along."""
+    from pyspark import TaskContext
+
+    part, pieces, slots, least = TaskContext.get().partitionId(), 0, 0, _TOP
+    for batch in batches:
+        kind = batch.column(1).to_numpy()
+        is_piece = kind == 1
+        own = np.cumsum(is_piece) + pieces
+        room = np.cumsum(~is_piece) + slots
+        excess = np.where(is_piece, room - own, _TOP)
+        upto = np.minimum.accumulate(np.minimum(excess, least)) if len(kind) else excess
+        before = np.concatenate([[least], upto[:-1]]) if len(kind) else excess
+        if len(kind):
+            pieces, slots, least = int(own[-1]), int(room[-1]), int(upto[-1])
+        rank = np.where(is_piece, own, room)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kind), part, np.int32)), *batch.columns, pa.array(rank, pa.int64()), pa.array(excess, pa.int64()), pa.array(before, pa.int64())], names=["part", "size", "kind", "id", "rank", "excess", "before"])
+
+
+def _matched(pieces: DataFrame, slots: DataFrame) -> tuple[DataFrame, int, int]:
+    """pieces(id, size) to slots(id, size), one piece a slot: a table (kind, id, size, place) where pieces and slots of one
+    place belong together, and place is null for a piece without a slot; how many pieces have one; tokens of all pieces.
+
+    Pieces and slots are range-sorted by size and swept. A piece's successors are the slots with room for it; they are
+    the first ones in order. A piece that has more pieces before it than slots left loses; the others get the slots by
+    their rank among the winners, moved up as far towards smaller slots as all of them allow. So the winners are as many
+    as can be, and the largest pieces among them."""
+    spark = pieces.sparkSession
+    rows = slots.select("size", F.lit(0).alias("kind"), "id").unionByName(pieces.select("size", F.lit(1).alias("kind"), "id"))
+    ranged = rows.repartitionByRange(F.desc("size"), "kind", "id").sortWithinPartitions(F.desc("size"), "kind", "id")
+    swept = cut(in_arrow(ranged, _swept, "part int, size long, kind int, id long, rank long, excess long, before long"), "swept")
+    # a row for each range: what lies before it, and the least excess there
+    parts = swept.groupBy("part").agg(F.sum("kind").alias("pieces"), F.sum(1 - F.col("kind")).alias("slots"), F.min("excess").alias("least"), F.sum(F.col("kind") * F.col("size")).alias("tokens")).collect()
+    parts.sort(key=lambda r: r.part)
+    starts, pieces_before, slots_before, least = [], 0, 0, 0
+    for r in parts:
+        starts.append((r.part, pieces_before, slots_before, least))
+        least = min(least, slots_before - pieces_before + r.least)
+        pieces_before, slots_before = pieces_before + r.pieces, slots_before + r.slots
+    spread = min((s - p + r.least for (_, p, s, _), r in zip(starts, parts, strict=True)), default=0)
+    names = pa.schema([("part", pa.int32()), ("d", pa.int64()), ("s", pa.int64()), ("m", pa.int64())])
+    offsets = spark.createDataFrame(pa.table([pa.array([r[k] for r in starts], f.type) for k, f in enumerate(names)], schema=names))
+    # all winners' ranks may move up by what the tightest of them has to spare
+    up = max(0, spread) if spread < _TOP // 2 else 0
+    known = swept.join(F.broadcast(offsets), "part")
+    tightest = F.least(F.col("m"), F.lit(0), F.col("s") - F.col("d") + F.col("before"))
+    wins = F.col("s") - F.col("d") + F.col("excess") >= tightest
+    place = F.when(F.col("kind") == 0, F.col("s") + F.col("rank")).when(wins, F.col("d") + F.col("rank") + tightest + up)
+    return known.select("kind", "id", "size", place.alias("place")), pieces_before + least, sum(r.tokens for r in parts)
+
+
+def sequences(pieces: DataFrame, size: int) -> DataFrame:
+    """pieces(id, length): id, length, sequence_id and turn, the order in which a sequence took its pieces."""
+    spark = pieces.sparkSession
+    group = F.lit(0)
+    for part in CLASSES:
+        group = group + (F.col("length") * part <= size).cast("int")
+    totals = pieces.groupBy(group.alias("class")).agg(F.count("*").alias("n"), F.sum("length").alias("tokens"), F.max("length").alias("longest"), F.min("length").alias("shortest")).orderBy("class").collect()
+    nothing = spark.createDataFrame([], "id long, size long")
+    gaps, took, opened = nothing, [], 0
+
+    def new_ones(n: int, tokens: int, shortest: int) -> DataFrame:
+        nonlocal opened
+        first, opened = opened, opened + max(-(-tokens // size), -(-n // (size // shortest)))
+        return spark.range(first, opened).select("id", F.lit(size).cast("long").alias("size"))
+
+    for group in totals:
+        left, n = pieces.where(F.col("length").between(group.shortest, group.longest)).select("id", F.col("length").alias("size")), group.n
+        if not opened:
+            gaps = new_ones(n, group.tokens, group.shortest)
+        while n:
+            # a large gap has room for several pieces of the class at once; the last slot has what is over
+            many = F.greatest(F.lit(1), F.floor(F.col("size") / group.longest)).cast("int")
+            slots = gaps.where(F.col("size") >= group.shortest).select("id", "size", many.alias("of"), F.posexplode(F.sequence(F.lit(1), many)).alias("k", "no"))
+            slots = slots.select("id", F.when(F.col("no") < F.col("of"), F.lit(group.longest).cast("long")).otherwise(F.col("size") - F.col("k") * group.longest).alias("size"))
+            found, won, tokens = _matched(left, slots)
+            if not won:
+                gaps = gaps.unionByName(new_ones(n, tokens, group.shortest))
+                continue
+            pairs = found.where("kind = 1 AND place IS NOT NULL").select("place", F.struct("id", F.col("size").alias("length")).alias("piece")).join(found.where("kind = 0").select("place", "id"), "place")
+            # a sequence has `size` pieces at most
+            used = pairs.groupBy("id").agg(F.sum("piece.length").alias("used"), F.collect_list("piece").alias("taken"))
+            after = cut(gaps.join(used, "id", "left").select("id", (F.col("size") - F.coalesce("used", F.lit(0))).alias("size"), "taken"), "gaps")
+            took.append(after.where("taken IS NOT NULL").select(F.col("id").alias("sequence_id"), F.inline("taken"), F.lit(len(took)).alias("turn")))
+            gaps, left, n = after.where("size > 0").select("id", "size"), found.where("kind = 1 AND place IS NULL").select("id", "size"), n - won
+    return functools.reduce(DataFrame.unionByName, took) if took else spark.createDataFrame([], "sequence_id long, id long, length long, turn int")
 
 
 def tokenized_pieces(docs: DataFrame, path: str, size: int = 2048, end: int = 0) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of each row's ids with end behind them, cut to at most size ids."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
-    return texts.mapInArrow(_pieces(path, size, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return in_arrow(texts, _pieces(path, size, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(docs: DataFrame, path: str, size: int = 2048, end: int = 0) -> DataFrame:
@@ -204,16 +230,14 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end: int = 0) -> DataFram
 
     docs(doc_id, text, ...): a null text is empty and so has the id end alone; a null doc_id stays null; each of several
     equal rows is packed by itself; an empty table gives no piece; other columns aren't read. Only documents of more
-    than size ids are cut, into pieces of size of which the first may be shorter. Texts may be of any length.
+    than size ids are cut, into pieces of size of which the first may be shorter. Texts may be of any length. Pieces of
+    one length are taken in the order in which the scan numbered them.
     """
-    spark = docs.sparkSession
-    pieces = cut(tokenized_pieces(docs, path, size, end), "pieces")
-    fields = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    # at most `size` different lengths come to the driver
-    counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    runs = spark.sparkContext.broadcast(plan_runs(counts, size))
-    ranked = cut(pieces.mapInArrow(_ranked(size), f"{fields}, part int, rank long"), "ranked")
-    parts = ranked.groupBy("length", "part").agg(F.count("*").alias("n"))
-    before = parts.select("length", "part", (F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
-    whole = ranked.join(before, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
-    return whole.mapInArrow(_placed(runs), f"{fields}, sequence_id long, offset long")
+    with scratch(docs.sparkSession) as kept:
+        pieces = cut(tokenized_pieces(docs, path, size, end).withColumn("id", F.monotonically_increasing_id()), "pieces")
+        placed = cut(sequences(pieces.select("id", "length"), size), "sequences")
+        kept += [pieces, placed]
+    # a sequence has `size` pieces at most
+    inside = Window.partitionBy("sequence_id").orderBy("turn", F.desc("length"), "id")
+    offsets = placed.select("id", "sequence_id", (F.sum("length").over(inside) - F.col("length")).alias("offset"))
+    return pieces.join(offsets, "id").drop("id")

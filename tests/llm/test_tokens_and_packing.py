@@ -70,23 +70,49 @@ def test_cut_points():
     assert packing.cut_points(5, 8) == [0, 5] and packing.cut_points(8, 8) == [0, 8] and packing.cut_points(19, 8) == [0, 3, 11, 19]
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_runs_equal_decreasing_best_fit(seed):
-    """As many sequences as best fit of single documents in order of decreasing length."""
-    rng = np.random.default_rng(seed)
-    lengths = rng.integers(1, 41, 300) if seed % 2 else np.minimum(40, 1 + rng.geometric(0.12, 300))
-    counts = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
+def best_fit(lengths, size):
+    """Sequences of decreasing best fit, one document at a time."""
     gaps = []
-    for n in sorted(lengths.tolist(), reverse=True):
+    for n in sorted(lengths, reverse=True):
         fit = [g for g in gaps if g >= n]
         if fit:
             gaps.remove(min(fit))
-            gaps.append(min(fit) - n)
-        else:
-            gaps.append(40 - n)
-    runs = packing.plan_runs(counts, 40)
-    used = {s for _, a, b, first, _ in runs.tolist() for s in range(first, first + b - a)}
-    assert len(used) == len(gaps)
-    for length, n in counts.items():
-        own = sorted((a, b) for l, a, b, _, _ in runs.tolist() if l == length)
-        assert own[0][0] == 0 and own[-1][1] == n and all(x[1] == y[0] for x, y in zip(own, own[1:], strict=False))
+        gaps.append((min(fit) if fit else size) - n)
+    return len(gaps)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rounds_need_hardly_more_sequences_than_best_fit_of_single_documents(spark, seed):
+    rng = np.random.default_rng(seed)
+    lengths = [rng.integers(1, 41, 300), np.minimum(40, 1 + rng.geometric(0.12, 300)), np.repeat([27, 13, 9], 70)][seed].tolist()
+    pieces = spark.createDataFrame(list(enumerate(lengths)), "id long, length long").repartition(3)
+    rows = packing.sequences(pieces, 40).collect()
+    assert sorted((r.id, r.length) for r in rows) == list(enumerate(lengths))
+    by = {}
+    for r in rows:
+        by[r.sequence_id] = by.get(r.sequence_id, 0) + r.length
+    assert max(by.values()) <= 40
+    assert len(by) <= 1.03 * best_fit(lengths, 40) + 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_round_places_as_many_as_can_be_and_the_largest(spark, monkeypatch, seed):
+    """Against a maximum found by taking pieces one by one, largest first, if there is still a slot for each of them."""
+    rng = np.random.default_rng(seed)
+    pieces, slots = rng.integers(1, 12, [40, 25, 60, 5][seed]).tolist(), rng.integers(1, 12, [30, 40, 7, 0][seed]).tolist()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found, won, tokens = packing._matched(spark.createDataFrame(list(enumerate(pieces)), "id long, size long"), spark.createDataFrame(list(enumerate(slots)), "id long, size long"))
+        rows = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    place = {r.place: r.size for r in rows if r.kind == 0}
+    assert len(place) == len(slots) and tokens == sum(pieces)
+    winners = [(r.size, place[r.place]) for r in rows if r.kind == 1 and r.place is not None]
+    assert len(winners) == won and all(a <= b for a, b in winners) and len({r.place for r in rows if r.kind == 1 and r.place is not None}) == won
+    chosen = []
+    for n in sorted(pieces, reverse=True):
+        tried = sorted([*chosen, n], reverse=True)
+        if all(k < len(slots) and a <= b for k, (a, b) in enumerate(zip(tried, sorted(slots, reverse=True), strict=False))) and len(tried) <= len(slots):
+            chosen = tried
+    assert sorted((a for a, _ in winners), reverse=True) == chosen
