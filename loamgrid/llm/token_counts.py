@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, NUMBERS, UNSAFE, slices, text_column
+from .common import LETTERS, NUMBERS, UNSAFE, in_arrow, slices, text_column
 
 #: Most pre-tokens whose counts go to every executor (about 10 MB), and documents in the sample that finds them.
 HEAVY, SAMPLE_DOCS = 200_000, 20_000
@@ -143,13 +143,13 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, heavy: int = HEA
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")).select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").cast("long").alias("n_bytes"), "text")
     every = max(1, docs.count() // max(1, sample_docs))
     sample = docs.where(F.pmod(F.xxhash64("doc_id", "h"), F.lit(every)) == 0).select("text")
-    top = sample.mapInArrow(_sampled(path), "pre string, n long").groupBy("pre").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pre").limit(heavy)
+    top = in_arrow(sample, _sampled(path), "pre string, n long").groupBy("pre").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pre").limit(heavy)
     words = [r.pre for r in top.select("pre").collect()]
     known = dict(zip(words, pre_tokens(path).pieces(words).tolist(), strict=True))
-    rows = docs.mapInArrow(_split(path, spark.sparkContext.broadcast(known)), "doc_id long, h long, n_bytes long, n long, pre string")
+    rows = in_arrow(docs, _split(path, spark.sparkContext.broadcast(known)), "doc_id long, h long, n_bytes long, n long, pre string")
     # documents' own rows have no pre-token: they are dealt by their key
     dealt = rows.repartition(F.when(F.col("pre").isNull(), F.xxhash64("doc_id", "h")).otherwise(F.xxhash64("pre")))
-    counted = dealt.sortWithinPartitions("pre").mapInArrow(_count(path), "doc_id long, h long, n_bytes long, n long, base long")
+    counted = in_arrow(dealt.sortWithinPartitions("pre"), _count(path), "doc_id long, h long, n_bytes long, n long, base long")
     sums = counted.groupBy("doc_id", "h").agg(F.sum("n").alias("n"), F.sum("base").alias("copies"), F.max("n_bytes").alias("n_bytes"))
     each = sums.select("doc_id", "n_bytes", F.expr("n div copies").alias("n_tokens"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return each.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, cut
+from .common import LOWER, UPPER, cut, in_arrow
 
 ORDER = 5
 #: Bins of the calibration's histogram, over differences of -RANGE to RANGE a character.
@@ -137,7 +137,7 @@ def fit(judged: DataFrame) -> Ratio:
     """judged(url, allowed): all URLs with a rule's verdict."""
     ratio = Ratio()
     rows = judged.where("url IS NOT NULL").select("url", F.col("allowed").cast("int").alias("label"))
-    counts = cut(rows.mapInArrow(_counted, "label long, context long, gram long, n long").groupBy("label", "context", "gram").agg(F.sum("n").alias("n")), "contexts")
+    counts = cut(in_arrow(rows, _counted, "label long, context long, gram long, n long").groupBy("label", "context", "gram").agg(F.sum("n").alias("n")), "contexts")
     for k in (0, 1):
         own = counts.where(F.col("label") == k)
         grams = own.select("gram", "n").toPandas()
@@ -158,7 +158,7 @@ def _scored(df: DataFrame, ratio: Ratio) -> DataFrame:
                 made = shared.value.differences([u or "" for u in batch.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=[*batch.schema.names, "difference"])
 
-    return df.mapInArrow(run, df.withColumn("difference", F.lit(0.0)).schema)
+    return in_arrow(df, run, df.withColumn("difference", F.lit(0.0)).schema)
 
 
 def calibrate(ratio: Ratio, judged: DataFrame) -> float:
