@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamgrid.llm import decontam, line_dedup, near_dedup, packing, toxicity
-from loamgrid.llm.common import cut, free_name, table
+from loamgrid.llm.common import cut, free_name, scratch, table
 from loamgrid.llm.queries import tokenizer
 
 
@@ -55,7 +55,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark) as kept:
+            docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            kept.append(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
