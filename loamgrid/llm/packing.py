@@ -123,8 +123,8 @@ def _pieces(path: str, size: int, end: int):
     return run
 
 
-#: Lengths are taken by classes: those above size / 2, then above size / 4, and so on, then all others.
-CLASSES = (2, 4, 8, 32)
+#: Lengths are taken by classes: those above size / 2, then above size / 3, above size / 4, then all others.
+CLASSES = (2, 3, 4)
 #: Sorted before all prefixes.
 _TOP = 1 << 60
 
@@ -132,22 +132,27 @@ _TOP = 1 << 60
 def _swept(batches):
     """A sweep over one range of slots and pieces, largest sizes first, slots before pieces of their size: for a slot its
     rank in the range, for a piece its rank, how many slots have room for it less its rank, and the least such difference of
-    the pieces before it in the range. Only counts are carried along."""
+    the pieces before it in the range. Only counts are carried along. A last row of kind 2 sums the range up: tokens of its
+    pieces, and in the last three columns the pieces, the least difference and the slots."""
     from pyspark import TaskContext
 
-    part, pieces, slots, least = TaskContext.get().partitionId(), 0, 0, _TOP
+    names = ["part", "size", "kind", "id", "rank", "excess", "before"]
+    part, pieces, slots, least, tokens = TaskContext.get().partitionId(), 0, 0, _TOP, 0
     for batch in batches:
+        if not batch.num_rows:
+            continue
         kind = batch.column(1).to_numpy()
         is_piece = kind == 1
         own = np.cumsum(is_piece) + pieces
         room = np.cumsum(~is_piece) + slots
         excess = np.where(is_piece, room - own, _TOP)
-        upto = np.minimum.accumulate(np.minimum(excess, least)) if len(kind) else excess
-        before = np.concatenate([[least], upto[:-1]]) if len(kind) else excess
-        if len(kind):
-            pieces, slots, least = int(own[-1]), int(room[-1]), int(upto[-1])
+        upto = np.minimum.accumulate(np.minimum(excess, least))
+        before = np.concatenate([[least], upto[:-1]])
+        pieces, slots, least, tokens = int(own[-1]), int(room[-1]), int(upto[-1]), tokens + int(batch.column(0).to_numpy()[is_piece].sum())
         rank = np.where(is_piece, own, room)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kind), part, np.int32)), *batch.columns, pa.array(rank, pa.int64()), pa.array(excess, pa.int64()), pa.array(before, pa.int64())], names=["part", "size", "kind", "id", "rank", "excess", "before"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kind), part, np.int32)), *batch.columns, pa.array(rank, pa.int64()), pa.array(excess, pa.int64()), pa.array(before, pa.int64())], names=names)
+    if pieces or slots:
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((part, tokens, 2, 0, pieces, least, slots), (pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 4), strict=True)], names=names)
 
 
 def _matched(pieces: DataFrame, slots: DataFrame) -> tuple[DataFrame, int, int]:
@@ -163,8 +168,7 @@ def _matched(pieces: DataFrame, slots: DataFrame) -> tuple[DataFrame, int, int]:
     ranged = rows.repartitionByRange(F.desc("size"), "kind", "id").sortWithinPartitions(F.desc("size"), "kind", "id")
     swept = cut(in_arrow(ranged, _swept, "part int, size long, kind int, id long, rank long, excess long, before long"), "swept")
     # a row for each range: what lies before it, and the least excess there
-    parts = swept.groupBy("part").agg(F.sum("kind").alias("pieces"), F.sum(1 - F.col("kind")).alias("slots"), F.min("excess").alias("least"), F.sum(F.col("kind") * F.col("size")).alias("tokens")).collect()
-    parts.sort(key=lambda r: r.part)
+    parts = sorted(swept.where("kind = 2").select("part", F.col("size").alias("tokens"), F.col("rank").alias("pieces"), F.col("excess").alias("least"), F.col("before").alias("slots")).collect(), key=lambda r: r.part)
     starts, pieces_before, slots_before, least = [], 0, 0, 0
     for r in parts:
         starts.append((r.part, pieces_before, slots_before, least))
@@ -175,7 +179,7 @@ def _matched(pieces: DataFrame, slots: DataFrame) -> tuple[DataFrame, int, int]:
     offsets = spark.createDataFrame(pa.table([pa.array([r[k] for r in starts], f.type) for k, f in enumerate(names)], schema=names))
     # all winners' ranks may move up by what the tightest of them has to spare
     up = max(0, spread) if spread < _TOP // 2 else 0
-    known = swept.join(F.broadcast(offsets), "part")
+    known = swept.where("kind < 2").join(F.broadcast(offsets), "part")
     tightest = F.least(F.col("m"), F.lit(0), F.col("s") - F.col("d") + F.col("before"))
     wins = F.col("s") - F.col("d") + F.col("excess") >= tightest
     place = F.when(F.col("kind") == 0, F.col("s") + F.col("rank")).when(wins, F.col("d") + F.col("rank") + tightest + up)
@@ -212,9 +216,9 @@ def sequences(pieces: DataFrame, size: int) -> DataFrame:
                 continue
             pairs = found.where("kind = 1 AND place IS NOT NULL").select("place", F.struct("id", F.col("size").alias("length")).alias("piece")).join(found.where("kind = 0").select("place", "id"), "place")
             # a sequence has `size` pieces at most
-            used = pairs.groupBy("id").agg(F.sum("piece.length").alias("used"), F.collect_list("piece").alias("taken"))
-            after = cut(gaps.join(used, "id", "left").select("id", (F.col("size") - F.coalesce("used", F.lit(0))).alias("size"), "taken"), "gaps")
-            took.append(after.where("taken IS NOT NULL").select(F.col("id").alias("sequence_id"), F.inline("taken"), F.lit(len(took)).alias("turn")))
+            flows = gaps.withColumn("piece", F.lit(None).cast("struct<id: bigint, length: bigint>")).unionByName(pairs.select("id", (-F.col("piece.length")).alias("size"), "piece"))
+            after = cut(flows.groupBy("id").agg(F.sum("size").alias("size"), F.collect_list("piece").alias("taken")), "gaps")
+            took.append(after.where(F.size("taken") > 0).select(F.col("id").alias("sequence_id"), F.inline("taken"), F.lit(len(took)).alias("turn")))
             gaps, left, n = after.where("size > 0").select("id", "size"), found.where("kind = 1 AND place IS NULL").select("id", "size"), n - won
     return functools.reduce(DataFrame.unionByName, took) if took else spark.createDataFrame([], "sequence_id long, id long, length long, turn int")
 
