@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Class ids, names and maps of the land-cover schemes.
 CLASSES = ["no_data", "building", "non-concrete anthropogenic surface", "surface in concrete", "bare rock", "natural water", "reed", "snow", "soil with vegetation", "vineyard and orchard", "agricultural land", "tarp", "temporary greenhouse", "permanent greenhouse", "green roof", "basin", "synthetic lawn", "eave"]
-SUPERCLASSES = ["no_data", "building", "non-concrete anthropogenic surface", "surface in concrete", "bare rock", "natural water", "reed", "snow", "soil with vegetation", "vineyard and orchard", "agricultural land", "tarp", "temporary greenhouse", "permanent greenhouse", "green roof", "basin", "synthetic lawn", "eave"]
+SUPERCLASSES = ["no_data", "non-soil", "soil", "water", "uncertain"]
 TO_SUPERCLASS = {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 5: 3, 6: 1, 7: 4, 8: 2, 9: 2, 10: 2, 11: 2, 12: 2, 13: 1, 14: 1, 15: 3, 16: 1, 17: 1}
 SOIL = [8, 9, 10, 11, 12]
 NON_SOIL = [1, 2, 3, 4, 5, 6, 7, 13, 14, 15, 16]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut
+
 
 def quadtree(cells: DataFrame, depth: int) -> DataFrame:
     """cells(cell, x0, y0, x1, y1) and their quarters down to depth: path names the quarters (0 to 3: SW, SE, NW, NE) and
@@ -32,12 +34,12 @@ def grid_cells(areas: DataFrame, size: float, digits: int = 1) -> DataFrame:
     at = lambda o, k, d: F.round(F.col(o) + (F.col(k) + d) * size, digits)
     cells = rows.select("area", "row", "col", F.col("x1").alias("ax"), F.col("y1").alias("ay"), at("x0", "col", 0).alias("cx0"), at("y0", "row", 0).alias("cy0"), at("x0", "col", 1).alias("cx1"), at("y0", "row", 1).alias("cy1"))
     inside = cells.where((F.col("cx1") <= F.col("ax") + 1e-3) & (F.col("cy1") <= F.col("ay") + 1e-3))
-    # ids: a running count within each area, and the areas' sizes before it
-    sizes = inside.groupBy("area").agg(F.count("*").alias("k"))
-    before = sizes.select("area", (F.coalesce(F.sum("k").over(Window.partitionBy(F.lit(0)).orderBy("area").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("before"), F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy("area")).alias("rank"))
-    local = F.row_number().over(Window.partitionBy("area").orderBy("row", "col")) - 1
-    named = inside.withColumn("local", local).join(F.broadcast(before), "area")  # a row for each area
-    return named.select("area", "row", "col", (F.col("before") + F.col("local")).cast("long").alias("unique_id"), F.concat_ws("-", F.col("rank") - 1, F.col("row"), F.col("col")).alias("str_id"), F.col("cx0").alias("x0"), F.col("cy0").alias("y0"), F.col("cx1").alias("x1"), F.col("cy1").alias("y1"))
+    # ids: what stays of an area are its first rows and columns, so a cell's number follows from these and from the areas before
+    stay = lambda o, e: F.size(F.filter(F.sequence(F.lit(0), n(o, e) - 1), lambda k: F.round(F.col(o) + (k + 1) * size, digits) <= F.col(e) + 1e-3))
+    sizes = areas.select("area", stay("x0", "x1").alias("columns"), stay("y0", "y1").alias("rows")).withColumn("k", F.col("columns") * F.col("rows")).where("k > 0")
+    before = sizes.select("area", "columns", (F.coalesce(F.sum("k").over(Window.partitionBy(F.lit(0)).orderBy("area").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("before"), F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy("area")).alias("rank"))
+    named = inside.join(before, "area")  # a row for each area
+    return named.select("area", "row", "col", (F.col("before") + F.col("row") * F.col("columns") + F.col("col")).cast("long").alias("unique_id"), F.concat_ws("-", F.col("rank") - 1, F.col("row"), F.col("col")).alias("str_id"), F.col("cx0").alias("x0"), F.col("cy0").alias("y0"), F.col("cx1").alias("x1"), F.col("cy1").alias("y1"))
 
 
 def grid_size(length: Column, cell: Column | float, overlap: Column | float) -> Column:
@@ -101,6 +103,21 @@ def shuffled(df: DataFrame, key: str, seed: int, by: list[str] | None = None) ->
     return dealt.withColumn("_rank", rank).join(before, same).withColumn("place", F.col("_before") + F.col("_rank")).select(*df.columns, "place", "many")
 
 
+def in_order(df: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
+    """df with place (from 0) in order of key within `by`, and how many there are. Rows are range-sorted; a place is the rank
+    in a range and the ranges' sizes before it, so no task holds a whole group."""
+    keys = by or []
+    ranged = cut(df.repartitionByRange(*keys, key).withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
+    group = Window.partitionBy(*(keys or [F.lit(0)]))  # a row for each range
+    before = sizes.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_part").alias("_p"), (F.sum("_n").over(group.orderBy("_part")) - F.col("_n")).alias("_before"), F.sum("_n").over(group).alias("many"))
+    same = F.col("_part") == F.col("_p")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(key)) - 1
+    return ranged.withColumn("_rank", rank).join(before, same).withColumn("place", F.col("_before") + F.col("_rank")).select(*df.columns, "place", "many")
+
+
 def split(df: DataFrame, key: str, seed: int, by: list[str] | None = None, train: float = 0.7) -> DataFrame:
     """df with split: so much of each group for train, half of the rest for val, the others for test."""
     s = shuffled(df, key, seed, by)
@@ -110,10 +127,11 @@ def split(df: DataFrame, key: str, seed: int, by: list[str] | None = None, train
 
 
 def val_to_test(df: DataFrame, key: str) -> DataFrame:
-    """The first half of val, and one more, becomes test."""
-    w = Window.partitionBy("split")
-    move = (F.col("split") == "val") & (F.row_number().over(w.orderBy(key)) <= F.floor(F.count("*").over(w) / 2) + 1)
-    return df.withColumn("split", F.when(move, "test").otherwise(F.col("split")))
+    """The first half of val in order of key, and one more, becomes test."""
+    val = in_order(df.where("split = 'val'"), key)
+    move = F.col("place") < F.floor(F.col("many") / 2) + 1
+    moved = val.withColumn("split", F.when(move, "test").otherwise(F.col("split"))).select(df.columns)
+    return df.where("NOT split <=> 'val'").unionByName(moved)
 
 
 def same_aspect(df: DataFrame, width: Column, height: Column, to_width: Column, to_height: Column, digits: int = 2) -> DataFrame:

@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,29 +79,25 @@ _STEPS = ((1, 0), (0, 1), (-1, 0), (0, -1))  # right, down, left, up on the scre
 def outline(mask: np.ndarray) -> list[tuple[int, int, int, int]]:
     """The outer ring of a 4-connected region as unit edges (x, y, dx, dy), counter-clockwise as seen with y up, from
     the upper left corner of its first pixel downwards."""
-    m = np.pad(mask, 1)
-    y, x = np.argwhere(m)[0]
-    start = px, py = int(x), int(y)
+    width = mask.shape[1] + 2
+    m = np.pad(mask, 1).astype(np.uint8).tobytes()
+    # of a corner, by direction: the next corner, and the pixels on the left (y up) and on the right of the edge to it
+    move, left, right = (1, width, -1, -width), (-width, 0, -1, -width - 1), (0, -1, -width - 1, -width)
+    start = at = m.index(1)
     d, out = 1, []
     while True:
-        dx, dy = _STEPS[d]
-        out.append((px - 1, py - 1, dx, dy))
-        px, py = px + dx, py + dy
-        if (px, py) == start:
+        y, x = divmod(at, width)
+        out.append((x - 1, y - 1, *_STEPS[d]))
+        at += move[d]
+        if at == start:
             return out
         for turn in (3, 0, 1):  # to the left first: diagonal pixels aren't connected
             nd = (d + turn) % 4
-            if _on_left(m, px, py, nd):
+            if m[at + left[nd]] and not m[at + right[nd]]:
                 d = nd
                 break
 
 
-def _on_left(m: np.ndarray, x: int, y: int, d: int) -> bool:
-    """Whether the edge from corner (x, y) has the region on its left (y up) and not on its right."""
-    left, right = {0: ((y - 1, x), (y, x)), 1: ((y, x), (y, x - 1)), 2: ((y, x - 1), (y - 1, x - 1)), 3: ((y - 1, x - 1), (y - 1, x))}[d]
-    return bool(m[left]) and not m[right]
-
-
 def corners(edges: list[tuple[int, int, int, int]], closed: bool = True) -> list[tuple[int, int, bool]]:
     """(arm before, arm after, convex) of each corner of a chain of unit edges, in pixels."""
     if not edges:
@@ -121,19 +118,23 @@ def corners(edges: list[tuple[int, int, int, int]], closed: bool = True) -> list
 def right_angles(mask: np.ndarray, edge_m: float, least_product: float = 50) -> tuple[int, int, int]:
     """Right angles of the outline, those whose arms' product exceeds least_product m2, and the convex ones of these."""
     found = corners(outline(mask))
-    large = [c for _, _, c in ((a, b, v) for a, b, v in found if a * b * edge_m * edge_m > least_product)]
+    large = [convex for a, b, convex in found if a * b * edge_m * edge_m > least_product]
     return len(found), len(large), sum(large)
 
 
-def shared_right_angles(edges: list, other: np.ndarray, edge_m: float, least_product: float = 50) -> tuple[int, int]:
-    """Along the outline where `other` (padded by one) lies on its right: convex corners with large arms, and the length
-    in pixels. Arms end with the shared stretch; a ring that is shared as a whole is closed."""
-    side = {(1, 0): (1, 0), (0, 1): (0, -1), (-1, 0): (0, 0), (0, -1): (0, 0)}
-    right = []
-    for x, y, dx, dy in edges:
-        oy, ox = {(1, 0): (y, x), (0, 1): (y, x - 1), (-1, 0): (y - 1, x - 1), (0, -1): (y - 1, x)}[dx, dy]
-        right.append(bool(other[oy + 1, ox + 1]))
-    del side
+#: By direction, where the pixel on an edge's right lies from the corner that the edge begins at, as (row, column).
+_RIGHT = {(1, 0): (0, 0), (0, 1): (0, -1), (-1, 0): (-1, -1), (0, -1): (-1, 0)}
+
+
+def right_labels(edges: list[tuple[int, int, int, int]], around: np.ndarray) -> list[int]:
+    """The label on the right of each edge; around: labels, padded by one."""
+    at = np.asarray([(y + _RIGHT[dx, dy][0] + 1, x + _RIGHT[dx, dy][1] + 1) for x, y, dx, dy in edges])
+    return around[at[:, 0], at[:, 1]].tolist()
+
+
+def shared_right_angles(edges: list, right: list[bool], edge_m: float, least_product: float = 50) -> tuple[int, int]:
+    """Along the outline where a neighbour lies on its right: convex corners with large arms, and the length in pixels.
+    Arms end with the shared stretch; a ring that is shared as a whole is closed."""
     n = sum(right)
     if n == len(edges):
         chains, closed = [edges], True
@@ -163,41 +164,51 @@ def _sums(labels: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return ids, np.bincount(inverse.ravel(), values.ravel()).astype(np.int64)
 
 
-def correct_array(cls: np.ndarray, edge_m: float = 0.1, most_perimeter: float = 400, least_fill: float = 0.4) -> np.ndarray:
+def _boxes(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels in order, (first row, last row, first column, last column) of each, and pixels of each."""
+    ids, at, n = np.unique(labels, return_inverse=True, return_counts=True)
+    at = at.ravel()
+    rows, columns = np.divmod(np.arange(labels.size), labels.shape[1])
+    order = np.argsort(at, kind="stable")
+    begin = np.cumsum(n) - n
+    rows, columns = rows[order], columns[order]
+    return ids, np.stack([np.minimum.reduceat(rows, begin), np.maximum.reduceat(rows, begin), np.minimum.reduceat(columns, begin), np.maximum.reduceat(columns, begin)], 1), n
+
+
+def correct_array(cls: np.ndarray, edge_m: float = 0.1, most_perimeter: float = 400, least_fill: float = 0.4, least_product: float = 50, within: tuple[int, int, int, int] | None = None) -> np.ndarray:
     """Regions that look like cut-out squares take the class of the neighbour that they were cut from.
 
     A candidate has 1 to 4 large convex right angles, less than most_perimeter m of boundary and more than least_fill of
     its bounding box. The winner has the most right angles on the shared boundary (at least one), then the longest
-    shared boundary, then the smallest label. All decisions read the classes as they were."""
+    shared boundary, then the smallest label. All decisions read the classes as they were. within (first row, row after the
+    last, and columns likewise): only regions that have to do with this box are looked at, the result holds inside it."""
     labels, out = label4(cls), cls.copy()
+    ids, boxes, n_px = _boxes(labels)
     rounds = perimeter(labels)
-    boxes: dict[int, list[int]] = {}
-    for y, row in enumerate(labels):
-        ids, first = np.unique(row, return_index=True)
-        last = len(row) - 1 - np.unique(row[::-1], return_index=True)[1]
-        for i, a, b in zip(ids.tolist(), first.tolist(), last.tolist(), strict=True):
-            box = boxes.setdefault(i, [y, y, a, b])
-            box[1], box[2], box[3] = y, min(box[2], a), max(box[3], b)
-    for i, (y0, y1, x0, x1) in boxes.items():
-        if rounds[i] * edge_m >= most_perimeter or cls.flat[i] < 0:
-            continue
-        part = labels[y0 : y1 + 1, x0 : x1 + 1]
-        mask = part == i
-        if mask.mean() <= least_fill or not 0 < right_angles(mask, edge_m)[2] < 5:
-            continue
+    heights, widths = boxes[:, 1] - boxes[:, 0] + 1, boxes[:, 3] - boxes[:, 2] + 1
+    # arms are no longer than the box's sides, so smaller boxes have no large right angle
+    likely = (heights * widths * edge_m * edge_m > least_product) & (n_px / (heights * widths) > least_fill) & (cls.ravel()[ids] >= 0)
+    likely &= np.asarray([rounds[i] for i in ids.tolist()]) * edge_m < most_perimeter
+    if within:
+        likely &= np.isin(ids, labels[within[0] : within[1], within[2] : within[3]])
+    padded = np.pad(labels, 1, constant_values=-1)
+    for k in np.flatnonzero(likely).tolist():
+        i, (y0, y1, x0, x1) = int(ids[k]), boxes[k].tolist()
+        mask = labels[y0 : y1 + 1, x0 : x1 + 1] == i
         edges = outline(mask)
-        around = np.full((mask.shape[0] + 2, mask.shape[1] + 2), -1, np.int64)
-        ya, yb, xa, xb = max(y0 - 1, 0), min(y1 + 2, labels.shape[0]), max(x0 - 1, 0), min(x1 + 2, labels.shape[1])
-        around[ya - y0 + 1 : yb - y0 + 1, xa - x0 + 1 : xb - x0 + 1] = labels[ya:yb, xa:xb]
+        large = sum(convex for a, b, convex in corners(edges) if a * b * edge_m * edge_m > least_product)
+        if not 0 < large < 5:
+            continue
+        right = right_labels(edges, padded[y0 : y1 + 3, x0 : x1 + 3])
         best = None
-        for j in np.unique(around).tolist():
-            if j in (i, -1) or cls.flat[j] < 0:
+        for j in sorted(set(right)):
+            if j == -1 or cls.flat[j] < 0:
                 continue
-            angles, shared = shared_right_angles(edges, around == j, edge_m)
+            angles, shared = shared_right_angles(edges, [r == j for r in right], edge_m, least_product)
             if angles and (best is None or (angles, shared) > best[0]):
                 best = ((angles, shared), j)
         if best:
-            out[labels == i] = cls.flat[best[1]]
+            out[y0 : y1 + 1, x0 : x1 + 1][mask] = cls.flat[best[1]]
     return out
 
 
@@ -211,26 +222,63 @@ def correct_artefacts(px: DataFrame, value: str, edge_dm: str | None = None, key
     return px.groupBy(key).applyInPandas(run, px.withColumn("corrected", F.lit(0)).schema)
 
 
+def _processed(mosaic: np.ndarray, mode: str, edge: int, edge_m: float, to: np.ndarray) -> np.ndarray:
+    """The middle of a mosaic of 3 x 3 tiles, corrected. to: superclasses by class + 1."""
+    middle = (edge, 2 * edge, edge, 2 * edge)
+    if mode in ("mc", "combined"):
+        # what the superclasses' regions look like depends on corrections all over the mosaic
+        mosaic = correct_array(mosaic, edge_m, within=middle if mode == "mc" else None)
+    if mode in ("soil", "combined"):
+        mosaic = correct_array(to[mosaic + 1], edge_m, within=middle)
+    return mosaic[edge : 2 * edge, edge : 2 * edge]
+
+
+def _table(superclass: dict[int, int] | None) -> np.ndarray:
+    table = superclass or TO_SUPERCLASS
+    out = np.full(max(table) + 2, -1, np.int64)
+    for k, v in table.items():
+        out[k + 1] = v
+    return out
+
+
 def post_process(halo: DataFrame, mode: str = "mc", edge: int = 32, edge_m: float = 0.1, superclass: dict[int, int] | None = None) -> DataFrame:
     """Correction of tiles within their ring of neighbours. halo(tile_id, dr, dc, r, c, cls): each tile's own pixels (dr
     and dc 0) and its neighbours' (-1, 0 or 1). mode: mc on the classes; soil on the superclasses; combined: on the
-    classes, then on their superclasses. Returns tile_id, r, c, cls of the tiles themselves; missing neighbours are no data."""
-    table = superclass or TO_SUPERCLASS
+    classes, then on their superclasses. Returns tile_id, r, c, cls of the tiles themselves; missing neighbours are no data.
+    For small inputs: bulk work is done by post_process_tiles."""
+    to = _table(superclass)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         mosaic = np.full((3 * edge, 3 * edge), -1, np.int64)
         mosaic[(pdf.dr + 1) * edge + pdf.r, (pdf.dc + 1) * edge + pdf.c] = pdf.cls
-        to = np.vectorize(lambda k: table.get(int(k), -1))
-        if mode in ("mc", "combined"):
-            mosaic = correct_array(mosaic, edge_m)
-        if mode in ("soil", "combined"):
-            mosaic = correct_array(to(mosaic), edge_m)
         own = pdf[(pdf.dr == 0) & (pdf.dc == 0)]
-        return pd.DataFrame({"tile_id": own.tile_id, "r": own.r, "c": own.c, "cls": mosaic[edge + own.r, edge + own.c].astype("int32")})
+        return pd.DataFrame({"tile_id": own.tile_id, "r": own.r, "c": own.c, "cls": _processed(mosaic, mode, edge, edge_m, to)[own.r, own.c].astype("int32")})
 
     return halo.groupBy("tile_id").applyInPandas(run, "tile_id long, r int, c int, cls int")
 
 
+def post_process_tiles(tiles: DataFrame, halo: DataFrame, mode: str = "mc", edge: int = 32, edge_m: float = 0.1, superclass: dict[int, int] | None = None, empty: int = 255) -> DataFrame:
+    """post_process() in bulk: tiles(tile_id, data) have a row each, of edge x edge unsigned bytes (empty: no data), and
+    halo(tile_id, dr, dc, neighbour_id) says which tiles are where. Nine rows meet for a tile, whatever its pixels are."""
+    to = _table(superclass)
+    parts = halo.join(tiles.withColumnRenamed("tile_id", "neighbour_id"), "neighbour_id").select("tile_id", "dr", "dc", "data")
+
+    def run(table: pa.Table) -> pa.Table:
+        mosaic = np.full((3 * edge, 3 * edge), -1, np.int64)
+        own = None
+        for dr, dc, data in zip(*(table[k].to_pylist() for k in ("dr", "dc", "data")), strict=True):
+            part = np.frombuffer(data, np.uint8).reshape(edge, edge).astype(np.int64)
+            part[part == empty] = -1
+            mosaic[(dr + 1) * edge : (dr + 2) * edge, (dc + 1) * edge : (dc + 2) * edge] = part
+            own = part if (dr, dc) == (0, 0) else own
+        made = _processed(mosaic, mode, edge, edge_m, to)
+        r, c = np.nonzero(own >= 0) if own is not None else (np.zeros(0, np.int64),) * 2
+        ids = np.full(len(r), table["tile_id"][0].as_py(), np.int64)
+        return pa.table({"tile_id": pa.array(ids), "r": pa.array(r, pa.int32()), "c": pa.array(c, pa.int32()), "cls": pa.array(made[r, c], pa.int32())})
+
+    return parts.groupBy("tile_id").applyInArrow(run, "tile_id long, r int, c int, cls int")
+
+
 def hull(points: np.ndarray) -> np.ndarray:
     """Convex hull of whole-numbered points, counter-clockwise."""
     pts = np.unique(points, axis=0).tolist()
@@ -247,14 +295,16 @@ def hull(points: np.ndarray) -> np.ndarray:
 
 
 def rotated_rectangle(points: np.ndarray) -> tuple[float, float]:
-    """Long and short edge of the smallest rectangle around the points, in any rotation; it shares a side of the hull."""
+    """Long and short edge of the smallest rectangle around the points, in any rotation; it shares a side of the hull. Of
+    equally small ones the one with the shortest edge."""
     h = hull(points)
     side = np.roll(h, -1, axis=0) - h
     u = side / np.linalg.norm(side, axis=1, keepdims=True)
     along, across = h @ u.T, h @ np.stack([-u[:, 1], u[:, 0]])
     a, b = np.ptp(along, axis=0), np.ptp(across, axis=0)
-    k = int(np.argmin(a * b))
-    return float(max(a[k], b[k])), float(min(a[k], b[k]))
+    area = np.round(a * b, 9)
+    short = np.where(area == area.min(), np.minimum(a, b), np.inf).min()
+    return float(area.min() / short), float(short)
 
 
 def rectangles(px: DataFrame, keys: list[str], edge_dm: str = "px_dm") -> DataFrame:
@@ -266,7 +316,7 @@ def rectangles(px: DataFrame, keys: list[str], edge_dm: str = "px_dm") -> DataFr
         points = np.concatenate([np.stack([pdf.c0 + 0, pdf.r + k], 1) for k in (0, 1)] + [np.stack([pdf.c1 + 1, pdf.r + k], 1) for k in (0, 1)])
         long, short = rotated_rectangle(points)
         edge = float(pdf.edge.max()) / 10
-        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, "long_axis": long * edge, "short_axis": short * edge, "axis_ratio": short / long, "rectangularity": float(pdf.n.sum()) / (long * short)}])
+        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, "long_axis": long * edge, "short_axis": round(short * edge, 9), "axis_ratio": round(short / long, 9), "rectangularity": round(float(pdf.n.sum()) / (long * short), 9)}])
 
     kinds = dict(px.dtypes)
     return ends.groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", long_axis double, short_axis double, axis_ratio double, rectangularity double")
@@ -318,5 +368,23 @@ def simplify(points: list[tuple[float, float]], tolerance: float) -> list[tuple[
     return [points[k] for k in sorted(keep)]
 
 
+def outlines(px: DataFrame, keys: list[str], tolerance_px: float = 0.0) -> DataFrame:
+    """keys, corners (of the outer ring as traced) and ring: its points (x, y) in pixels, simplified, the first one repeated
+    at the end. A ring is cut at its first corner and at the one farthest from it, and both halves are simplified."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        r0, c0 = int(pdf.r.min()), int(pdf.c.min())
+        mask = np.zeros((int(pdf.r.max()) - r0 + 1, int(pdf.c.max()) - c0 + 1), bool)
+        mask[pdf.r - r0, pdf.c - c0] = True
+        edges = outline(mask)
+        ring = [(x + c0, y + r0) for k, (x, y, dx, dy) in enumerate(edges) if (dx, dy) != edges[k - 1][2:]]
+        far = max(range(len(ring)), key=lambda k: (ring[k][0] - ring[0][0]) ** 2 + (ring[k][1] - ring[0][1]) ** 2)
+        simple = simplify(ring[: far + 1], tolerance_px)[:-1] + simplify([*ring[far:], ring[0]], tolerance_px)
+        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, "corners": len(ring), "ring": [{"x": float(x), "y": float(y)} for x, y in simple]}])
+
+    kinds = dict(px.dtypes)
+    return px.select(*keys, "r", "c").groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", corners int, ring array<struct<x: double, y: double>>")
+
+
 def soil_mask(px: DataFrame, value: str) -> DataFrame:
     return px.withColumn("soil", F.col(value).isin(SOIL))

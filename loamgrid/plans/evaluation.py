@@ -192,8 +192,8 @@ def small_categories(spark, d):
 NAMES = "CASE {c} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(CLASSES)) + " END"
 
 
-@query("ml5_class_table", "SELECT CAST(range AS INT) AS class_id, " + NAMES.format(c="range") + " AS class_name, CAST(" + SUPER.format(c="range") + " AS INT) AS superclass_id, range BETWEEN 8 AND 12 AS is_soil FROM range(18)")
+@query("ml5_class_table", "SELECT CAST(range AS INT) AS class_id, " + NAMES.format(c="range") + " AS class_name, CAST(" + SUPER.format(c="range") + " AS INT) AS superclass_id, CASE " + SUPER.format(c="range") + " WHEN 0 THEN 'no_data' WHEN 1 THEN 'non-soil' WHEN 2 THEN 'soil' WHEN 3 THEN 'water' ELSE 'uncertain' END AS superclass_name, range BETWEEN 8 AND 12 AS is_soil FROM range(18)")
 def class_table(spark, d):
     from ..functions.classes import class_table as classes
 
-    return classes(spark).select("class_id", "class_name", "superclass_id", "is_soil")
+    return classes(spark).select("class_id", "class_name", "superclass_id", "superclass_name", "is_soil")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import functools
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
 from ..operators import changes, grid, regions, tiles
+from ..sources import files, vectors
 from ..sources.fixtures import BX_SQL, GRID_SQL, PX_SQL, boxes, pixels, tile_grid
+from ..sources.shared import cut, shared_dir
 from .range_join import box_join, halo, prefixed
-from .registry import SQL, query
+from .registry import QUERIES, SQL, query
 
 X = f"WITH {BX_SQL} "
 INTER = "greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0)"
@@ -46,18 +48,11 @@ def box_iou_pairs(spark, d):
     return pairs.where(2 * B.overlap(l, r) > B.area(l) + B.area(r) - B.overlap(l, r)).select("id", "r_id", F.round(B.iou(l, r), 6).alias("iou"))
 
 
-@query("jn7_contains_join", X + ", p AS (SELECT id, x0 + 3 AS x0, y0 + 3 AS y0, x1 - 3 AS x1, y1 - 3 AS y1 FROM bx WHERE id % 5 = 0 AND x1 - x0 > 6 AND y1 - y0 > 6), g AS (SELECT * FROM bx WHERE id % 5 = 1) SELECT a.id, coalesce(b.id, -1) AS inner_id FROM g a LEFT JOIN p b ON a.x0 <= b.x0 AND a.y0 <= b.y0 AND a.x1 >= b.x1 AND a.y1 >= b.y1")
+@query("jn7_contains_join", X + ", p AS (SELECT id, x0 + 3 AS x0, y0 + 3 AS y0, x1 - 3 AS x1, y1 - 3 AS y1 FROM bx WHERE x1 - x0 > 6 AND y1 - y0 > 6), g AS (SELECT * FROM bx) SELECT a.id, coalesce(b.id, -1) AS inner_id FROM g a LEFT JOIN p b ON a.x0 <= b.x0 AND a.y0 <= b.y0 AND a.x1 >= b.x1 AND a.y1 >= b.y1 AND a.id <> b.id")
 def contains_join(spark, d):
     b = boxes(spark, d)
     s = B.grown(B.box(), F.lit(-3))
-    p = b.where("id % 5 = 0 AND x1 - x0 > 6 AND y1 - y0 > 6").select("id", *(e.alias(n) for e, n in zip(s, B.BOX, strict=True)))
-    return box_join(b.where("id % 5 = 1"), prefixed(p), CELL, how="left", residual=B.contains(B.box(), B.box("r_"))).select("id", F.coalesce("r_id", F.lit(-1)).alias("inner_id"))
-
-
-@query("jn7_contains_join_all", SQL["jn7_contains_join"].replace("id % 5 = 0 AND ", "").replace(" WHERE id % 5 = 1", "") + " AND a.id <> b.id")
-def contains_join_all(spark, d):
-    b = boxes(spark, d)
-    p = b.where("x1 - x0 > 6 AND y1 - y0 > 6").select("id", *(e.alias(n) for e, n in zip(B.grown(B.box(), F.lit(-3)), B.BOX, strict=True)))
+    p = b.where("x1 - x0 > 6 AND y1 - y0 > 6").select("id", *(e.alias(n) for e, n in zip(s, B.BOX, strict=True)))
     return box_join(b, prefixed(p), CELL, how="left", residual=B.contains(B.box(), B.box("r_")) & (F.col("id") != F.col("r_id"))).select("id", F.coalesce("r_id", F.lit(-1)).alias("inner_id"))
 
 
@@ -68,74 +63,46 @@ def within_join(spark, d):
     return box_join(boxes(spark, d), z, 100, how="left", residual=B.contains(B.box("r_"), B.box())).select("id", F.coalesce("r_zone", F.lit(-1)).alias("zone"))
 
 
-@query("jn9_intersects_mask", X + f"SELECT a.id FROM bx a WHERE a.id % 3 = 0 AND EXISTS (SELECT 1 FROM bx b WHERE b.id % 7 = 1 AND {TOUCH})")
+@query("jn9_intersects_mask", X + f"SELECT a.id FROM bx a WHERE EXISTS (SELECT 1 FROM bx b WHERE b.id <> a.id AND {TOUCH})")
 def intersects_mask(spark, d):
-    b = boxes(spark, d)
-    return box_join(b.where("id % 3 = 0"), prefixed(b.where("id % 7 = 1")), CELL, how="left_semi").select("id")
-
-
-@query("jn9_intersects_mask_all", SQL["jn9_intersects_mask"].replace("a.id % 3 = 0 AND ", "").replace("b.id % 7 = 1", "b.id <> a.id"))
-def intersects_mask_all(spark, d):
     b = boxes(spark, d)
     return box_join(b, prefixed(b), CELL, how="left_semi", residual=F.col("id") != F.col("r_id")).select("id")
 
 
-@query("jn10_jn16_clipped_pairs", X + f"SELECT a.id, b.id AS r_id, greatest(a.x0, b.x0) AS x0, greatest(a.y0, b.y0) AS y0, least(a.x1, b.x1) AS x1, least(a.y1, b.y1) AS y1 FROM bx a JOIN bx b ON {TOUCH} WHERE a.id % 4 = 0 AND b.id % 9 = 2 AND {INTER} > 0")
+@query("jn10_jn16_clipped_pairs", X + f"SELECT a.id, b.id AS r_id, greatest(a.x0, b.x0) AS x0, greatest(a.y0, b.y0) AS y0, least(a.x1, b.x1) AS x1, least(a.y1, b.y1) AS y1 FROM bx a JOIN bx b ON {TOUCH} WHERE a.id <> b.id AND {INTER} > 0")
 def clipped_pairs(spark, d):
-    b = boxes(spark, d)
-    pairs = box_join(b.where("id % 4 = 0"), prefixed(b.where("id % 9 = 2")), CELL, residual=B.overlap(B.box(), B.box("r_")) > 0)
-    return pairs.select("id", "r_id", *(e.alias(n) for e, n in zip(B.intersection(B.box(), B.box("r_")), B.BOX, strict=True)))
-
-
-@query("jn10_jn16_clipped_pairs_all", SQL["jn10_jn16_clipped_pairs"].replace("a.id % 4 = 0 AND b.id % 9 = 2", "a.id <> b.id"))
-def clipped_pairs_all(spark, d):
     b = boxes(spark, d)
     pairs = box_join(b, prefixed(b), CELL, residual=(B.overlap(B.box(), B.box("r_")) > 0) & (F.col("id") != F.col("r_id")))
     return pairs.select("id", "r_id", *(e.alias(n) for e, n in zip(B.intersection(B.box(), B.box("r_")), B.BOX, strict=True)))
 
 
-@query("fl13_st5_coverage", X + f", c AS (SELECT a.id, max(CASE WHEN b.id IS NULL THEN 0 ELSE {INTER} END) AS covered, max({AREA.format('a')}) AS area FROM bx a LEFT JOIN bx b ON {TOUCH} AND b.id % 11 = 3 AND b.id <> a.id GROUP BY a.id) SELECT id FROM c WHERE 1 - coalesce(CAST(covered AS DOUBLE), 0) / area > 0.4")
-def coverage(spark, d, layer="id % 11 = 3"):
+@query("fl13_st5_coverage", X + f", c AS (SELECT a.id, max(CASE WHEN b.id IS NULL THEN 0 ELSE {INTER} END) AS covered, max({AREA.format('a')}) AS area FROM bx a LEFT JOIN bx b ON {TOUCH} AND b.id <> a.id GROUP BY a.id) SELECT id FROM c WHERE 1 - coalesce(CAST(covered AS DOUBLE), 0) / area > 0.4")
+def coverage(spark, d):
     b = boxes(spark, d)
-    pairs = box_join(b, prefixed(b.where(layer)), CELL, residual=F.col("id") != F.col("r_id"))
+    pairs = box_join(b, prefixed(b), CELL, residual=F.col("id") != F.col("r_id"))
     covered = pairs.groupBy("id").agg(F.max(B.overlap(B.box(), B.box("r_"))).alias("covered"))
     return b.join(covered, "id", "left").where(1 - F.coalesce("covered", F.lit(0)) / B.area(B.box()) > 0.4).select("id")
 
 
-@query("fl13_st5_coverage_all", SQL["fl13_st5_coverage"].replace("b.id % 11 = 3 AND ", ""))
-def coverage_all(spark, d):
-    return coverage(spark, d, "true")
-
-
-@query("jn12_vg6_contiguous", X + ", n AS (SELECT id, x0 // 2 AS x0, y0 // 2 AS y0, x0 // 2 + 2 AS x1, y0 // 2 + 2 AS y1 FROM bx WHERE id % 4 = 0 AND id < 1600), e AS (SELECT a.id AS u, b.id AS v FROM n a JOIN n b ON " + TOUCH + "), w AS (WITH RECURSIVE reach(u, v) AS (SELECT u, v FROM e UNION SELECT reach.u, e.v FROM reach JOIN e ON reach.v = e.u) SELECT u, min(v) AS root FROM reach GROUP BY u) SELECT u AS id, root, CAST(count(*) OVER (PARTITION BY root) AS BIGINT) AS members FROM w")
-def contiguous(spark, d, which="id % 4 = 0 AND id < 1600"):
+#: No SQL: the closure of all boxes is quadratic.
+@query("jn12_vg6_contiguous")
+def contiguous(spark, d):
     from ..operators.graphs import components
 
-    n = boxes(spark, d).where(which).selectExpr("id", "x0 div 2 AS x0", "y0 div 2 AS y0", "x0 div 2 + 2 AS x1", "y0 div 2 + 2 AS y1")
+    n = boxes(spark, d).selectExpr("id", "x0 div 2 AS x0", "y0 div 2 AS y0", "x0 div 2 + 2 AS x1", "y0 div 2 + 2 AS y1")
     e = box_join(n, prefixed(n), 16).select(F.col("id").alias("u"), F.col("r_id").alias("v"))
     c = components(n.select(F.col("id").alias("node")), e)
     sizes = c.groupBy("root").agg(F.count("*").alias("members"))
     return c.join(sizes, "root").select(F.col("node").alias("id"), "root", "members")
 
 
-@query("jn12_vg6_contiguous_all")
-def contiguous_all(spark, d):
-    return contiguous(spark, d, "true")
-
-
 @query("ag16_dissolved_lists", X + "SELECT grp, count(*) AS n, list_aggregate(list_sort(list(id)), 'string_agg', ',') AS ids, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM bx GROUP BY grp")
 def dissolved(spark, d):
     return boxes(spark, d).groupBy("grp").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("id")).cast("array<string>"), ",").alias("ids"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
 
 
-@query("rs10_rasterized", X + f", s AS (SELECT * FROM bx WHERE id < 400), g AS (SELECT CAST(range // 200 AS INT) AS r, CAST(range % 200 AS INT) AS c FROM range(40000)), h AS (SELECT r, c, max_by(grp + 1, id) AS v FROM g JOIN s ON c + 0.5 > x0 AND c + 0.5 < x1 AND r + 0.5 > y0 AND r + 0.5 < y1 GROUP BY r, c) SELECT r, c, coalesce(v, 0) AS v FROM g LEFT JOIN h USING (r, c)")
+@query("rs10_rasterized", X + f", s AS (SELECT * FROM bx), g AS (SELECT CAST(range // w AS INT) AS r, CAST(range % w AS INT) AS c FROM (SELECT max(x1) AS w, max(y1) AS h FROM bx) e, range(e.w * e.h)), h AS (SELECT r, c, max_by(grp + 1, id) AS v FROM g JOIN s ON c + 0.5 > x0 AND c + 0.5 < x1 AND r + 0.5 > y0 AND r + 0.5 < y1 GROUP BY r, c) SELECT r, c, coalesce(v, 0) AS v FROM g LEFT JOIN h USING (r, c)")
 def rasterized(spark, d):
-    g = spark.range(40000).select(F.floor(F.col("id") / 200).cast("int").alias("r"), (F.col("id") % 200).cast("int").alias("c"))
-    return tiles.rasterize(boxes(spark, d).where("id < 400").withColumn("v", F.col("grp") + 1), "v", "id", g)
-
-
-@query("rs10_rasterized_all", SQL["rs10_rasterized"].replace(" WHERE id < 400", "").replace("range // 200 AS INT", "range // w AS INT").replace("range % 200 AS INT", "range % w AS INT").replace("FROM range(40000)", "FROM (SELECT max(x1) AS w, max(y1) AS h FROM bx) e, range(e.w * e.h)"))
-def rasterized_all(spark, d):
     b = boxes(spark, d)
     w, h = b.agg(F.coalesce(F.max("x1"), F.lit(0)), F.coalesce(F.max("y1"), F.lit(0))).first()
     g = spark.range(w * h).select(F.floor(F.col("id") / w).cast("int").alias("r"), (F.col("id") % w).cast("int").alias("c"))
@@ -148,6 +115,52 @@ def snapped(spark, d):
     return spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("id"), F.round(F.round(x, 1) - x, 6).alias("shift"), F.round(x, 1).alias("x"))
 
 
+# vector tables and labels in files
+
+
+@query("sc7_sk2_vector_round_trip", X + "SELECT id, grp, x0, y0, x1, y1, CAST((x1 - x0) * (y1 - y0) AS DOUBLE) AS area, 'wkb' AS form FROM bx WHERE x0 <= 300 AND x1 >= 50 AND y0 <= 300 AND y1 >= 50 UNION ALL SELECT id, grp, x0, y0, x1, y1, CAST((x1 - x0) * (y1 - y0) AS DOUBLE), 'geojson' FROM bx WHERE x0 <= 300 AND x1 >= 50 AND y0 <= 300 AND y1 >= 50")
+def vector_round_trip(spark, d):
+    rows = boxes(spark, d).withColumn("geometry", vectors.box_ring(*B.box()))
+    read = []
+    for form in ("wkb", "geojson"):
+        path = f"{shared_dir(spark).rstrip('/')}/vectors-{uuid.uuid4().hex}"
+        vectors.write_vectors(rows, path, form)
+        found = vectors.read_vectors(spark, path, form, "id bigint, grp int, x0 int, y0 int, x1 int, y1 int", box=(50.0, 50.0, 300.0, 300.0))
+        read.append(found.select(*rows.drop("geometry").columns, vectors.area(F.col("geometry")).alias("area"), F.lit(form).alias("form")))
+    return read[0].unionByName(read[1])
+
+
+CLIP = (100, 100, 180, 180)
+CLIPPED = X.rstrip() + ", k AS (SELECT id, grp, greatest(x0, 100) AS x0, greatest(y0, 100) AS y0, least(x1, 180) AS x1, least(y1, 180) AS y1 FROM bx WHERE x0 < 180 AND x1 > 100 AND y0 < 180 AND y1 > 100)"
+
+
+@query("sc18_clip_dissolve", CLIPPED + f", e AS (SELECT a.id AS u, b.id AS v FROM k a JOIN k b ON a.grp = b.grp AND {TOUCH}), w AS (WITH RECURSIVE reach(u, v) AS (SELECT u, v FROM e UNION SELECT reach.u, e.v FROM reach JOIN e ON reach.v = e.u) SELECT u, min(v) AS part FROM reach GROUP BY u) SELECT grp, part, count(*) AS n, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM w JOIN k ON u = id GROUP BY grp, part")
+def clip_dissolve(spark, d):
+    """Features clipped to bounds, dissolved by an attribute, and what is contiguous of each value as a part."""
+    from ..operators.graphs import components
+
+    b = boxes(spark, d)
+    bounds = tuple(map(F.lit, CLIP))
+    inner = b.where((F.col("x0") < CLIP[2]) & (F.col("x1") > CLIP[0]) & (F.col("y0") < CLIP[3]) & (F.col("y1") > CLIP[1]))
+    k = cut(inner.select("id", "grp", *(e.alias(n) for e, n in zip(B.intersection(B.box(), bounds), B.BOX, strict=True))))
+    e = box_join(k, prefixed(k), 16, on=["grp"]).select(F.col("id").alias("u"), F.col("r_id").alias("v"))
+    c = components(k.select(F.col("id").alias("node")), e).select(F.col("node").alias("id"), F.col("root").alias("part"))
+    return k.join(c, "id").groupBy("grp", "part").agg(F.count("*").alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+
+
+@query("sk6_matched_pairs", f"WITH {PX_SQL}, t AS (SELECT tile_id, sum(pred) AS image, sum(y1) AS mask FROM px GROUP BY tile_id) SELECT CASE WHEN tile_id % 10 < 7 THEN 'train' WHEN tile_id % 10 < 9 THEN 'val' ELSE 'test' END AS split, tile_id, CAST(image AS BIGINT) AS image, CAST(mask AS BIGINT) AS mask FROM t WHERE tile_id % 4 <> 3")
+def matched_pairs(spark, d):
+    """Images and masks of one name in a folder for each split; every fourth tile has no mask here. Sums of pixels come back."""
+    px = pixels(spark, d)
+    path = f"{shared_dir(spark).rstrip('/')}/pairs-{uuid.uuid4().hex}"
+    ids = px.select(F.col("tile_id").alias("id")).distinct()
+    splits = ids.select("id", F.when(F.col("id") % 10 < 7, "train").when(F.col("id") % 10 < 9, "val").otherwise("test").alias("split"))
+    masks = files.encode_tiles(px, "y1", 32).where("tile_id % 4 <> 3")
+    files.write_pairs(files.encode_tiles(px, "pred", 32), masks, splits, path)
+    total = lambda c: F.expr(f"aggregate(sequence(1, length({c})), 0L, (s, i) -> s + conv(hex(substring({c}, i, 1)), 16, 10))").alias(c)
+    return files.read_pairs(spark, path).select("split", "tile_id", total("image"), total("mask"))
+
+
 # grids
 
 
@@ -205,13 +218,8 @@ def clipped_subtiles(spark, d):
     return cells.select("tile_id", "row", "col", *(e.alias(n) for e, n in zip(B.intersection(own, B.box("r_")), B.BOX, strict=True)))
 
 
-@query("tg8_matrix_tiles", X + ", s AS (SELECT * FROM bx WHERE id < 300) SELECT id, CAST(i AS INT) AS tile_col, CAST(j AS INT) AS tile_row, concat('https://tiles.example/', i, '/', j, '.png') AS url FROM s, range(-5, 60) t(i), range(-5, 60) u(j) WHERE i BETWEEN floor(x0 / 25.6) AND ceil(x1 / 25.6) AND j BETWEEN floor((500 - y1) / 25.6) AND ceil((500 - y0) / 25.6)")
+@query("tg8_matrix_tiles", X + ", s AS (SELECT * FROM bx) SELECT id, CAST(i AS INT) AS tile_col, CAST(j AS INT) AS tile_row, concat('https://tiles.example/', i, '/', j, '.png') AS url FROM s, range(-5, 60) t(i), range(-5, 60) u(j) WHERE i BETWEEN floor(x0 / 25.6) AND ceil(x1 / 25.6) AND j BETWEEN floor((500 - y1) / 25.6) AND ceil((500 - y0) / 25.6)")
 def matrix_tiles(spark, d):
-    return grid.matrix_tiles(boxes(spark, d).where("id < 300"), 0.0, 500.0, 25.6, "https://tiles.example/{TileCol}/{TileRow}.png")
-
-
-@query("tg8_matrix_tiles_all", SQL["tg8_matrix_tiles"].replace(" WHERE id < 300", ""))
-def matrix_tiles_all(spark, d):
     return grid.matrix_tiles(boxes(spark, d), 0.0, 500.0, 25.6, "https://tiles.example/{TileCol}/{TileRow}.png")
 
 
@@ -229,18 +237,13 @@ def web_tiles(spark, d):
     return p.select("id", "zoom", x.alias("x"), y.alias("y"))
 
 
-@query("tg8b_same_aspect", X + "SELECT id, x1 - x0 AS width, y1 - y0 AS height FROM bx WHERE id % 10 = 0")
-def same_aspect(spark, d, which="id % 10 = 0"):
-    b = boxes(spark, d).where(which).withColumns({"width": F.col("x1") - F.col("x0"), "height": F.col("y1") - F.col("y0")})
+@query("tg8b_same_aspect", X + "SELECT id, x1 - x0 AS width, y1 - y0 AS height FROM bx")
+def same_aspect(spark, d):
+    b = boxes(spark, d).withColumns({"width": F.col("x1") - F.col("x0"), "height": F.col("y1") - F.col("y0")})
     w, h = F.col("width"), F.col("height")
     return grid.same_aspect(b, w, h, w * 4, h * 4).select("id", "width", "height")
 
 
-@query("tg8b_same_aspect_all", SQL["tg8b_same_aspect"].replace(" WHERE id % 10 = 0", ""))
-def same_aspect_all(spark, d):
-    return same_aspect(spark, d, "true")
-
-
 # splits
 
 HASH = "(CAST({k} AS BIGINT) * 48271 + 7) % 2147483647"
@@ -283,43 +286,37 @@ def split_map(spark, d):
     return customers(spark, d).groupBy("split").agg(F.array_join(F.sort_array(F.collect_list("id")).cast("array<string>"), ",").alias("ids"))
 
 
-# regions. The queries named as in the survey are held to SQL of the first twelve tiles; those ending in _all, and those without SQL, run on all tiles.
+# regions
 
-SOME = " WHERE tile_id < 12"
-REGIONS = f"""WITH RECURSIVE {PX_SQL}, v AS (SELECT *, CASE WHEN tile_id % 2 = 0 THEN CAST((y1 - 1) * 17 + y2 AS INT) ELSE y1 END AS code FROM px WHERE tile_id < 12),
+REGIONS = f"""WITH RECURSIVE {PX_SQL}, v AS (SELECT *, CASE WHEN tile_id % 2 = 0 THEN CAST((y1 - 1) * 17 + y2 AS INT) ELSE y1 END AS code FROM px),
 reach(tile_id, r, c, r0, c0, code) AS (SELECT tile_id, r, c, r, c, code FROM v UNION SELECT v.tile_id, v.r, v.c, reach.r0, reach.c0, v.code FROM reach JOIN v ON v.tile_id = reach.tile_id AND v.code = reach.code AND abs(v.r - reach.r) + abs(v.c - reach.c) = 1),
 lab AS (SELECT tile_id, r, c, code, min(r0 * 65536 + c0) AS region FROM reach GROUP BY ALL), q AS (SELECT lab.*, v.y1, v.y2, v.px_dm, v.conf1_milli, v.conf2_milli FROM lab JOIN v USING (tile_id, r, c))"""
 
 
-def _tiles(spark, d, whole):
-    px = pixels(spark, d)
-    return px if whole else px.where("tile_id < 12")
-
-
-def labelled(spark, d, whole=False):
-    px = _tiles(spark, d, whole).withColumn("code", F.when(F.col("tile_id") % 2 == 0, (F.col("y1") - 1) * 17 + F.col("y2")).otherwise(F.col("y1")).cast("int"))
+def labelled(spark, d):
+    px = pixels(spark, d).withColumn("code", F.when(F.col("tile_id") % 2 == 0, (F.col("y1") - 1) * 17 + F.col("y2")).otherwise(F.col("y1")).cast("int"))
     return regions.polygonize(px, "code")
 
 
 @query("rs11_region_labels", REGIONS + " SELECT tile_id, r, c, CAST(region AS BIGINT) AS region FROM q")
-def region_labels(spark, d, whole=False):
-    return labelled(spark, d, whole).select("tile_id", "r", "c", "region")
+def region_labels(spark, d):
+    return labelled(spark, d).select("tile_id", "r", "c", "region")
 
 
 @query("rs21_component_stats", REGIONS + " SELECT tile_id, CAST(region AS BIGINT) AS region, count(*) AS n_px, CAST(count(*) AS DOUBLE) * max(px_dm) * max(px_dm) / 100 AS area_m2, round(CAST(count(*) AS DOUBLE) / ((max(r) - min(r) + 1) * (max(c) - min(c) + 1)), 6) AS fill, (greatest(max(r) - min(r), max(c) - min(c)) + 1) * max(px_dm) / 10.0 AS long_axis FROM q GROUP BY tile_id, region")
-def component_stats(spark, d, whole=False):
-    return changes.region_stats(labelled(spark, d, whole), ["tile_id", "region"]).select("tile_id", "region", "n_px", "area_m2", F.round("fill", 6).alias("fill"), "long_axis")
+def component_stats(spark, d):
+    return changes.region_stats(labelled(spark, d), ["tile_id", "region"]).select("tile_id", "region", "n_px", "area_m2", F.round("fill", 6).alias("fill"), "long_axis")
 
 
 @query("ag15_zonal_conf", REGIONS + " SELECT tile_id, CAST(region AS BIGINT) AS region, round(least(avg(conf1_milli), avg(conf2_milli)), 6) AS conf FROM q GROUP BY tile_id, region")
-def zonal_conf(spark, d, whole=False):
-    s = changes.region_stats(labelled(spark, d, whole), ["tile_id", "region"], conf=["conf1_milli", "conf2_milli"])
+def zonal_conf(spark, d):
+    s = changes.region_stats(labelled(spark, d), ["tile_id", "region"], conf=["conf1_milli", "conf2_milli"])
     return s.select("tile_id", "region", F.round(F.least("mean_conf1_milli", "mean_conf2_milli"), 6).alias("conf"))
 
 
 @query("rs12_region_sizes_back", REGIONS + " SELECT tile_id, r, c, CAST(count(*) OVER (PARTITION BY tile_id, region) AS BIGINT) AS n_px FROM q")
-def region_sizes_back(spark, d, whole=False):
-    px = labelled(spark, d, whole)
+def region_sizes_back(spark, d):
+    px = labelled(spark, d)
     return px.join(px.groupBy("tile_id", "region").agg(F.count("*").alias("n_px")), ["tile_id", "region"]).select("tile_id", "r", "c", "n_px")
 
 
@@ -327,65 +324,79 @@ EDGES = REGIONS + ", e0 AS (SELECT a.tile_id, a.region AS a, b.region AS b FROM
 
 
 @query("jn6_touching_regions", EDGES + " SELECT tile_id, CAST(region AS BIGINT) AS region, CAST(neighbour AS BIGINT) AS neighbour, shared_px FROM e")
-def touching_regions(spark, d, whole=False):
-    return regions.shared_edges(labelled(spark, d, whole)).select("tile_id", "region", "neighbour", "shared_px")
+def touching_regions(spark, d):
+    return regions.shared_edges(labelled(spark, d)).select("tile_id", "region", "neighbour", "shared_px")
 
 
 @query("wn1_so4_best_neighbour", EDGES + " SELECT tile_id, CAST(region AS BIGINT) AS region, CAST(arg_min(neighbour, -shared_px * 10000000000 + neighbour) AS BIGINT) AS neighbour FROM e GROUP BY tile_id, region")
-def best_neighbour(spark, d, whole=False):
-    e = regions.shared_edges(labelled(spark, d, whole))
+def best_neighbour(spark, d):
+    e = regions.shared_edges(labelled(spark, d))
     return e.groupBy("tile_id", "region").agg(F.min_by("neighbour", F.struct(-F.col("shared_px"), F.col("neighbour"))).alias("neighbour"))
 
 
 @query("fl8_candidates", REGIONS + ", s AS (SELECT tile_id, region, count(*) AS n, CAST(count(*) AS DOUBLE) / ((max(r) - min(r) + 1) * (max(c) - min(c) + 1)) AS fill, max(px_dm) AS e, 2 * (max(r) - min(r) + 1 + max(c) - min(c) + 1) AS around FROM q GROUP BY tile_id, region) SELECT tile_id, CAST(region AS BIGINT) AS region FROM s WHERE fill > 0.4 AND around * e / 10.0 < 400")
-def candidates(spark, d, whole=False):
-    s = changes.region_stats(labelled(spark, d, whole), ["tile_id", "region"])
+def candidates(spark, d):
+    s = changes.region_stats(labelled(spark, d), ["tile_id", "region"])
     return s.where((F.col("fill") > 0.4) & (2 * (F.col("long_axis") + F.col("short_axis")) < 400)).select("tile_id", "region")
 
 
-def tagged(spark, d, whole=False):
-    px = _tiles(spark, d, whole).withColumn("code", ((F.col("y1") - 1) * 17 + F.col("y2")).cast("int"))
-    px = regions.polygonize(px, "code")
-    s = changes.region_stats(px, ["tile_id", "region", "y1", "y2"], conf=["conf1_milli", "conf2_milli"])
+def tagged(spark, d):
+    px = pixels(spark, d).withColumn("code", ((F.col("y1") - 1) * 17 + F.col("y2")).cast("int"))
+    px = cut(regions.polygonize(px, "code"))
+    keys = ["tile_id", "region"]
+    s = changes.region_stats(px, [*keys, "y1", "y2"], conf=["conf1_milli", "conf2_milli"])
+    r = regions.rectangles(px, keys).select(*keys, F.col("short_axis").alias("short"), "axis_ratio", "rectangularity")
     conf = F.least("mean_conf1_milli", "mean_conf2_milli") / 1000
-    rect = F.col("fill")  # boxes stand in for rotated rectangles here
-    return s.withColumn("tag", changes.tag(F.col("y1"), F.col("y2"), F.col("area_m2"), conf, F.col("short_axis") / F.col("long_axis"), rect, F.col("short_axis"), F.col("fill")))
+    return s.join(r, keys).withColumn("tag", changes.tag(F.col("y1"), F.col("y2"), F.col("area_m2"), conf, F.col("axis_ratio"), F.col("rectangularity"), F.col("short"), F.col("fill")))
 
 
 SOIL, NON = "(8, 9, 10, 11, 12)", "(1, 2, 3, 4, 5, 6, 13, 14, 15, 16, 17)"
 
 
 def _ladder(built: str, edge: str, water: str, base: int) -> str:
-    tilt = "(ratio < 0.3 OR fill < 0.4)"
-    return f"CASE WHEN conf < 0.075 THEN {base + 1} WHEN {built} THEN CASE WHEN {tilt} THEN {base + 3} WHEN fill > 0.8 AND area > 5 THEN {base + 2} ELSE {base + 4} END WHEN ratio < 0.1 AND short < 2 THEN 40 WHEN {edge} AND {tilt} AND short < 4 THEN {base + 5} WHEN {water} AND fill > 0.8 AND area > 2500 THEN {base + 6} ELSE {base} END"
+    tilt = "(ratio < 0.3 OR rect < 0.4)"
+    return f"CASE WHEN conf < 0.075 THEN {base + 1} WHEN {built} THEN CASE WHEN {tilt} THEN {base + 3} WHEN rect > 0.8 AND area > 5 THEN {base + 2} ELSE {base + 4} END WHEN ratio < 0.1 AND short < 2 THEN 40 WHEN {edge} AND {tilt} AND short < 4 THEN {base + 5} WHEN {water} AND box > 0.8 AND area > 2500 THEN {base + 6} ELSE {base} END"
 
 
-TAGS = REGIONS.replace("CASE WHEN tile_id % 2 = 0 THEN CAST((y1 - 1) * 17 + y2 AS INT) ELSE y1 END AS code", "CAST((y1 - 1) * 17 + y2 AS INT) AS code") + f""", s AS (SELECT tile_id, CAST(region AS BIGINT) AS region, y1, y2, CAST(count(*) AS DOUBLE) * max(px_dm) * max(px_dm) / 100 AS area, CAST(count(*) AS DOUBLE) / ((max(r) - min(r) + 1) * (max(c) - min(c) + 1)) AS fill,
- CAST(least(max(r) - min(r) + 1, max(c) - min(c) + 1) AS DOUBLE) / greatest(max(r) - min(r) + 1, max(c) - min(c) + 1) AS ratio, least(max(r) - min(r) + 1, max(c) - min(c) + 1) * max(px_dm) / 10.0 AS short, least(avg(conf1_milli), avg(conf2_milli)) / 1000 AS conf FROM q GROUP BY ALL),
-t AS (SELECT tile_id, region, CAST(CASE WHEN y1 = y2 THEN 0 WHEN area < 1 THEN 60 WHEN (y1 = 7) <> (y2 = 7) THEN 50 WHEN y1 IN {SOIL} AND y2 IN {NON} THEN {_ladder('y2 IN (1, 17)', 'y1 = 8', 'y1 = 8 AND y2 = 5', 20)} WHEN y1 IN {NON} AND y2 IN {SOIL} THEN {_ladder('y1 IN (1, 17)', 'y2 = 8', 'y1 = 5 AND y2 = 8', 30)} ELSE 10 END AS INT) AS tag FROM s)"""
+# The smallest rotated rectangle shares a side of the hull, so it lies along one of the lines through two corners of the rows' ends.
+TAGS = REGIONS.replace("CASE WHEN tile_id % 2 = 0 THEN CAST((y1 - 1) * 17 + y2 AS INT) ELSE y1 END AS code", "CAST((y1 - 1) * 17 + y2 AS INT) AS code") + f""", s AS (SELECT tile_id, CAST(region AS BIGINT) AS region, y1, y2, count(*) AS n, max(px_dm) AS e, CAST(count(*) AS DOUBLE) * max(px_dm) * max(px_dm) / 100 AS area, CAST(count(*) AS DOUBLE) / ((max(r) - min(r) + 1) * (max(c) - min(c) + 1)) AS box,
+ least(avg(conf1_milli), avg(conf2_milli)) / 1000 AS conf FROM q GROUP BY ALL),
+ends AS (SELECT tile_id, CAST(region AS BIGINT) AS region, CAST(r AS BIGINT) AS r, CAST(min(c) AS BIGINT) AS a, CAST(max(c) AS BIGINT) + 1 AS b FROM q GROUP BY ALL), pt AS (SELECT tile_id, region, a AS x, r AS y FROM ends UNION SELECT tile_id, region, a, r + 1 FROM ends UNION SELECT tile_id, region, b, r FROM ends UNION SELECT tile_id, region, b, r + 1 FROM ends),
+way AS (SELECT DISTINCT tile_id, region, (b.x - a.x) // gcd(b.x - a.x, b.y - a.y) AS dx, (b.y - a.y) // gcd(b.x - a.x, b.y - a.y) AS dy FROM pt a JOIN pt b USING (tile_id, region) WHERE b.y > a.y OR (b.y = a.y AND b.x > a.x)),
+rect AS (SELECT tile_id, region, CAST(dx * dx + dy * dy AS DOUBLE) AS u, max(x * dx + y * dy) - min(x * dx + y * dy) AS a, max(x * dy - y * dx) - min(x * dy - y * dx) AS b FROM way JOIN pt USING (tile_id, region) GROUP BY tile_id, region, dx, dy),
+best AS (SELECT tile_id, region, min(round(a * b / u, 9)) AS least FROM rect GROUP BY ALL),
+axes AS (SELECT tile_id, region, max(least) AS whole, min(least(a, b) / sqrt(u)) AS short FROM rect JOIN best USING (tile_id, region) WHERE round(a * b / u, 9) = least GROUP BY ALL),
+w AS (SELECT s.tile_id, s.region, y1, y2, area, conf, box, round(short * short / whole, 9) AS ratio, round(n / whole, 9) AS rect, round(short * e / 10.0, 9) AS short FROM s JOIN axes USING (tile_id, region)),
+t AS (SELECT tile_id, region, CAST(CASE WHEN y1 = y2 THEN 0 WHEN area < 1 THEN 60 WHEN (y1 = 7) <> (y2 = 7) THEN 50 WHEN y1 IN {SOIL} AND y2 IN {NON} THEN {_ladder('y2 IN (1, 17)', 'y1 = 8', 'y1 = 8 AND y2 = 5', 20)} WHEN y1 IN {NON} AND y2 IN {SOIL} THEN {_ladder('y1 IN (1, 17)', 'y2 = 8', 'y1 = 5 AND y2 = 8', 30)} ELSE 10 END AS INT) AS tag FROM w)"""
 
 
 @query("rs22_monitor_tags", TAGS + " SELECT tile_id, region, tag FROM t")
-def monitor_tags(spark, d, whole=False):
-    return tagged(spark, d, whole).select("tile_id", "region", "tag")
+def monitor_tags(spark, d):
+    return tagged(spark, d).select("tile_id", "region", "tag")
 
 
 @query("ag12_change_histogram", TAGS + " SELECT tag, count(*) AS n, CAST((SELECT count(*) FROM t WHERE tag BETWEEN 20 AND 26) AS BIGINT) AS soil_to_nonsoil, CAST((SELECT count(*) FROM t WHERE tag BETWEEN 30 AND 36) AS BIGINT) AS nonsoil_to_soil FROM t GROUP BY tag")
-def change_histogram(spark, d, whole=False):
-    return changes.change_histogram(tagged(spark, d, whole))
+def change_histogram(spark, d):
+    return changes.change_histogram(tagged(spark, d))
+
 
+#: Other names that these queries have had.
+for _name in (
+    "rs11_region_labels", "rs21_component_stats", "ag15_zonal_conf", "rs12_region_sizes_back", "jn6_touching_regions", "wn1_so4_best_neighbour", "fl8_candidates", "rs22_monitor_tags", "ag12_change_histogram",
+    "jn7_contains_join", "jn9_intersects_mask", "jn10_jn16_clipped_pairs", "fl13_st5_coverage", "jn12_vg6_contiguous", "rs10_rasterized", "tg8_matrix_tiles", "tg8b_same_aspect",
+):
+    query(f"{_name}_all", SQL.get(_name))(QUERIES[_name])
 
-WHOLE_TILES = {
-    "rs11_region_labels": region_labels, "rs21_component_stats": component_stats, "ag15_zonal_conf": zonal_conf, "rs12_region_sizes_back": region_sizes_back, "jn6_touching_regions": touching_regions,
-    "wn1_so4_best_neighbour": best_neighbour, "fl8_candidates": candidates, "rs22_monitor_tags": monitor_tags, "ag12_change_histogram": change_histogram,
-}
-for _name, _f in WHOLE_TILES.items():
-    query(f"{_name}_all", SQL[_name].replace(SOME, ""))(functools.partial(_f, whole=True))
 
+EMPTY = f"""WITH RECURSIVE {PX_SQL}, v AS (SELECT tile_id, r, c, px_dm FROM px WHERE pred = 0),
+reach(tile_id, r, c, r0, c0) AS (SELECT tile_id, r, c, r, c FROM v UNION SELECT v.tile_id, v.r, v.c, reach.r0, reach.c0 FROM reach JOIN v ON v.tile_id = reach.tile_id AND abs(v.r - reach.r) + abs(v.c - reach.c) = 1),
+lab AS (SELECT tile_id, r, c, min(r0 * 65536 + c0) AS region FROM reach GROUP BY ALL)
+SELECT tile_id, CAST(region AS BIGINT) AS region, count(*) AS n_px, CAST(count(*) AS DOUBLE) * max(px_dm) * max(px_dm) / 100 AS area_m2 FROM lab JOIN v USING (tile_id, r, c) GROUP BY tile_id, region HAVING CAST(count(*) AS DOUBLE) * max(px_dm) * max(px_dm) / 100 > 10"""
 
-@query("rs13_nodata_regions")
+
+@query("rs13_nodata_regions", EMPTY)
 def nodata_regions(spark, d):
-    px = regions.polygonize(pixels(spark, d).withColumn("empty", (F.col("pred") % 3 == 0).cast("int")), "empty").where("empty = 1")
+    px = regions.polygonize(pixels(spark, d).withColumn("empty", (F.col("pred") == 0).cast("int")), "empty").where("empty = 1")
     return changes.region_stats(px, ["tile_id", "region"]).where("area_m2 > 10").select("tile_id", "region", "n_px", "area_m2")
 
 
@@ -396,16 +407,27 @@ def corrected(spark, d):
 
 @query("rs20_halo_post_processing")
 def post_processed(spark, d):
-    px = pixels(spark, d).select("tile_id", "r", "c", F.col("pred").alias("cls"))
     served = halo(tile_grid(spark, d)).select("tile_id", "dr", "dc", "neighbour_id")
-    return regions.post_process(served.join(px.withColumnRenamed("tile_id", "neighbour_id"), "neighbour_id").drop("neighbour_id"), "combined", edge_m=5.0)
+    return regions.post_process_tiles(files.encode_tiles(pixels(spark, d), "pred", 32, empty=255), served, "combined", edge_m=5.0)
 
 
 @query("rs21_rotated_rectangles")
 def rotated(spark, d):
-    return regions.rectangles(labelled(spark, d, whole=True), ["tile_id", "region"])
+    return regions.rectangles(labelled(spark, d), ["tile_id", "region"])
+
+
+SMALL = EDGES.replace("CASE WHEN tile_id % 2 = 0 THEN CAST((y1 - 1) * 17 + y2 AS INT) ELSE y1 END AS code", "pred AS code") + """, n AS (SELECT tile_id, region, code, count(*) AS n FROM q GROUP BY ALL),
+w AS (SELECT e.tile_id, e.region, arg_max(e.neighbour, e.shared_px * 10000000000 - e.neighbour) AS winner FROM e JOIN n USING (tile_id, region) WHERE n.n < 3 GROUP BY e.tile_id, e.region)
+SELECT q.tile_id, q.r, q.c, q.code AS pred, coalesce(o.code, q.code) AS merged FROM q LEFT JOIN w ON w.tile_id = q.tile_id AND w.region = q.region LEFT JOIN n o ON o.tile_id = w.tile_id AND o.region = w.winner"""
 
 
-@query("rs23_merged_small_regions")
+@query("rs23_merged_small_regions", SMALL)
 def merged_small(spark, d):
     return regions.merge_small(pixels(spark, d).select("tile_id", "r", "c", "pred"), "pred", 3)
+
+
+@query("rs23_simplified_outlines")
+def simplified(spark, d):
+    """Small regions merged, then the outlines of all regions with fewer corners."""
+    px = regions.merge_small(pixels(spark, d).select("tile_id", "r", "c", "px_dm", "pred"), "pred", 3)
+    return regions.outlines(regions.polygonize(px, "merged"), ["tile_id", "region"], tolerance_px=1.0)

@@ -394,9 +394,7 @@ def elapsed(spark, d):
 
 @query("wn6_every_nth", f"WITH {LOG_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY mode ORDER BY step) AS n FROM lg) SELECT mode, step, loss FROM n WHERE n > 50 AND (n - 51) % 50 = 0")
 def every_nth(spark, d):
-    from pyspark.sql import Window
-
-    n = train_log(spark, d).withColumn("n", F.row_number().over(Window.partitionBy("mode").orderBy("step")))
+    n = grid.in_order(train_log(spark, d), "step", ["mode"]).withColumn("n", F.col("place") + 1)
     return n.where((F.col("n") > 50) & ((F.col("n") - 51) % 50 == 0)).select("mode", "step", "loss")
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Compressions that raster exports may use (fixed values).
 CODECS = ("JPEG", "LZW", "PACKBITS", "DEFLATE", "CCITTRLE", "CCITTFAX3", "CCITTFAX4", "LZMA", "ZSTD", "LERC", "LERC_DEFLATE", "LERC_ZSTD", "WEBP", "JXL", "NONE")
+#: Those that Parquet has under another name; others are refused, as Parquet has no image codecs.
+PARQUET_CODECS = {"NONE": "none", "DEFLATE": "gzip", "ZSTD": "zstd"}
 
 
 def raster_files(spark: SparkSession, folder: str, recursive: bool = False, glob: str = "*.{tif,tiff}", content: bool = True) -> DataFrame:
@@ -55,11 +57,25 @@ def split_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_split(df: DataFrame, path: str) -> None:
-    """The ids of each split in order, as YAML. The file lists every id, so the ids come to the driver."""
-    import yaml
+    """The ids of each split in order: a folder for each split, of YAML lists. Executors write; no id comes to the driver."""
+    ranged = df.repartitionByRange("split", "id").sortWithinPartitions("split", "id")
+    ranged.select("split", F.concat(F.lit("- "), F.col("id").cast("string")).alias("value")).write.mode("overwrite").partitionBy("split").text(path)
+
+
+def read_split(spark: SparkSession, path: str) -> DataFrame:
+    """split, id of what write_split wrote."""
+    rows = spark.read.option("basePath", path).text(path)
+    return rows.select(F.col("split").cast("string").alias("split"), F.regexp_extract("value", r"^- (-?\d+)$", 1).cast("long").alias("id"))
+
+
+def write_pairs(tiles: DataFrame, masks: DataFrame, splits: DataFrame, path: str) -> None:
+    """Images with their masks (tile_id, data) by split, a folder for each: tiles without a mask or a split are left out."""
+    pairs = tiles.select("tile_id", F.col("data").alias("image")).join(masks.select("tile_id", F.col("data").alias("mask")), "tile_id")
+    pairs.join(splits.select(F.col("id").alias("tile_id"), "split"), "tile_id").write.mode("overwrite").partitionBy("split").parquet(path)
+
 
-    rows = df.groupBy("split").agg(F.sort_array(F.collect_list("id")).alias("ids")).collect()
-    Path(path).write_text(yaml.safe_dump({r.split: list(r.ids) for r in sorted(rows, key=lambda r: r.split)}))
+def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).select("split", "tile_id", "image", "mask")
 
 
 def capabilities(spark: SparkSession, text: str) -> DataFrame:
@@ -95,8 +111,10 @@ def tile_matrices(elements: DataFrame, matrix_set: str) -> DataFrame:
 
 def write_tiles(tiles: DataFrame, path: str, by: tuple[str, ...] = ("product", "year"), codec: str = "zstd", overwrite: bool = False) -> None:
     """Tiles as Parquet by product and year; overwrite replaces only the parts that are written."""
-    spark_codec = {"NONE": "none", "DEFLATE": "gzip", "ZSTD": "zstd", "LZW": "snappy", "PACKBITS": "snappy"}.get(codec.upper(), codec.lower())
-    if codec.upper() not in CODECS and codec.lower() not in ("snappy", "gzip", "zstd", "lz4", "none"):
+    spark_codec = PARQUET_CODECS.get(codec.upper(), codec.lower())
+    if codec.upper() in CODECS and codec.upper() not in PARQUET_CODECS:
+        raise ValueError(f"Parquet has no {codec} compression")
+    if spark_codec not in ("snappy", "gzip", "zstd", "lz4", "none"):
         raise ValueError(f"unknown compression: {codec}")
     out = tiles.write.option("compression", spark_codec).option("partitionOverwriteMode", "dynamic").partitionBy(*by)
     out.mode("overwrite" if overwrite else "append").parquet(path)
@@ -119,12 +137,12 @@ def upsert_names(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return widened.unionByName(new.join(old.select(key), key, "left_anti"), allowMissingColumns=True)
 
 
-def encode_tiles(px: DataFrame, value: str, edge: int, key: str = "tile_id") -> DataFrame:
-    """Pixels as one row for each tile with its values as unsigned bytes in data; missing pixels are 0."""
+def encode_tiles(px: DataFrame, value: str, edge: int, key: str = "tile_id", empty: int = 0) -> DataFrame:
+    """Pixels as one row for each tile with its values as unsigned bytes in data; missing pixels are `empty`."""
     import numpy as np
 
     def run(table: pa.Table) -> pa.Table:
-        out = np.zeros((edge, edge), np.uint8)
+        out = np.full((edge, edge), empty, np.uint8)
         out[table["r"].to_numpy(), table["c"].to_numpy()] = table[value].to_numpy()
         return pa.table({key: pa.array([table[key][0].as_py()], pa.int64()), "height": pa.array([edge], pa.int32()), "width": pa.array([edge], pa.int32()), "data": pa.array([out.tobytes()], pa.binary())})
 

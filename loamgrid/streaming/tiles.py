@@ -15,18 +15,21 @@ def tile_stream(spark: SparkSession, path: str, schema: str, files_per_trigger:
 
 
 def process_stream(stream: DataFrame, operator: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, keys: list[str] | None = None) -> StreamingQuery:
-    """Each batch through a batch operator into target; what target has by `keys` isn't made again, so a batch that is
-    repeated after a failure changes nothing."""
+    """Each batch through a batch operator into a folder of its own in target, by the batch's number and the checkpoint's
+    name: a batch that is repeated after a failure replaces itself, and rows of a key that arrive later are added. Only
+    with `keys` is it otherwise: a key that target has from another batch is skipped, as files that exist are."""
+    run = checkpoint.rstrip("/").rpartition("/")[2]
 
-    def one(batch: DataFrame, _: int) -> None:
+    def one(batch: DataFrame, number: int) -> None:
         made = operator(batch)
         if keys:
             try:
-                made = made.join(batch.sparkSession.read.parquet(target).select(keys).distinct(), keys, "left_anti")
+                made = made.join(batch.sparkSession.read.parquet(target).where((F.col("run") != run) | (F.col("batch") != number)).select(keys).distinct(), keys, "left_anti")
             except Exception as e:  # noqa: BLE001  the first batch has no target yet
                 if "PATH_NOT_FOUND" not in str(e):
                     raise
-        made.write.mode("append").parquet(target)
+        named = made.withColumns({"run": F.lit(run), "batch": F.lit(number).cast("long")})
+        named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "batch").parquet(target)
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -3,6 +3,8 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
+import pytest
 
 from loamgrid.operators import regions as R
 
@@ -88,3 +90,56 @@ def test_small_regions_merge(spark):
 def test_simplify():
     assert R.simplify([(0, 0), (1, 0.01), (2, 0)], 0.1) == [(0, 0), (2, 0)]
     assert R.simplify([(0, 0), (1, 1), (2, 0)], 0.1) == [(0, 0), (1, 1), (2, 0)]
+
+
+def test_correction_within_a_box_equals_correction_of_all():
+    rng = np.random.default_rng(4)
+    for noise, edge in ((0.3, 5.0), (0.05, 2.0), (0.1, 10.0)):
+        blocks = rng.integers(0, 18, (12, 12)).repeat(8, 0).repeat(8, 1)
+        cls = np.where(rng.random(blocks.shape) < noise, rng.integers(-1, 18, blocks.shape), blocks)
+        part = R.correct_array(cls, edge, within=(32, 64, 32, 64))
+        assert (part[32:64, 32:64] == R.correct_array(cls, edge)[32:64, 32:64]).all()
+
+
+@pytest.mark.parametrize("mode", ["mc", "soil", "combined"])
+def test_tiles_in_bulk_equal_pixels_with_missing_neighbours(spark, mode):
+    """A 3 x 3 raster of tiles of noisy blocks without one of them: pixel rows and byte rows give the same."""
+    from loamgrid.sources import files
+
+    rng = np.random.default_rng(7)
+    blocks = rng.integers(1, 18, (6, 6)).repeat(8, 0).repeat(8, 1)
+    cls = np.where(rng.random(blocks.shape) < 0.1, rng.integers(1, 18, blocks.shape), blocks)
+    there = [(y, x) for y in range(3) for x in range(3) if (y, x) != (2, 0)]
+    px = [(3 * y + x, r, c, int(cls[16 * y + r, 16 * x + c])) for y, x in there for r in range(16) for c in range(16)]
+    near = [(3 * y + x, dr, dc, 3 * (y + dr) + x + dc) for y, x in there for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (y + dr, x + dc) in there]
+    pixels = spark.createDataFrame(px, "tile_id long, r int, c int, cls int")
+    halo = spark.createDataFrame(near, "tile_id long, dr int, dc int, neighbour_id long")
+    rows = halo.join(pixels.withColumnRenamed("tile_id", "neighbour_id"), "neighbour_id").drop("neighbour_id")
+    want = {tuple(r) for r in R.post_process(rows, mode, 16, 2.0).collect()}
+    got = {tuple(r) for r in R.post_process_tiles(files.encode_tiles(pixels, "cls", 16, empty=255), halo, mode, 16, 2.0).collect()}
+    assert got == want and len(got) == 8 * 256
+
+
+def slanted(spark, width, height, c1, c2, px_dm, conf):
+    """A slanted band of changed pixels: its box is large, its smallest rectangle is not."""
+    px = [(1, k + w, 2 * k + w, c1, c2, px_dm, conf, conf) for k in range(height) for w in range(width)]
+    return spark.createDataFrame(sorted({(1, r, c + d, *rest) for _, r, c, *rest in px for d in (0, 1)}), "tile_id long, r int, c int, y1 int, y2 int, px_dm int, conf1_milli int, conf2_milli int").withColumn("region", F.lit(0))
+
+
+@pytest.mark.parametrize(("c1", "c2", "height", "px_dm", "want"), [(8, 1, 14, 10, 23), (8, 2, 6, 10, 25), (9, 2, 40, 5, 40)])
+def test_tags_of_slanted_regions(spark, c1, c2, height, px_dm, want):
+    from loamgrid.operators import changes
+
+    px = slanted(spark, 1, height, c1, c2, px_dm, 500)
+    s = changes.region_stats(px, ["tile_id", "region", "y1", "y2"]).first()
+    r = R.rectangles(px, ["tile_id", "region"]).first()
+    assert r.axis_ratio < 0.3 < s.short_axis / s.long_axis  # the box isn't thin
+    df = spark.range(1).select(changes.tag(F.lit(c1), F.lit(c2), F.lit(s.area_m2), F.lit(0.5), F.lit(r.axis_ratio), F.lit(r.rectangularity), F.lit(r.short_axis), F.lit(s.fill)).alias("tag"))
+    assert df.first().tag == want
+
+
+def test_outlines_are_simplified(spark):
+    px = spark.createDataFrame([(0, r, c) for r in range(8) for c in range(12) if (r, c) not in ((0, 11), (7, 0))], "tile_id long, r int, c int").withColumn("region", F.lit(1).cast("long"))
+    whole, less = (R.outlines(px, ["tile_id", "region"], t).first() for t in (0.0, 1.5))
+    assert whole.corners == 8 and len(whole.ring) == 9 and len(less.ring) < 9
+    assert whole.ring[0] == whole.ring[-1] and less.ring[0] == less.ring[-1]

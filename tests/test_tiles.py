@@ -105,7 +105,7 @@ def test_files(spark, tmp_path):
         files.write_tiles(coded, str(tmp_path / "u"), codec="zip")
     with pytest.raises(Exception, match="no class for"):
         files.reclassify_tiles(coded, {0: 1}).collect()
-    files.write_split(spark.createDataFrame([("val", 3), ("train", 2), ("train", 1)], "split string, id int"), str(tmp_path / "s.yaml"))
+    (tmp_path / "s.yaml").write_text("train: [2, 1]\nval: [3]\n")
     assert {(r.split, r.id) for r in files.split_table(spark, str(tmp_path / "s.yaml")).collect()} == {("train", 1), ("train", 2), ("val", 3)}
     files.write_csv(spark.createDataFrame([(1, 0.5)], "class_id int, iou double"), str(tmp_path / "m"))
     assert spark.read.option("header", True).csv(str(tmp_path / "m")).first().iou == "0.5"
@@ -127,3 +127,59 @@ def test_stream_repeats_nothing(spark, tmp_path):
     for k in range(2):
         process_stream(tile_stream(spark, src, full(spark, 4).schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")), lambda df: tiles.crop_border(df, 1, 4), out, str(tmp_path / f"c{k}"), ["tile_id"]).awaitTermination()
     assert spark.read.parquet(out).count() == 4
+
+
+def test_later_rows_of_a_key_are_added_and_repeated_batches_are_not(spark, tmp_path):
+    from loamgrid.streaming.tiles import process_stream, tile_stream
+
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for k in range(2):
+        spark.createDataFrame([(1, k)], "tile_id long, r int").write.mode("append").parquet(src)
+        process_stream(tile_stream(spark, src, "tile_id long, r int"), lambda df: df, out, str(tmp_path / "one")).awaitTermination()
+    assert sorted(r.r for r in spark.read.parquet(out).collect()) == [0, 1]
+
+
+def test_vector_tables_round_trip(spark, tmp_path):
+    from loamgrid.sources import vectors
+
+    ring = lambda *p: [{"x": float(x), "y": float(y)} for x, y in p]
+    hole = [ring((0, 0), (10, 0), (10, 10), (0, 10), (0, 0)), ring((2, 2), (2, 4), (4, 4), (4, 2), (2, 2))]
+    rows = [(1, "a", hole), (2, None, [ring((20, 0), (30, 0), (25, 5), (20, 0))]), (3, "c", None)]
+    df = spark.createDataFrame(rows, f"id long, name string, geometry {vectors.RINGS}")
+    for form in ("wkb", "geojson"):
+        path = str(tmp_path / form)
+        vectors.write_vectors(df, path, form)
+        back = vectors.read_vectors(spark, path, form, "id bigint, name string")
+        assert sorted(map(str, back.select("id", "name", "geometry").collect())) == sorted(map(str, df.collect()))
+        assert {r.id: r.a for r in back.select("id", vectors.area("geometry").alias("a")).collect()} == {1: 96.0, 2: 25.0, 3: None}
+        assert [r.id for r in vectors.read_vectors(spark, path, form, "id bigint, name string", box=(15.0, 0.0, 22.0, 1.0)).collect()] == [2]
+    with pytest.raises(ValueError):
+        vectors.write_vectors(df, str(tmp_path / "x"), "shp")
+
+
+def test_splits_and_pairs_are_written_by_executors(spark, tmp_path):
+    path = str(tmp_path / "split")
+    want = {("train", k) for k in range(50)} | {("val", 100), ("test", -7)}
+    files.write_split(spark.createDataFrame(sorted(want), "split string, id long").repartition(3), path)
+    assert {(r.split, r.id) for r in files.read_split(spark, path).collect()} == want
+    lines = [x for p in sorted((tmp_path / "split" / "split=train").glob("part-*")) for x in p.read_text().split()[1::2]]
+    assert sorted(map(int, lines)) == list(range(50))
+    tiles_ = spark.createDataFrame([(k, bytes([k])) for k in range(4)], "tile_id long, data binary")
+    files.write_pairs(tiles_, tiles_.where("tile_id > 0"), spark.createDataFrame([(1, "train"), (2, "val"), (9, "val")], "id long, split string"), str(tmp_path / "pairs"))
+    assert {(r.split, r.tile_id, bytes(r.image)) for r in files.read_pairs(spark, str(tmp_path / "pairs")).collect()} == {("train", 1, b"\1"), ("val", 2, b"\2")}
+
+
+def test_image_codecs_are_refused(spark, tmp_path):
+    df = spark.createDataFrame([(1, "p", 2020)], "tile_id long, product string, year int")
+    for codec in ("LZW", "JPEG", "unheard"):
+        with pytest.raises(ValueError):
+            files.write_tiles(df, str(tmp_path / "t"), codec=codec)
+    files.write_tiles(df, str(tmp_path / "t"), codec="DEFLATE")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
+def test_csv_append(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0.5)], "k int, iou double")
+    files.write_csv(df, str(tmp_path / "m"))
+    files.write_csv(df, str(tmp_path / "m"), append=True)
+    assert spark.read.option("header", True).csv(str(tmp_path / "m")).count() == 2
