@@ -143,3 +143,114 @@ def test_leaks_in_blocks_and_of_nothing(spark, awkward, nothing):
     assert decontam.contaminated(awkward, empty).count() == 0
     assert decontam.decontaminate(awkward, empty).count() == awkward.count()
     assert decontam.decontaminate(awkward.withColumn("item_id", F.lit(1)), bench).columns == [*awkward.columns, "item_id"]
+
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_whole_table_equals_brute_force(spark):
+    """All pairs of the 1,000 documents of sf0.01, exact and near copies among them, by an inverted index of shingles."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    sets = {d: shingles(t, 2) for d, t in rows}
+    where = {}
+    for d, s in sets.items():
+        for x in s:
+            where.setdefault(x, []).append(d)
+    root = {d: d for d in sets}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for d, s in sets.items():
+        common = {}
+        for x in s:
+            for e in where[x]:
+                if e < d:
+                    common[e] = common.get(e, 0) + 1
+        for e, n in common.items():
+            if 100 * n >= 80 * (len(s) + len(sets[e]) - n):
+                a, b = sorted((find(d), find(e)))
+                root[b] = a
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicate_report(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    assert got == {d: (len(s), find(d), find(d) == d) for d, s in sets.items()}
+
+
+def test_a_chain_of_false_candidates_is_compared_in_its_buckets_only(monkeypatch):
+    """20,000 classes of which each shares a bucket with the next: a component of candidates, but no pair beyond buckets."""
+    compared = []
+    full = near_dedup._survivors
+    monkeypatch.setattr(near_dedup, "_survivors", lambda q, k, m, band, left, bounds: compared.append(len(left)) or full(q, k, m, band, left, bounds))
+    rng = np.random.default_rng(1)
+    n = 20_000
+    sigs = rng.integers(0, 1 << 16, (n, near_dedup.CHECKS)).astype(np.uint16)
+    bands = rng.integers(1, 1 << 62, (n, near_dedup.BANDS))
+    work = near_dedup._units(lambda asked, members, unit: near_dedup._wanted(near_dedup._Block(asked, 5), near_dedup._Block(members, 5), unit[1], near_dedup.least_matches(0.8)))
+    import pyarrow as pa
+
+    # buckets of three neighbours, as _rest_links deals them: all are members, those outside of the main component queries
+    rows = [(b, 0, 0, 0, q, k, k, sigs[k].tobytes(), bands[k].tolist()) for b in range(0, n - 2, 2) for q, own in ((0, range(b, b + 3)), (1, range(b + 1, b + 3))) for k in own]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate([pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())])], names=list("abcdefghi"))
+    assert sum(1 for _ in work(iter([batch]))) == n // 2 - 1
+    assert sum(compared) <= 3 * n
+
+
+def test_each_pair_is_compared_in_its_first_common_bucket():
+    sig = np.arange(near_dedup.CHECKS, dtype=np.uint16).tobytes()
+    bands = np.arange(near_dedup.BANDS)
+    other = bands.copy()
+    other[3] = -1
+    block = lambda b: near_dedup._Block([(1, 1, sig, b.tobytes())], 5)
+    found = [len(near_dedup._survivors(block(bands), 0, block(other), band, np.arange(1), near_dedup.least_matches(0.8))) for band in range(6)]
+    assert found == [1, 0, 0, 0, 0, 0]
+
+
+def test_search_finds_what_alignment_of_all_pairs_finds(spark):
+    """Documents and items of sf0.001, every pair aligned: seeds lose none with a score of a half or more."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()
+    found = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")).collect()}
+    vocab = {}
+    code = lambda text: np.asarray([vocab.setdefault(w, len(vocab) + 1) for w in decontam.words_of(text)], np.int64)
+    coded = {d.doc_id: code(d.text) for d in docs}
+    seen = 0
+    for i in items:
+        words = code(i.text)
+        if len(words) < decontam.GRAM:
+            continue
+        for d, text in coded.items():
+            if np.isin(words, text).mean() < 0.5:
+                continue
+            share = decontam.align(words, text)[0] / (decontam.MATCH * len(words))
+            if share >= 0.5:
+                seen += 1
+                assert found[d, i.item_id] == pytest.approx(share)
+            elif share < decontam.LEAST_SCORE:
+                assert (d, i.item_id) not in found
+    assert seen > 0
+
+
+def test_short_items_are_found_inside_documents(spark):
+    bench = spark.createDataFrame([(1, "three odd words"), (2, "four quite odd words"), (None, "an item without any id")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "here are Three odd, words in a text"), (2, "and four quite odd words, too"), (3, "three words odd"), (4, "an item without any id"), (5, "four quite odd things")], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id, r.score) for r in decontam.contaminated(docs, bench).collect()}
+    assert found == {(1, 1, 1.0), (2, 2, 1.0), (4, None, 1.0)}
+
+
+def test_repetitive_texts_are_searched_in_portions(monkeypatch):
+    phrase = "one phrase that very many of the items share"
+    rows = [(k, f"{phrase} and then item {k} ends") for k in range(400)]
+    items = decontam.Items(rows)
+    text = " ".join([phrase] * 2000 + ["and then item 7 ends"])
+    monkeypatch.setattr(decontam, "MOST_HITS", 1 << 62)
+    small = " ".join([phrase] * 20 + ["and then item 7 ends"])
+    want = sorted(items.matches(small))
+    monkeypatch.setattr(decontam, "MOST_HITS", 500)
+    assert [m[:2] for m in sorted(items.matches(small))] == [m[:2] for m in want]
+    monkeypatch.setattr(decontam, "MOST_HITS", 1 << 18)
+    sizes = []
+    search = decontam.Items._search
+    monkeypatch.setattr(decontam.Items, "_search", lambda self, coded, at, entries, best: sizes.append(len(coded)) or (search(self, coded, at, entries, best) if len(sizes) < 3 else None))
+    items.matches(text)
+    assert len(sizes) > 5  # 18,020 words, in portions
