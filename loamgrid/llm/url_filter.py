@@ -5,7 +5,7 @@ character's probability interpolates the contexts of 0 to ORDER characters, each
 seen after it (Witten-Bell); a context never seen passes the shorter one's on, so the order varies. Contexts and
 n-grams are known by 64-bit hashes: the counts come from all of the corpus, summed by hash across the cluster, and the
 tables on the executors hold each n-gram that was seen, so they grow with the corpus. The mean difference of log-likelihoods per character is compared with a
-threshold calibrated on the judged URLs.
+threshold calibrated on judged URLs that were held out from a model of the others.
 """
 
 from __future__ import annotations
@@ -15,9 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, cut, in_arrow
+from .common import LOWER, UPPER, cut, in_arrow, scratch, slices
 
 ORDER = 5
+#: Bytes of URLs that are worked on together: arrays take over a hundred bytes for each.
+MOST_BYTES = 1 << 18
+#: Of the judged URLs one in so many, by a hash, calibrates a model that has learnt from the others.
+HELD = 5
 #: Bins of the calibration's histogram, over differences of -RANGE to RANGE a character.
 BINS, RANGE = 4001, 4.0
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -53,10 +57,10 @@ def with_rules(df: DataFrame, rules: list[tuple[str, bool]]) -> DataFrame:
     return df.withColumns({"rule": rule, "allowed": allowed})
 
 
-def hashes(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def hashes(urls: list[str], coding: str = "utf-8") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each byte of all URLs, by order: the hash of its context and that of the context with the byte; where each URL
     begins, with one more byte 0 at its end."""
-    coded = [u.encode() + b"\0" for u in urls]
+    coded = [u.encode(coding) + b"\0" for u in urls]
     sizes = np.fromiter(map(len, coded), np.int64, len(coded))
     begins = np.cumsum(sizes) - sizes
     s = np.frombuffer(b"".join(coded), np.uint8).astype(np.uint64) + np.uint64(1)
@@ -79,17 +83,30 @@ def hashes(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _counted(batches):
-    """n of each (label, context, gram)."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        contexts, grams, begins = hashes(batch.column(0).to_pylist())
-        label = np.repeat(np.asarray(batch.column(1).to_pylist(), np.int64), np.diff(np.append(begins, contexts.shape[1])))
-        for k in (0, 1):
-            # a gram's hash has its context's in it
-            found, first, n = np.unique(grams[:, label == k].ravel(), return_index=True, return_counts=True)
-            context = contexts[:, label == k].ravel()[first]
-            yield pa.RecordBatch.from_pydict({"label": pa.array(np.full(len(found), k)), "context": pa.array(context), "gram": pa.array(found), "n": pa.array(n.astype(np.int64))})
+    """n of each (label, context, gram), and learnt: how many of these are of URLs that aren't held out."""
+    for batch in slices(batches, most_bytes=MOST_BYTES):
+        for urls, labels, held in _stretches(*(c.to_pylist() for c in batch.columns)):
+            contexts, grams, begins = hashes(urls)
+            sizes = np.diff(np.append(begins, contexts.shape[1]))
+            label, out = np.repeat(np.asarray(labels, np.int64), sizes), np.repeat(np.asarray(held, bool), sizes)
+            for k in (0, 1):
+                # a gram's hash has its context's in it
+                own = label == k
+                found, first, at, n = np.unique(grams[:, own].ravel(), return_index=True, return_inverse=True, return_counts=True)
+                learnt = np.bincount(at, np.tile(~out[own], ORDER + 1), len(found)).astype(np.int64)
+                context = contexts[:, own].ravel()[first]
+                yield pa.RecordBatch.from_pydict({"label": pa.array(np.full(len(found), k)), "context": pa.array(context), "gram": pa.array(found), "n": pa.array(n.astype(np.int64)), "learnt": pa.array(learnt)})
+
+
+def _stretches(urls: list, *others: list):
+    """Lists of URLs with their other columns, of about MOST_BYTES characters together; a longer URL comes alone."""
+    begin, total = 0, 0
+    for k, u in enumerate(urls):
+        if k > begin and total + len(u or "") > MOST_BYTES:
+            yield urls[begin:k], *(x[begin:k] for x in others)
+            begin, total = k, 0
+        total += len(u or "")
+    yield urls[begin:], *(x[begin:] for x in others)
 
 
 def _sorted(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -114,9 +131,28 @@ class Ratio:
 
     def differences(self, urls: list[str]) -> np.ndarray:
         """Mean log-likelihood a byte as accepted, less that as rejected."""
+        return np.concatenate([self._differences(part) for (part,) in _stretches(urls)])
+
+    def _differences(self, urls: list[str]) -> np.ndarray:
+        if len(urls) == 1 and len(urls[0]) > MOST_BYTES:
+            return np.array([self._long(urls[0])])
         contexts, grams, begins = hashes(urls)
         if not len(begins):
             return np.zeros(0)
+        sizes = np.diff(np.append(begins, contexts.shape[1]))
+        return np.add.reduceat(self._logs(contexts, grams), begins) / sizes
+
+    def _long(self, url: str) -> float:
+        """A URL longer than MOST_BYTES, in stretches that begin with the ORDER bytes before them."""
+        data, total = url.encode(), 0.0
+        for a in range(0, len(data) + 1, MOST_BYTES):
+            before = min(a, ORDER)
+            contexts, grams, _ = hashes([data[a - before : a + MOST_BYTES].decode("latin-1")], "latin-1")
+            own = slice(before, None if a + MOST_BYTES > len(data) else -1)  # the byte 0 stands behind the last stretch alone
+            total += float(self._logs(contexts[:, own], grams[:, own]).sum())
+        return total / (len(data) + 1)
+
+    def _logs(self, contexts: np.ndarray, grams: np.ndarray) -> np.ndarray:
         logs = []
         for k in (1, 0):
             p = np.full(contexts.shape[1], 1 / 257)
@@ -129,17 +165,28 @@ class Ratio:
                 by, seen = _places(gram, g)
                 p = np.where(known, (np.where(seen, count[by], 0) + t * p) / np.maximum(np.where(known, total[at], 0) + t, 1), p)
             logs.append(np.log(p))
-        sizes = np.diff(np.append(begins, contexts.shape[1]))
-        return np.add.reduceat(logs[0] - logs[1], begins) / sizes
+        return logs[0] - logs[1]
+
+
+def is_held(url: Column) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(HELD)) == 0
+
+
+def counted(judged: DataFrame) -> DataFrame:
+    """label, context, gram, n, learnt of judged(url, allowed): all URLs with a rule's verdict."""
+    rows = judged.where("url IS NOT NULL").select("url", F.col("allowed").cast("int").alias("label"), is_held(F.col("url")).alias("held"))
+    return cut(in_arrow(rows, _counted, "label long, context long, gram long, n long, learnt long").groupBy("label", "context", "gram").agg(F.sum("n").alias("n"), F.sum("learnt").alias("learnt")), "contexts")
 
 
 def fit(judged: DataFrame) -> Ratio:
     """judged(url, allowed): all URLs with a rule's verdict."""
+    return _tables(counted(judged), "n")
+
+
+def _tables(counts: DataFrame, of: str) -> Ratio:
     ratio = Ratio()
-    rows = judged.where("url IS NOT NULL").select("url", F.col("allowed").cast("int").alias("label"))
-    counts = cut(in_arrow(rows, _counted, "label long, context long, gram long, n long").groupBy("label", "context", "gram").agg(F.sum("n").alias("n")), "contexts")
     for k in (0, 1):
-        own = counts.where(F.col("label") == k)
+        own = counts.where((F.col("label") == k) & (F.col(of) > 0)).select("context", "gram", F.col(of).alias("n"))
         grams = own.select("gram", "n").toPandas()
         contexts = own.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("followers")).toPandas()
         ratio.grams[k] = _sorted(grams.gram.to_numpy(np.int64), grams.n.to_numpy())
@@ -153,17 +200,16 @@ def _scored(df: DataFrame, ratio: Ratio) -> DataFrame:
     at = df.columns.index("url")
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                made = shared.value.differences([u or "" for u in batch.column(at).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=[*batch.schema.names, "difference"])
+        for batch in slices(batches):
+            made = shared.value.differences([u or "" for u in batch.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=[*batch.schema.names, "difference"])
 
     return in_arrow(df, run, df.withColumn("difference", F.lit(0.0)).schema)
 
 
 def calibrate(ratio: Ratio, judged: DataFrame) -> float:
     """The difference that parts accepted and rejected URLs with the least mean error rate: the middle of the best
-    stretch of a histogram over all judged URLs. 0 if all have one verdict."""
+    stretch of a histogram over all of judged(url, allowed). 0 if all have one verdict."""
     rows = _scored(judged.where("url IS NOT NULL").select("url", "allowed"), ratio)
     place = F.least(F.greatest(F.round((F.col("difference") + RANGE) / (2 * RANGE) * (BINS - 1)), F.lit(0)), F.lit(BINS - 1)).cast("int")
     n = np.zeros((2, BINS))
@@ -188,9 +234,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, bool]]) -> DataFrame:
     url = F.col("url").cast("string")
     ruled = with_rules(clean.withColumns({"host": host_of(url), "path": path_of(url)}), rules)
     judged = ruled.where("allowed IS NOT NULL").select("url", "allowed")
-    ratio = fit(judged)
-    both = all(len(g[0]) for g in ratio.grams)
-    ratio.threshold = calibrate(ratio, judged) if both else -RANGE
+    with scratch(pages.sparkSession):
+        counts = counted(judged)
+        ratio = _tables(counts, "n")
+        both = all(len(g[0]) for g in ratio.grams)
+        ratio.threshold = calibrate(_tables(counts, "learnt"), judged.where(is_held(F.col("url")))) if both else -RANGE
     scored = _scored(ruled, ratio)
     allowed = F.coalesce(F.col("allowed"), (F.col("difference") >= ratio.threshold) if both else F.lit(True))
     return scored.withColumn("verdict", F.when(allowed, "allow").otherwise("block")).drop("allowed")
