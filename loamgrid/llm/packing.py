@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import LETTERS, NUMBERS, UNSAFE, cut, in_arrow, scratch, slices, text_column
 
 #: Entries of a worker's caches (each about 200 bytes).
-MOST_CACHED = 200_000
+MOST_CACHED = 450_000
 #: Pre-tokens of byte_bpe_50k.json; a fixed value of that tokenizer, for the safe code points.
 PRE_TOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\\s{LETTERS}{NUMBERS}]+|\\s+(?!\\S)|\\s+")
 #: Where white space isn't a single space or line break between other characters, pre-tokens can span it.
@@ -163,7 +163,6 @@ def _matched(pieces: DataFrame, slots: DataFrame) -> tuple[DataFrame, int, int]:
     the first ones in order. A piece that has more pieces before it than slots left loses; the others get the slots by
     their rank among the winners, moved up as far towards smaller slots as all of them allow. So the winners are as many
     as can be, and the largest pieces among them."""
-    spark = pieces.sparkSession
     rows = slots.select("size", F.lit(0).alias("kind"), "id").unionByName(pieces.select("size", F.lit(1).alias("kind"), "id"))
     ranged = rows.repartitionByRange(F.desc("size"), "kind", "id").sortWithinPartitions(F.desc("size"), "kind", "id")
     swept = cut(in_arrow(ranged, _swept, "part int, size long, kind int, id long, rank long, excess long, before long"), "swept")
@@ -175,11 +174,12 @@ def _matched(pieces: DataFrame, slots: DataFrame) -> tuple[DataFrame, int, int]:
         least = min(least, slots_before - pieces_before + r.least)
         pieces_before, slots_before = pieces_before + r.pieces, slots_before + r.slots
     spread = min((s - p + r.least for (_, p, s, _), r in zip(starts, parts, strict=True)), default=0)
-    names = pa.schema([("part", pa.int32()), ("d", pa.int64()), ("s", pa.int64()), ("m", pa.int64())])
-    offsets = spark.createDataFrame(pa.table([pa.array([r[k] for r in starts], f.type) for k, f in enumerate(names)], schema=names))
+    # by range: three numbers each, as literals
+    of_part: dict[int, tuple] = {r[0]: r[1:] for r in starts}
+    d, s, m = (F.element_at(F.lit([of_part.get(part, (0, 0, 0))[k] for part in range(max(of_part, default=0) + 1)]).cast("array<long>"), F.col("part") + 1) for k in range(3))
     # all winners' ranks may move up by what the tightest of them has to spare
     up = max(0, spread) if spread < _TOP // 2 else 0
-    known = swept.where("kind < 2").join(F.broadcast(offsets), "part")
+    known = swept.where("kind < 2").select("*", d.alias("d"), s.alias("s"), m.alias("m"))
     tightest = F.least(F.col("m"), F.lit(0), F.col("s") - F.col("d") + F.col("before"))
     wins = F.col("s") - F.col("d") + F.col("excess") >= tightest
     place = F.when(F.col("kind") == 0, F.col("s") + F.col("rank")).when(wins, F.col("d") + F.col("rank") + tightest + up)
