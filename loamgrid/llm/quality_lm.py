@@ -25,8 +25,8 @@ from .common import cut, in_arrow, scratch, slices
 ORDER = 4
 #: N-grams whose log-probabilities go to every executor (12 bytes each).
 HEAVY = 1 << 17
-#: Distinct n-grams that a task sums up before it hands them on.
-MOST_HELD = 1 << 18
+#: Distinct n-grams that a task sums up before it hands them on, and bytes of text that it works on at once (times 80 in arrays).
+MOST_HELD, SLICE = 1 << 17, 1 << 20
 #: Ids of trusted documents that are broadcast (16 bytes each); more are joined by a shuffle.
 MOST_IDS = 1 << 21
 #: A document is kept up to the median plus so many times the distance from the median to the upper quartile.
@@ -107,7 +107,7 @@ def _count_grams(batches):
         for a in range(0, len(held), 1 << 16):
             yield pa.RecordBatch.from_pydict({"gram": pa.array(_strings(held[a : a + (1 << 16)]), pa.string()), "n": pa.array(counts[a : a + (1 << 16)])})
 
-    for batch in slices(batches):
+    for batch in slices(batches, most_bytes=SLICE):
         rows, row, _ = distinct_grams([t or "" for t in batch.column(0).to_pylist()])
         if not len(rows):
             continue
@@ -165,7 +165,7 @@ def _sums(heavy):
 
     def run(batches):
         keys, values = heavy.value
-        for batch in slices(batches):
+        for batch in slices(batches, most_bytes=SLICE):
             texts = [t or "" for t in batch.column(3).to_pylist()]
             rows, row, begins = distinct_grams(texts)
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
