@@ -1,7 +1,8 @@
 """The corpus pipeline: toxic documents go, frequent lines go, near copies go, leaked test items go, the rest is packed.
 
 A stage is f(spark, docs, sf_dir) and returns a table; docs has the columns of documents, and all stages but the last
-return these. Each stage works on all rows that the one before it kept.
+return these. Each stage works on all rows that the one before it kept. An empty table goes through all stages as an
+empty one; texts may be of any length; further columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,12 +16,18 @@ from loamgrid.llm.queries import tokenizer
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is below their language's threshold. Learnt from the labelled ones among docs."""
+    """Documents whose score is below their language's threshold. Learnt from the labelled ones among docs.
+
+    A score at its threshold goes; equal rows go or stay together. A null or empty text has the score of no evidence; a
+    null language takes the common threshold; without labels all scores are alike and below it."""
     return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that five or more have, the last one's apart; n_chars follows the text."""
+    """Documents without the lines that five or more have, the last one's apart; n_chars follows the text.
+
+    No document goes, one that loses all its lines has an empty text. A null text stays null. Rows of one doc_id are one
+    document and all keep or lose a line; a null doc_id is one document below all others."""
     names = tuple(free_name(docs, n) for n in ("_n_lines", "_n_dropped", "_keep_runs"))
     out = line_dedup.dedup_lines(docs, names=names)
     if "n_chars" in docs.columns:
@@ -29,7 +36,10 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies: the one with the smallest id.
+
+    Rows of that id all stay, equal or not; a null id comes after all others. Null, empty and blank texts are copies of
+    nothing and stay."""
     doc_id, h = free_name(docs, "gone_id"), free_name(docs, "gone_h")
     gone = cut(near_dedup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias(doc_id), F.col("h").alias(h)), "gone")
     same = docs["doc_id"].cast("long").eqNullSafe(gone[doc_id]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == gone[h])
@@ -37,12 +47,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no item of the benchmark, edited copies included."""
+    """Documents that contain no item of the benchmark, edited copies included.
+
+    A score at the threshold is a copy. Null and empty texts contain nothing and stay, as all do if there are no items;
+    equal rows go or stay together."""
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens: a row for each piece of a document."""
+    """Sequences of at most 2048 tokens: a row for each piece of a document.
+
+    A null text is empty and has one token, the end; repeated rows are packed each by itself; of pieces of one length
+    those that the scan numbered first go first."""
     return packing.pack(docs, tokenizer("byte_bpe_50k.json"))
 
 
