@@ -91,8 +91,8 @@ def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
 caches: list[Callable[[], None]] = []
 
 
-def _give_back() -> None:
-    """Workers are used again by later stages, so caches and freed memory go back to the system."""
+def give_back() -> None:
+    """Caches and freed memory go back to the system: workers are used again by later stages, and so is the driver."""
     for clear in caches:
         clear()
     pa.default_memory_pool().release_unused()
@@ -111,7 +111,7 @@ def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
         try:
             yield from run(batches)
         finally:
-            _give_back()
+            give_back()
 
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)

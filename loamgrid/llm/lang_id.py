@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, slices, text_column
+from .common import give_back, in_arrow, slices, text_column
 
 WINDOW, HIDDEN = 64, 8
 #: Documents for each language in the sample, most characters of one (longer ones give a stretch), and of all of them.
@@ -216,6 +216,12 @@ def training_sample(docs: DataFrame, each: int = TRAIN_DOCS, most_chars: int = M
 
 def fit(docs: DataFrame, each: int = TRAIN_DOCS, steps: int = STEPS) -> Network:
     """A network trained on a sample of docs(doc_id, text, lang); without usable rows it knows no language."""
+    network = _fitted(docs, each, steps)
+    give_back()
+    return network
+
+
+def _fitted(docs: DataFrame, each: int, steps: int) -> Network:
     rows = sorted(training_sample(docs, each), key=lambda r: (r.lang, r.text))
     langs = sorted({r.lang for r in rows})
     network = Network(langs)

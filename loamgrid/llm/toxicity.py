@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import caches, in_arrow, slices
+from .common import caches, give_back, in_arrow, slices
 
 BUCKETS, SIZE, FILTERS, WIDTHS = 1 << 20, 8, 8, (1, 2, 3)
 TRAIN_ROWS, MOST_CHARS = 8000, 100_000
@@ -243,6 +243,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Classifier:
     """A classifier of a sample of the labelled documents; without any it scores all texts alike."""
+    classifier = _fitted(docs, labels, rows)
+    give_back()
+    return classifier
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, rows: int) -> Classifier:
     found = labelled_sample(docs, labels, rows)
     features = [word_features(r.text) for r in found]
     toxic, langs = np.asarray([r.toxic for r in found], np.float32), [r.lang for r in found]
