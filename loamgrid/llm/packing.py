@@ -3,12 +3,12 @@
 Pieces of documents are packed by classes of length, the longest first. In a round the class's pieces that are left and the
 gaps of all open sequences are range-sorted by size together, and a sweep over each range finds for every piece how many
 gaps have room for it (its successors). Conflicts are resolved by rank: a closed form of ranks and of a running minimum
-gives every winner a gap of its own, and the largest pieces win. The gaps are updated, and the round is repeated until no
-piece of the class finds a gap; then new sequences open, as many as the pieces left need at least. A sweep needs of the
-other ranges only one row of sums each, so a size of a large share of all rows is spread over many ranges.
+gives every winner a gap of its own, and the largest pieces win. The gaps are updated, and the round is repeated. Where it
+has found gaps for a small share of its pieces only, new sequences open, as many as the pieces left need at least. A sweep
+needs of the other ranges only one row of sums each, so a size of a large share of all rows is spread over many ranges.
 
 No round moves texts or ids of tokens: the first scan tokenizes each text and gives lengths and checksums of its pieces.
-Rounds are some three or four for each halving of the length, whatever the number of rows.
+Rounds are some twenty for any number of rows.
 """
 
 from __future__ import annotations
@@ -123,8 +123,10 @@ def _pieces(path: str, size: int, end: int):
     return run
 
 
-#: Lengths are taken by classes: those above size / 2, then above size / 3, above size / 4, then all others.
-CLASSES = (2, 3, 4)
+#: Lengths are taken by classes: those above size / 2, then above size / 4, then all others.
+CLASSES = (2, 4)
+#: New sequences open when a round has found gaps for at most this share of its pieces.
+OPEN_AT = 0.25
 #: Sorted before all prefixes.
 _TOP = 1 << 60
 
@@ -211,6 +213,7 @@ def sequences(pieces: DataFrame, size: int) -> DataFrame:
             slots = gaps.where(F.col("size") >= group.shortest).select("id", "size", many.alias("of"), F.posexplode(F.sequence(F.lit(1), many)).alias("k", "no"))
             slots = slots.select("id", F.when(F.col("no") < F.col("of"), F.lit(group.longest).cast("long")).otherwise(F.col("size") - F.col("k") * group.longest).alias("size"))
             found, won, tokens = _matched(left, slots)
+            rest, few = n - won, won <= OPEN_AT * n
             if not won:
                 gaps = gaps.unionByName(new_ones(n, tokens, group.shortest))
                 continue
@@ -219,7 +222,9 @@ def sequences(pieces: DataFrame, size: int) -> DataFrame:
             flows = gaps.withColumn("piece", F.lit(None).cast("struct<id: bigint, length: bigint>")).unionByName(pairs.select("id", (-F.col("piece.length")).alias("size"), "piece"))
             after = cut(flows.groupBy("id").agg(F.sum("size").alias("size"), F.collect_list("piece").alias("taken")), "gaps")
             took.append(after.where(F.size("taken") > 0).select(F.col("id").alias("sequence_id"), F.inline("taken"), F.lit(len(took)).alias("turn")))
-            gaps, left, n = after.where("size > 0").select("id", "size"), found.where("kind = 1 AND place IS NULL").select("id", "size"), n - won
+            gaps, left, n = after.where("size > 0").select("id", "size"), found.where("kind = 1 AND place IS NULL").select("id", "size"), rest
+            if rest and few:  # the pieces left are the smaller ones, so their tokens are at most their share by number
+                gaps = gaps.unionByName(new_ones(rest, tokens * rest // (rest + won), group.shortest))
     return functools.reduce(DataFrame.unionByName, took) if took else spark.createDataFrame([], "sequence_id long, id long, length long, turn int")
 
 
