@@ -17,6 +17,7 @@ from .quality_rules import judge
 from .token_counts import count_tokens
 from .toxicity import toxicity_report
 from .url_filter import url_report
+from .vector_codes import code_report
 
 
 def tokenizer(name: str) -> str:
@@ -69,6 +70,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_report(table(spark, sf_dir, "embeddings"))
+
+
 LINE_DEDUP_SQL = r"""
 WITH lines AS (SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
 keyed AS (SELECT doc_id, pos, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
@@ -80,9 +85,37 @@ FROM marked GROUP BY doc_id
 """
 
 
+#: Assigns parts to entries; {0} is the table of entries (part, entry, pos, c), {1} the name of the result.
+ASSIGN_SQL = """
+{1}_d AS (SELECT vec_row, x.part, entry, CAST(sum((v - c) * (v - c)) AS BIGINT) AS d FROM x JOIN {0} b ON b.part = x.part AND b.pos = x.pos GROUP BY ALL),
+{1} AS (SELECT vec_row, part, min(entry) AS entry, any_value(d) AS d FROM (SELECT *, min(d) OVER (PARTITION BY vec_row, part) AS least FROM {1}_d) WHERE d = least GROUP BY vec_row, part)"""
+#: Entries of {0} replaced by the floors of the means of the parts that {1} has assigned to them.
+UPDATE_SQL = """
+{2} AS (SELECT b.part, b.entry, b.pos, coalesce(m.c, b.c) AS c FROM {0} b LEFT JOIN (
+    SELECT x.part, a.entry, x.pos, CAST(floor(CAST(sum(v) AS DOUBLE) / count(*)) AS BIGINT) AS c FROM x JOIN {1} a ON a.vec_row = x.vec_row AND a.part = x.part GROUP BY ALL) m
+    ON m.part = b.part AND m.entry = b.entry AND m.pos = b.pos)"""
+VECTOR_CODES_SQL = (
+    """
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS vec_row, vec_id, label, embedding FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+flat AS (SELECT vec_row, len(embedding) // 4 AS width, unnest(embedding) AS e, generate_subscripts(embedding, 1) - 1 AS i FROM kept),
+x AS (SELECT vec_row, CAST(i // width AS BIGINT) AS part, CAST(i % width AS BIGINT) AS pos, CAST(floor(CAST(e AS DOUBLE) * 1024) AS BIGINT) AS v FROM flat),
+b0 AS (SELECT part, vec_row AS entry, pos, v AS c FROM x WHERE vec_row < 256),"""
+    + ",".join(ASSIGN_SQL.format(f"b{k}", f"a{k}") + "," + UPDATE_SQL.format(f"b{k}", f"a{k}", f"b{k + 1}") for k in range(4))
+    + ","
+    + ASSIGN_SQL.format("b4", "final")
+    + """,
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM kept JOIN final USING (vec_row) GROUP BY vec_row, vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b4) AS codebooks_sha256
+FROM coded
+"""
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": LINE_DEDUP_SQL}
+    return {"op10_line_dedup": LINE_DEDUP_SQL, "op11_vector_codes": VECTOR_CODES_SQL}
