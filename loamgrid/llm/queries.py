@@ -14,6 +14,7 @@ from .near_dedup import near_duplicate_report
 from .packing import pack
 from .quality_lm import quality_report
 from .quality_rules import judge
+from .source_audit import divergence
 from .token_counts import count_tokens
 from .toxicity import toxicity_report
 from .url_filter import url_report
@@ -74,6 +75,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 LINE_DEDUP_SQL = r"""
 WITH lines AS (SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
 keyed AS (SELECT doc_id, pos, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
@@ -113,9 +118,28 @@ FROM coded
 )
 
 
+SOURCE_AUDIT_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+found AS (SELECT doc, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM found GROUP BY ALL HAVING count(DISTINCT doc) >= 30),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+cell AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM grp g JOIN kept k ON k.lang = g.lang
+    LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM found GROUP BY ALL) c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT *, 1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source)) AS p FROM cell),
+q0 AS (SELECT lang, term, sum(n) AS n FROM cell GROUP BY ALL),
+q AS (SELECT *, 1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // (sum(n) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q FROM q0),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) d
+    ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+term AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, p.p - q.q AS value FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": LINE_DEDUP_SQL, "op11_vector_codes": VECTOR_CODES_SQL}
+    return {"op10_line_dedup": LINE_DEDUP_SQL, "op11_vector_codes": VECTOR_CODES_SQL, "op12_source_audit": SOURCE_AUDIT_SQL}
