@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chunk_codec import codec_report
 from .common import table
 from .decontam import contaminated
 from .lang_id import language_report
@@ -79,6 +80,10 @@ def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_chunk_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec_report(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 LINE_DEDUP_SQL = r"""
 WITH lines AS (SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
 keyed AS (SELECT doc_id, pos, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
