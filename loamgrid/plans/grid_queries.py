@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
-from ..operators import changes, grid, regions, tiles
+from ..operators import changes, grid, mosaics, regions, tiles
 from ..sources import files, vectors
 from ..sources.fixtures import BX_SQL, GRID_SQL, PX_SQL, boxes, pixels, tile_grid
-from ..sources.shared import cut, shared_dir
+from ..sources.shared import cut, new_folder
 from .range_join import box_join, halo, prefixed
-from .registry import QUERIES, SQL, query
+from .registry import query
 
 X = f"WITH {BX_SQL} "
 INTER = "greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0)"
@@ -123,7 +121,7 @@ def vector_round_trip(spark, d):
     rows = boxes(spark, d).withColumn("geometry", vectors.box_ring(*B.box()))
     read = []
     for form in ("wkb", "geojson"):
-        path = f"{shared_dir(spark).rstrip('/')}/vectors-{uuid.uuid4().hex}"
+        path = new_folder(spark, "vectors")
         vectors.write_vectors(rows, path, form)
         found = vectors.read_vectors(spark, path, form, "id bigint, grp int, x0 int, y0 int, x1 int, y1 int", box=(50.0, 50.0, 300.0, 300.0))
         read.append(found.select(*rows.drop("geometry").columns, vectors.area(F.col("geometry")).alias("area"), F.lit(form).alias("form")))
@@ -152,7 +150,7 @@ def clip_dissolve(spark, d):
 def matched_pairs(spark, d):
     """Images and masks of one name in a folder for each split; every fourth tile has no mask here. Sums of pixels come back."""
     px = pixels(spark, d)
-    path = f"{shared_dir(spark).rstrip('/')}/pairs-{uuid.uuid4().hex}"
+    path = new_folder(spark, "pairs")
     ids = px.select(F.col("tile_id").alias("id")).distinct()
     splits = ids.select("id", F.when(F.col("id") % 10 < 7, "train").when(F.col("id") % 10 < 9, "val").otherwise("test").alias("split"))
     masks = files.encode_tiles(px, "y1", 32).where("tile_id % 4 <> 3")
@@ -380,12 +378,36 @@ def change_histogram(spark, d):
     return changes.change_histogram(tagged(spark, d))
 
 
-#: Other names that these queries have had.
-for _name in (
-    "rs11_region_labels", "rs21_component_stats", "ag15_zonal_conf", "rs12_region_sizes_back", "jn6_touching_regions", "wn1_so4_best_neighbour", "fl8_candidates", "rs22_monitor_tags", "ag12_change_histogram",
-    "jn7_contains_join", "jn9_intersects_mask", "jn10_jn16_clipped_pairs", "fl13_st5_coverage", "jn12_vg6_contiguous", "rs10_rasterized", "tg8_matrix_tiles", "tg8b_same_aspect",
-):
-    query(f"{_name}_all", SQL.get(_name))(QUERIES[_name])
+# regions of the whole mosaic: tiles beside each other, labels across their borders
+
+MOSAIC = f"""WITH RECURSIVE {GRID_SQL}, v AS (SELECT px.tile_id, r, c, grow * 32 + r AS gr, gcol * 32 + c AS gc, y1 AS code, px_dm, conf1_milli, conf2_milli FROM px JOIN tg USING (tile_id)),
+reach(gr, gc, r0, c0, code) AS (SELECT gr, gc, gr, gc, code FROM v UNION SELECT v.gr, v.gc, reach.r0, reach.c0, v.code FROM reach JOIN v ON v.code = reach.code AND abs(v.gr - reach.gr) + abs(v.gc - reach.gc) = 1),
+lab AS (SELECT gr, gc, min(r0 * 2147483648 + c0) AS region FROM reach GROUP BY ALL), q AS (SELECT lab.region, v.* FROM lab JOIN v USING (gr, gc))"""
+
+
+def mosaic_labelled(spark, d):
+    return mosaics.mosaic_regions(pixels(spark, d).withColumn("code", F.col("y1")), "code", tile_grid(spark, d), 32)
+
+
+@query("rs11_mosaic_labels", MOSAIC + " SELECT tile_id, r, c, CAST(region AS BIGINT) AS region FROM q")
+def mosaic_labels(spark, d):
+    return mosaic_labelled(spark, d).select("tile_id", "r", "c", "region")
+
+
+@query("rs21_mosaic_stats", MOSAIC + " SELECT CAST(region AS BIGINT) AS region, count(*) AS n_px, CAST(min(gr) AS BIGINT) AS rmin, CAST(max(gr) AS BIGINT) AS rmax, CAST(min(gc) AS BIGINT) AS cmin, CAST(max(gc) AS BIGINT) AS cmax, CAST(sum(px_dm * px_dm) AS DOUBLE) / 100 AS area_m2 FROM q GROUP BY region")
+def mosaic_stats(spark, d):
+    return mosaics.mosaic_stats(mosaic_labelled(spark, d))
+
+
+@query("rs12_mosaic_sizes_back", MOSAIC + " SELECT tile_id, r, c, count(*) OVER (PARTITION BY region) AS n_px FROM q")
+def mosaic_sizes_back(spark, d):
+    return mosaics.sizes_back(mosaic_labelled(spark, d)).select("tile_id", "r", "c", "n_px")
+
+
+@query("ag15_mosaic_conf", MOSAIC + " SELECT CAST(region AS BIGINT) AS region, round(least(avg(conf1_milli), avg(conf2_milli)), 6) AS conf FROM q GROUP BY region")
+def mosaic_conf(spark, d):
+    s = mosaics.mosaic_stats(mosaic_labelled(spark, d), conf=["conf1_milli", "conf2_milli"])
+    return s.select("region", F.round(F.least("mean_conf1_milli", "mean_conf2_milli"), 6).alias("conf"))
 
 
 EMPTY = f"""WITH RECURSIVE {PX_SQL}, v AS (SELECT tile_id, r, c, px_dm FROM px WHERE pred = 0),
