@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -26,7 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_arrow, scratch, slices, text_column
+from .common import UNSAFE, cut, in_arrow, scratch, slices, text_column
+from .token_counts import PRE_TOKENS as SAFE_PRE_TOKENS
 
 #: Bytes that the rolling hash sees, least and most bytes of a chunk, and how rare an end is beyond the least.
 WINDOW, LEAST, MOST, RARE = 32, 128, 4096, 512
@@ -34,8 +37,8 @@ WINDOW, LEAST, MOST, RARE = 32, 128, 4096, 512
 BITS_EACH, MOST_BITS = 16, 1 << 28
 #: Of the chunks that occur again one in so many occurrences is a task's share; what occurs more often is dealt to several.
 SHARES = 2048
-#: Words whose ids a worker remembers, and the longest of them.
-MOST_WORDS, LONGEST_WORD = 400_000, 64
+#: Pre-tokens of either generation of a worker's memory, and the longest that it remembers.
+MOST_KNOWN, LONGEST_KNOWN = 300_000, 64
 #: Pre-tokens of word_bpe_49k.json, as its file has them; a fixed value of that tokenizer.
 PRE_TOKENS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _MULTIPLIER = 0x9E3779B1
@@ -43,6 +46,30 @@ _MULTIPLIER = 0x9E3779B1
 _OF_BYTE = (np.arange(1, 257, dtype=np.uint64) ** 2 * 0x9E3779B97F4A7C15 >> np.uint64(32)).astype(np.uint32)
 
 
+#: They stay blanks in any normal form.
+ASCII_BLANKS = re.compile("[\t-\r ]+")
+
+
+class _Memory(dict):
+    """What make(key) gives. Once full it is the older generation, of which only what is asked for again stays."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
+            if len(key) > LONGEST_KNOWN:
+                return value
+        if len(self) >= MOST_KNOWN:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Codec:
     """A tokenizer that drops blanks: ids of words, and texts of ids."""
 
@@ -58,28 +85,30 @@ class Codec:
         blank = any(t.lstrip or t.rstrip or t.single_word or not t.content or t.content.split() != [t.content] for t in added.values())
         if blank or (first.get("type"), first.get("behavior"), first.get("invert"), (first.get("pattern") or {}).get("Regex")) != ("Split", "Removed", True, PRE_TOKENS):
             raise ValueError("only tokenizers whose pre-tokens are those of word_bpe_49k.json are known to be cut at blanks")
-        self.known: dict[bytes, bytes] = {}
+        self.added = re.compile("|".join(re.escape(t.content) for t in added.values()) or r"(?!)")
+        # the byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for code points from 256 on
+        other = iter(range(256, 512))
+        self.alphabet = {b: chr(b) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174 else chr(next(other)) for b in range(256)}
+        self.known = _Memory(self._pre_token)
         self.pieces: list[str | None] | None = None
 
-    def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of texts as little-endian 32-bit numbers. bytes.split() cuts at ASCII blanks, which stay blanks in any normal
-        form; each distinct word is encoded once."""
-        split, known = [t.split() for t in texts], self.known
-        new = [w for w in set().union(*split) if w not in known]
-        if len(known) + len(new) > MOST_WORDS:
-            known.clear()
-            new = list(set().union(*split))
-        if new:
-            made = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, np.asarray(e.ids, "<i4").tobytes()) for w, e in zip(new, made, strict=True))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for w in new:
-            if len(w) > LONGEST_WORD:
-                del known[w]
-        return out
-
-    def encode(self, text: bytes) -> bytes:
-        return self.encode_all([text])[0]
+    def _pre_token(self, token: str) -> bytes:
+        coded = token if token.isascii() else "".join(map(self.alphabet.__getitem__, token.encode()))
+        return array("i", [t.id for t in self.tokenizer.model.tokenize(coded)]).tobytes()
+
+    def encode(self, data: bytes) -> bytes:
+        """Ids of a text as 32-bit numbers. Texts of code points on which Python's and the library's tables agree are split
+        into pre-tokens here; in others, words between ASCII blanks that have more go to the library whole."""
+        text, known = data.decode(), self.known.__getitem__
+        if not UNSAFE.search(text) and ("<" not in text or not self.added.search(text)):
+            return b"".join(map(known, SAFE_PRE_TOKENS.findall(text.lower())))
+        out = []
+        for word in ASCII_BLANKS.split(text):
+            if UNSAFE.search(word) or "<" in word and self.added.search(word):
+                out.append(array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes())
+            else:
+                out += map(known, SAFE_PRE_TOKENS.findall(word.lower()))
+        return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
         """As the library does, special tokens included; ids that the tokenizer doesn't have are left out."""
@@ -201,7 +230,7 @@ def _alone(path: str, marks):
         for batch, rows in _texts(batches, marks.value):
             mine = [i for i, r in enumerate(rows) if not r[3].any()]
             if mine:
-                yield _id_rows(batch.column(0).take(pa.array(mine)), codec(path).encode_all([rows[i][0] for i in mine]))
+                yield _id_rows(batch.column(0).take(pa.array(mine)), [codec(path).encode(rows[i][0]) for i in mine])
 
     return run
 
@@ -277,7 +306,7 @@ def edges(text: bytes) -> tuple[bytes, bytes, bytes | None]:
     return text[:first], text[first:last], text[last + 1 :]
 
 
-#: ASCII blanks, those that bytes.split() knows, as spaces.
+#: ASCII blanks as spaces.
 _BLANKS = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
 
 
@@ -287,7 +316,7 @@ def _chunk_codes(path: str, hot, each: int):
     def run(batches):
         for batch in slices(batches):
             found = [edges(t) for t in batch.column(2).to_pylist()]
-            ids = codec(path).encode_all([f[1] for f in found])
+            ids = [codec(path).encode(f[1]) for f in found]
             out = [(h1, h2, part, f[0], i, f[2]) for h1, h2, f, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), found, ids, strict=True) for part in range(-(-hot.get((h1, h2), 1) // each))]
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), CODES, strict=True)], schema=CODES)
 
