@@ -307,19 +307,31 @@ def rotated_rectangle(points: np.ndarray) -> tuple[float, float]:
     return float(area.min() / short), float(short)
 
 
-def rectangles(px: DataFrame, keys: list[str], edge_dm: str = "px_dm") -> DataFrame:
-    """keys, long_axis, short_axis (m), axis_ratio, rectangularity of each region by its smallest rotated rectangle.
-    Only the ends of each row's pixels go to the kernel: no others can be on the hull."""
-    ends = px.groupBy(*keys, "r").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"), F.max(edge_dm).alias("edge"))
+#: A convex chain over points in order: of the chain so far, whatever doesn't turn left towards the next point goes; that is
+#: an end of it, as the chain turns left everywhere.
+_CHAIN = "aggregate({0}, CAST(array() AS array<struct<x: bigint, y: bigint>>), (h, p) -> concat(filter(h, (q, i) -> i = 0 OR (q.x - get(h, i - 1).x) * (p.y - get(h, i - 1).y) - (q.y - get(h, i - 1).y) * (p.x - get(h, i - 1).x) > 0), array(p)))"
+#: Twice the extent along and across each side of the hull; the smallest rectangle lies along one of them.
+_RECTANGLES = """transform(transform(hull, (p, i) -> struct(get(hull, (i + 1) % size(hull)).x - p.x AS dx, get(hull, (i + 1) % size(hull)).y - p.y AS dy)), s -> struct(
+    array_max(transform(hull, p -> p.x * s.dx + p.y * s.dy)) - array_min(transform(hull, p -> p.x * s.dx + p.y * s.dy)) AS a,
+    array_max(transform(hull, p -> p.x * s.dy - p.y * s.dx)) - array_min(transform(hull, p -> p.x * s.dy - p.y * s.dx)) AS b, CAST(s.dx * s.dx + s.dy * s.dy AS DOUBLE) AS u))"""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        points = np.concatenate([np.stack([pdf.c0 + 0, pdf.r + k], 1) for k in (0, 1)] + [np.stack([pdf.c1 + 1, pdf.r + k], 1) for k in (0, 1)])
-        long, short = rotated_rectangle(points)
-        edge = float(pdf.edge.max()) / 10
-        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, "long_axis": long * edge, "short_axis": round(short * edge, 9), "axis_ratio": round(short / long, 9), "rectangularity": round(float(pdf.n.sum()) / (long * short), 9)}])
 
-    kinds = dict(px.dtypes)
-    return ends.groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", long_axis double, short_axis double, axis_ratio double, rectangularity double")
+def rectangles(px: DataFrame, keys: list[str], edge_dm: str = "px_dm") -> DataFrame:
+    """keys, long_axis, short_axis (m), axis_ratio, rectangularity of each region by its smallest rotated rectangle; of equally
+    small ones the one with the shortest edge.
+
+    Only the ends of each row's pixels can be on the hull. A region's row ends are one array, and hull and rectangles are
+    array expressions on it, so regions need no group of their own."""
+    ends = px.groupBy(*keys, "r").agg(F.min("c").cast("long").alias("c0"), (F.max("c") + 1).cast("long").alias("c1"), F.count("*").alias("n"), F.max(edge_dm).alias("edge"))
+    rows = ends.groupBy(*keys).agg(F.collect_list(F.struct(F.col("r").cast("long").alias("r"), "c0", "c1")).alias("ends"), F.sum("n").alias("n"), (F.max("edge") / 10.0).alias("edge"))
+    points = rows.withColumn("points", F.expr("array_sort(array_distinct(flatten(transform(ends, e -> array(named_struct('x', e.c0, 'y', e.r), named_struct('x', e.c0, 'y', e.r + 1), named_struct('x', e.c1, 'y', e.r), named_struct('x', e.c1, 'y', e.r + 1))))))"))
+    chains = points.select(*keys, "n", "edge", F.expr(_CHAIN.format("points")).alias("low"), F.expr(_CHAIN.format("reverse(points)")).alias("high"))
+    hulls = chains.select(*keys, "n", "edge", F.expr("concat(slice(low, 1, size(low) - 1), slice(high, 1, size(high) - 1))").alias("hull"))
+    found = hulls.select(*keys, "n", "edge", F.expr(_RECTANGLES).alias("boxes"))
+    best = found.select(*keys, "n", "edge", F.expr("array_min(transform(boxes, b -> struct(round(b.a * b.b / b.u, 9) AS area, least(b.a, b.b) / sqrt(b.u) AS short)))").alias("best"))
+    area, short = F.col("best.area"), F.col("best.short")
+    long = area / short
+    return best.select(*keys, (long * F.col("edge")).alias("long_axis"), F.round(short * F.col("edge"), 9).alias("short_axis"), F.round(short / long, 9).alias("axis_ratio"), F.round(F.col("n") / (long * short), 9).alias("rectangularity"))
 
 
 def merge_small(px: DataFrame, value: str, least_px: int, key: str = "tile_id") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
-from ..operators import changes, grid, mosaics, regions, tiles
+from ..operators import boundaries, changes, grid, mosaics, overlay, regions, tiles
 from ..sources import files, vectors
 from ..sources.fixtures import BX_SQL, GRID_SQL, PX_SQL, boxes, pixels, tile_grid
 from ..sources.shared import cut, new_folder
@@ -74,12 +74,28 @@ def clipped_pairs(spark, d):
     return pairs.select("id", "r_id", *(e.alias(n) for e, n in zip(B.intersection(B.box(), B.box("r_")), B.BOX, strict=True)))
 
 
-@query("fl13_st5_coverage", X + f", c AS (SELECT a.id, max(CASE WHEN b.id IS NULL THEN 0 ELSE {INTER} END) AS covered, max({AREA.format('a')}) AS area FROM bx a LEFT JOIN bx b ON {TOUCH} AND b.id <> a.id GROUP BY a.id) SELECT id FROM c WHERE 1 - coalesce(CAST(covered AS DOUBLE), 0) / area > 0.4")
+#: Whole-numbered boxes as unit squares, with how many boxes lie on each.
+UNITS = X.rstrip() + ", u AS (SELECT id, grp, CAST(i AS INT) AS ux, CAST(j AS INT) AS uy FROM bx, range(x0, x1) a(i), range(y0, y1) b(j)), n AS (SELECT ux, uy, count(*) AS n, count(*) FILTER (WHERE grp < 4) AS l, count(*) FILTER (WHERE grp >= 4) AS r FROM u GROUP BY ux, uy)"
+
+
+@query("fl13_st5_coverage", UNITS + " SELECT id, round(1 - CAST(count(*) FILTER (WHERE n.n > 1) AS DOUBLE) / count(*), 9) AS share FROM u JOIN n USING (ux, uy) GROUP BY id HAVING 1 - CAST(count(*) FILTER (WHERE n.n > 1) AS DOUBLE) / count(*) > 0.05")
 def coverage(spark, d):
+    """Boxes of which more than a twentieth is left after the difference with all other boxes."""
+    return overlay.left_over(boxes(spark, d), least_share=0.05, cell=CELL).select("id", F.round("share", 9).alias("share"))
+
+
+@query("fl13_covered_by_layer", UNITS + " SELECT id, CAST(count(*) AS DOUBLE) AS area, CAST(count(*) FILTER (WHERE n.r > 0) AS DOUBLE) AS covered FROM u JOIN n USING (ux, uy) WHERE grp < 4 GROUP BY id")
+def covered_by_layer(spark, d):
+    """What the boxes of one half of the groups cover of each box of the other half."""
     b = boxes(spark, d)
-    pairs = box_join(b, prefixed(b), CELL, residual=F.col("id") != F.col("r_id"))
-    covered = pairs.groupBy("id").agg(F.max(B.overlap(B.box(), B.box("r_"))).alias("covered"))
-    return b.join(covered, "id", "left").where(1 - F.coalesce("covered", F.lit(0)) / B.area(B.box()) > 0.4).select("id")
+    return overlay.coverage(b.where("grp < 4"), b.where("grp >= 4"), CELL)
+
+
+@query("st5_overlay_areas", UNITS + " SELECT CAST(count(*) FILTER (WHERE l > 0) AS DOUBLE) AS left_area, CAST(count(*) FILTER (WHERE r > 0) AS DOUBLE) AS right_area, CAST(count(*) AS DOUBLE) AS union_area, CAST(count(*) FILTER (WHERE l > 0 AND r > 0) AS DOUBLE) AS both_area, CAST(count(*) FILTER (WHERE l > 0 AND r = 0) AS DOUBLE) AS left_only, CAST(count(*) FILTER (WHERE l = 0 AND r > 0) AS DOUBLE) AS right_only FROM n")
+def overlay_areas(spark, d):
+    """Areas of union, intersection and both differences of the two halves of the groups."""
+    b = boxes(spark, d)
+    return overlay.overlay_areas(b.where("grp < 4"), b.where("grp >= 4"), CELL)
 
 
 #: No SQL: the closure of all boxes is quadratic.
@@ -326,16 +342,49 @@ def touching_regions(spark, d):
     return regions.shared_edges(labelled(spark, d)).select("tile_id", "region", "neighbour", "shared_px")
 
 
-@query("wn1_so4_best_neighbour", EDGES + " SELECT tile_id, CAST(region AS BIGINT) AS region, CAST(arg_min(neighbour, -shared_px * 10000000000 + neighbour) AS BIGINT) AS neighbour FROM e GROUP BY tile_id, region")
+#: Sides of pixels, the arms that they make (by neighbour in nb), and the corners where arms meet; left turns come first.
+ARMS_OF = """SELECT *, CASE WHEN side IN ('L', 'B') THEN a ELSE b END AS s0, CASE WHEN side IN ('L', 'B') THEN b ELSE a END AS e0 FROM (
+    SELECT {on}, min(p) AS a, max(p) + 1 AS b, count(*) AS len FROM (SELECT *, p - row_number() OVER (PARTITION BY {on} ORDER BY p) AS island FROM side {where}) GROUP BY {on}, island)"""
+VERTICES = "CASE WHEN side IN ('L', 'R') THEN {0}0 ELSE line END AS {0}y, CASE WHEN side IN ('L', 'R') THEN line ELSE {0}0 END AS {0}x"
+BOUNDARIES = REGIONS.replace("CASE WHEN tile_id % 2 = 0 THEN CAST((y1 - 1) * 17 + y2 AS INT) ELSE y1 END AS code", "pred AS code") + f""", near AS (SELECT q.tile_id, q.r, q.c, q.region, l.region AS l, b.region AS b, rr.region AS rr, t.region AS t FROM q LEFT JOIN q l ON l.tile_id = q.tile_id AND l.r = q.r AND l.c = q.c - 1 LEFT JOIN q b ON b.tile_id = q.tile_id AND b.r = q.r + 1 AND b.c = q.c
+    LEFT JOIN q rr ON rr.tile_id = q.tile_id AND rr.r = q.r AND rr.c = q.c + 1 LEFT JOIN q t ON t.tile_id = q.tile_id AND t.r = q.r - 1 AND t.c = q.c),
+side AS (SELECT * FROM (SELECT tile_id, region, 'L' AS side, c AS line, r AS p, l AS nb FROM near UNION ALL SELECT tile_id, region, 'B', r + 1, c, b FROM near UNION ALL SELECT tile_id, region, 'R', c + 1, r, rr FROM near UNION ALL SELECT tile_id, region, 'T', r, c, t FROM near) WHERE nb IS DISTINCT FROM region),
+arm AS (SELECT *, {VERTICES.format("s")}, {VERTICES.format("e")} FROM ({ARMS_OF.format(on="tile_id, region, side, line", where="")})),
+shared_arm AS (SELECT *, {VERTICES.format("s")}, {VERTICES.format("e")} FROM ({ARMS_OF.format(on="tile_id, region, nb, side, line", where="WHERE nb IS NOT NULL")})),
+size AS (SELECT tile_id, region, count(*) AS n, CAST(count(*) AS DOUBLE) / ((max(r) - min(r) + 1) * (max(c) - min(c) + 1)) AS fill, max(px_dm) AS e FROM q GROUP BY tile_id, region)"""
+TURNS = """, turn AS (SELECT * FROM (SELECT x.tile_id, x.region, x.side, x.sy, x.sx, y.side AS side2, y.sy AS sy2, y.sx AS sx2, x.len * y.len AS product, y.side = translate(x.side, 'LBRT', 'BRTL') AS convex,
+    row_number() OVER (PARTITION BY x.tile_id, x.region, x.side, x.ey, x.ex ORDER BY y.side = translate(x.side, 'LBRT', 'BRTL') DESC) AS k FROM arm x JOIN arm y ON y.tile_id = x.tile_id AND y.region = x.region AND y.sy = x.ey AND y.sx = x.ex AND y.side IN (translate(x.side, 'LBRT', 'BRTL'), translate(x.side, 'LBRT', 'TLBR'))) WHERE k = 1),
+first AS (SELECT tile_id, region, arg_min(side, (sy, sx, side)) AS side, min(sy) AS sy, arg_min(sx, (sy, sx, side)) AS sx FROM arm GROUP BY tile_id, region),
+ring AS (SELECT tile_id, region, side, sy, sx FROM first UNION SELECT t.tile_id, t.region, t.side2, t.sy2, t.sx2 FROM ring g JOIN turn t USING (tile_id, region, side, sy, sx))"""
+
+
+def predicted(spark, d):
+    return regions.polygonize(pixels(spark, d), "pred")
+
+
+@query("wn1_so4_best_neighbour", BOUNDARIES + """, angle AS (SELECT x.tile_id, x.region, x.nb, count(*) AS angles FROM shared_arm x JOIN shared_arm y ON y.tile_id = x.tile_id AND y.region = x.region AND y.nb = x.nb AND y.side = translate(x.side, 'LBRT', 'BRTL') AND y.sy = x.ey AND y.sx = x.ex
+    JOIN size z ON z.tile_id = x.tile_id AND z.region = x.region WHERE x.len * y.len * z.e * z.e / 100.0 > 50 GROUP BY ALL), shared AS (SELECT tile_id, region, nb, count(*) AS shared_px FROM side WHERE nb IS NOT NULL GROUP BY ALL)
+SELECT tile_id, CAST(region AS BIGINT) AS region, CAST(nb AS BIGINT) AS neighbour, angles, shared_px FROM (SELECT *, row_number() OVER (PARTITION BY tile_id, region ORDER BY angles DESC, shared_px DESC, nb) AS k FROM angle JOIN shared USING (tile_id, region, nb)) WHERE k = 1""")
 def best_neighbour(spark, d):
-    e = regions.shared_edges(labelled(spark, d))
-    return e.groupBy("tile_id", "region").agg(F.min_by("neighbour", F.struct(-F.col("shared_px"), F.col("neighbour"))).alias("neighbour"))
+    """By right angles on the shared boundary, then its length, then the label."""
+    return boundaries.best_neighbours(predicted(spark, d), ["tile_id"])
+
 
+FL8 = TURNS + """, convex AS (SELECT tile_id, region, count(*) AS convex FROM ring JOIN turn USING (tile_id, region, side, sy, sx) JOIN size USING (tile_id, region) WHERE convex AND product * e * e / 100.0 > 50 GROUP BY tile_id, region), around AS (SELECT tile_id, region, count(*) AS n FROM side GROUP BY tile_id, region)
+SELECT tile_id, CAST(region AS BIGINT) AS region, convex, around.n * e / 10.0 AS perimeter_m, round(fill, 9) AS fill FROM convex JOIN around USING (tile_id, region) JOIN size USING (tile_id, region) WHERE convex < 5 AND fill > 0.4 AND around.n * e / 10.0 < 400"""
 
-@query("fl8_candidates", REGIONS + ", s AS (SELECT tile_id, region, count(*) AS n, CAST(count(*) AS DOUBLE) / ((max(r) - min(r) + 1) * (max(c) - min(c) + 1)) AS fill, max(px_dm) AS e, 2 * (max(r) - min(r) + 1 + max(c) - min(c) + 1) AS around FROM q GROUP BY tile_id, region) SELECT tile_id, CAST(region AS BIGINT) AS region FROM s WHERE fill > 0.4 AND around * e / 10.0 < 400")
+
+@query("fl8_candidates", BOUNDARIES + FL8)
 def candidates(spark, d):
-    s = changes.region_stats(labelled(spark, d), ["tile_id", "region"])
-    return s.where((F.col("fill") > 0.4) & (2 * (F.col("long_axis") + F.col("short_axis")) < 400)).select("tile_id", "region")
+    """Regions with one to four large convex right angles, by their outer ring's corners and their whole boundary."""
+    return boundaries.candidates(predicted(spark, d), ["tile_id"]).withColumn("fill", F.round("fill", 9))
+
+
+@query("wn10_corners", BOUNDARIES + TURNS + " SELECT tile_id, CAST(region AS BIGINT) AS region, count(*) AS corners, count(*) FILTER (WHERE convex) AS convex, CAST(max(product) AS BIGINT) AS largest FROM ring JOIN turn USING (tile_id, region, side, sy, sx) GROUP BY tile_id, region")
+def ring_corners(spark, d):
+    """Corners of each region's outer ring, the convex ones, and the largest product of two arms that meet."""
+    found = boundaries.outer_corners(boundaries.arms(boundaries.sides(predicted(spark, d), ["tile_id"]), ["tile_id"]), ["tile_id"])
+    return found.groupBy("tile_id", "region").agg(F.count("*").alias("corners"), F.count_if("convex").alias("convex"), F.max(F.col("before") * F.col("after")).cast("long").alias("largest"))
 
 
 def tagged(spark, d):

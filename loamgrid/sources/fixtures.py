@@ -35,6 +35,25 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _notched(x0, y0, w, h):
+    """A box with a notch down to its middle and a triangular hole below the notch."""
+    point = lambda x, y: F.struct((x0 + w * x).cast("double").alias("x"), (y0 + h * y).cast("double").alias("y"))
+    outer = F.array(*(point(x, y) for x, y in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.5, 0.5), (0.0, 1.0), (0.0, 0.0))))
+    return F.array(outer, F.array(*(point(x, y) for x, y in ((0.25, 0.125), (0.5, 0.375), (0.75, 0.125), (0.25, 0.125)))))
+
+
+def notched_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, grp, geometry: concave polygons with a hole, one in each box."""
+    x0, y0, x1, y1 = (F.col(k) for k in ("x0", "y0", "x1", "y1"))
+    return boxes(spark, sf_dir).select("id", "grp", _notched(x0, y0, x1 - x0, y1 - y0).alias("geometry"))
+
+
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """zone, geometry: such a polygon of 100 x 100 for each nation, side by side."""
+    k = F.col("n_nationkey")
+    return table(spark, sf_dir, "nation").select(k.cast("int").alias("zone"), _notched(k % 5 * 100, F.floor(k / 5) * 100, F.lit(100), F.lit(100)).alias("geometry"))
+
+
 def tile_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tile_id with its global row and column, and region origin, row and column in regions of 2 x 2 tiles."""
     return pixels(spark, sf_dir).select("tile_id").distinct().selectExpr(
@@ -62,6 +81,11 @@ BANDS_SQL = PX_SQL + """,
 bands AS (SELECT tile_id, r, c, 1 AS band, pred AS value FROM px UNION ALL SELECT tile_id, r, c, 2, y1 FROM px UNION ALL SELECT tile_id, r, c, 3, y2 FROM px UNION ALL SELECT tile_id, r, c, 4, conf1_milli FROM px)"""
 BX_SQL = """bx AS (SELECT p_partkey AS id, CAST(p_partkey % 8 AS INT) AS grp, CAST((p_partkey * 37) % 400 AS INT) AS x0, CAST((p_partkey * 53) % 400 AS INT) AS y0,
  CAST((p_partkey * 37) % 400 + 5 + p_size AS INT) AS x1, CAST((p_partkey * 53) % 400 + 5 + (p_size * 3) % 40 AS INT) AS y1 FROM part)"""
+#: Edges of a notched box at x0, y0 with width w and height h, by ring.
+NOTCHED_SQL = """(SELECT * FROM (VALUES (0.0, 0.0, 1.0, 0.0), (1.0, 0.0, 1.0, 1.0), (1.0, 1.0, 0.5, 0.5), (0.5, 0.5, 0.0, 1.0), (0.0, 1.0, 0.0, 0.0), (0.25, 0.125, 0.5, 0.375), (0.5, 0.375, 0.75, 0.125), (0.75, 0.125, 0.25, 0.125)) n(a, b, c, d))"""
+EDGES_SQL = BX_SQL + f""",
+pe AS (SELECT id, CAST(x0 + (x1 - x0) * a AS DOUBLE) AS ax, CAST(y0 + (y1 - y0) * b AS DOUBLE) AS ay, CAST(x0 + (x1 - x0) * c AS DOUBLE) AS bx, CAST(y0 + (y1 - y0) * d AS DOUBLE) AS b_y FROM bx, {NOTCHED_SQL}),
+ze AS (SELECT CAST(n_nationkey AS INT) AS zone, CAST(n_nationkey % 5 * 100 + 100 * a AS DOUBLE) AS ax, CAST(n_nationkey // 5 * 100 + 100 * b AS DOUBLE) AS ay, CAST(n_nationkey % 5 * 100 + 100 * c AS DOUBLE) AS bx, CAST(n_nationkey // 5 * 100 + 100 * d AS DOUBLE) AS b_y FROM nation, {NOTCHED_SQL})"""
 GRID_SQL = PX_SQL + """,
 tg AS (SELECT DISTINCT tile_id, CAST(tile_id // 4 AS INT) AS grow, CAST(tile_id % 4 AS INT) AS gcol, CAST((tile_id // 4) // 2 AS INT) AS region_y, CAST((tile_id % 4) // 2 AS INT) AS region_x, CAST((tile_id // 4) % 2 AS INT) AS row, CAST((tile_id % 4) % 2 AS INT) AS col FROM px)"""
 LOG_SQL = """lg AS (SELECT event_id AS step, CASE event_type WHEN 'view' THEN 'val' ELSE 'train' END AS mode, value AS loss, CAST(json_extract_string(props, '$.k') AS INT) AS k, ts FROM events)"""

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from loamgrid.plans import evaluation, grid_queries, other_queries, pixel_queries, registry  # noqa: F401
+from loamgrid.plans import evaluation, grid_queries, other_queries, pixel_queries, polygon_queries, registry  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
