@@ -5,9 +5,11 @@
 2. Classes that share a band key are candidates. In each bucket the classes are compared with two leaders, the first and
    the last, so that a bucket of n gives 2n pairs; links make components. A bucket that lies in one component is done:
    pairs within a component change no result. In the others, the classes outside of the bucket's largest component are
-   queries against the bucket's classes. They meet in blocks inside of one task, first by signatures, then those that
-   signatures leave by their texts, each pair in its first common bucket; only links leave a task: no pair becomes a row,
-   however large a group is, and components that a link has joined need no more pairs. Nothing is capped.
+   queries against the bucket's classes; where that would take very many comparisons, its classes meet those that share a
+   shingle of their prefixes (rare shingles first), an exact filter. They meet in blocks inside of one task, first by
+   signatures, then those that signatures leave by their texts, each pair in its first common bucket; only links leave a
+   task: no pair becomes a row, however large a group is, and components that a link has joined need no more pairs.
+   Nothing is capped.
 3. A pair is compared by batches of BATCH signature values. With m of n equal and a uniform prior, its similarity has a
    Beta(m + 1, n - m + 1) posterior; the pair is pruned as soon as the probability of reaching the threshold is below
    MISS. Survivors are verified exactly on the full sets of their texts.
@@ -279,30 +281,99 @@ def _in_blocks(words: int, percent: int, bounds: list[tuple[int, int]]):
     return _units(work)
 
 
-def _rest_links(members: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs of roots of components that are linked, among components that a bucket has in common.
+#: A bucket of more comparisons than this is divided by prefixes. Classes and shingles of the sample that orders shingles.
+MOST_COMPARISONS, SAMPLE_CLASSES, MOST_COMMON = 1 << 14, 2000, 1 << 16
 
-    Work is dealt by bucket: a query meets the classes of its own buckets only. In a bucket of two classes the leaders'
-    comparison was complete. Blocks of a bucket hold at most about BLOCK classes and BLOCK_SHINGLES shingles. Signatures
-    come first; texts move only for classes that are in a pair which signatures leave."""
-    bounds = least_matches(percent / 100)
-    placed = members.where("n > 2").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("key", "band", "cid", "n_shingles", F.coalesce("root", "cid").alias("root"))
+
+def prefix(shingles: np.ndarray, percent: int, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first n - ceil(percent * n / 100) + 1 of a set's n shingles, those that aren't common before those that are.
+
+    Two sets whose similarity reaches percent have a shingle of their prefixes in common, whatever the order is, if it is
+    the same for all. common: sorted hashes, with the rank of each among them."""
+    at = np.minimum(np.searchsorted(common, shingles), max(0, len(common) - 1))
+    is_common = common[at] == shingles if len(common) else np.zeros(len(shingles), bool)
+    late = shingles[is_common]
+    late = late[np.argsort(rank[at[is_common]], kind="stable")] if len(late) else late
+    least = -(-percent * len(shingles) // 100)
+    return np.concatenate([shingles[~is_common], late])[: len(shingles) - least + 1]
+
+
+def _shingles(words: int):
+    def run(batches):
+        for batch in slices(batches):
+            found = [shingle_set(t, words).view(np.int64) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"key": pa.array(np.concatenate(found))})
+
+    return run
+
+
+def _prefixes(words: int, percent: int, common):
+    def run(batches):
+        hashes, rank = common.value
+        for batch in slices(batches):
+            found = [prefix(shingle_set(t, words), percent, hashes, rank).view(np.int64) for t in batch.column(3).to_pylist()]
+            each = np.repeat(np.arange(batch.num_rows), [len(f) for f in found])
+            rows = batch.take(pa.array(each))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), *rows.columns[:3]], names=["key", "cid", "root", "n_shingles"])
+
+    return run
+
+
+def _by_prefix(crowded: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The classes of crowded buckets, crowded(cid, root, n_shingles), placed by the shingles of their prefixes.
+
+    Texts of one template are alike in what is common and differ in what is rare, so rare shingles are first in order and
+    few classes meet. What is common is learnt from a bounded sample; it decides how many meet, never which links there are."""
+    spark = crowded.sparkSession
+    full = cut(crowded.join(texts, "cid").select("cid", "root", "n_shingles", "text"), "crowded")
+    every = max(1, full.count() // SAMPLE_CLASSES)
+    sample = in_arrow(full.where(F.pmod(F.xxhash64("cid"), F.lit(every)) == 0).select("text"), _shingles(words), "key long")
+    top = sample.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "key").limit(MOST_COMMON).select("key").toArrow().column("key").to_numpy()
+    hashes = top.view(np.uint64)[::-1]  # the most frequent last
+    by = np.argsort(hashes)
+    found = in_arrow(full, _prefixes(words, percent, spark.sparkContext.broadcast((hashes[by], by))), "key long, cid long, root long, n_shingles long")
+    placed = cut(found, "prefixes")
+    met = cut(placed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "met")
+    return placed.join(met, "key").select("key", F.lit(0).alias("band"), "cid", "n_shingles", "root")
+
+
+def _in_units(placed: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame]:
+    """placed(key, band, cid, n_shingles, root): the classes of keys of several components, in blocks of members and
+    queries; and the classes of keys with more than `most` comparisons, which have no blocks."""
     placed = cut(placed, "placed")
     by_root = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     mains = cut(by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main")).where("roots > 1").select("key", "main"), "mains")
     part = cut(placed.join(mains, "key").select("key", "band", "cid", "root", "n_shingles", (F.col("root") != F.col("main")).cast("int").alias("query")), "part")
     many = lambda own: F.ceil(F.greatest(F.sum(own) / BLOCK, F.sum(own * F.col("n_shingles")) / BLOCK_SHINGLES)).cast("int")
-    sizes = cut(part.groupBy("key").agg(many(F.lit(1)).alias("nb"), many(F.col("query")).alias("nq")), "blocks")
-    dealt = part.join(sizes, "key")
+    sizes = cut(part.groupBy("key").agg(many(F.lit(1)).alias("nb"), many(F.col("query")).alias("nq"), (F.count("*") * F.sum("query")).alias("work")), "blocks")
+    all_ = part.join(sizes, "key")
+    dealt = all_ if most is None else all_.where(F.col("work") <= most)
     block = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = dealt.select("key", "band", every("nq").alias("qb"), block("nb").alias("mb"), F.lit(0).alias("query"), "cid", "root")
     asked = dealt.where("query = 1").select("key", "band", block("nq").alias("qb"), every("nb").alias("mb"), F.lit(1).alias("query"), "cid", "root")
+    crowded = all_.where(F.lit(False) if most is None else F.col("work") > most).select("cid", "root", "n_shingles").distinct()
+    return own.unionByName(asked), crowded
+
+
+def _rest_links(members: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs of roots of components that are linked, among components that a bucket has in common.
+
+    Work is dealt by bucket: a query meets the classes of its own buckets only. In a bucket of two classes the leaders'
+    comparison was complete. The classes of buckets with more than MOST_COMPARISONS comparisons meet by their prefixes
+    instead, exactly. Blocks hold at most about BLOCK classes and BLOCK_SHINGLES shingles. Signatures come first; texts move
+    only for classes that are in a pair which signatures leave."""
+    bounds = least_matches(percent / 100)
+    placed = members.where("n > 2").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("key", "band", "cid", "n_shingles", F.coalesce("root", "cid").alias("root"))
+    rows, crowded = _in_units(placed, MOST_COMPARISONS)
+    crowded = cut(crowded, "crowded")
+    if crowded.limit(1).count():
+        rows = rows.unionByName(_in_units(_by_prefix(crowded, texts, words, percent), None)[0])
 
     def in_units(rows: DataFrame) -> DataFrame:
-        return rows.repartition("key", "qb", "mb").sortWithinPartitions("key", "qb", "mb")
+        return rows.repartition("key", "qb", "mb").sortWithinPartitions("key", "band", "qb", "mb")
 
-    signed = own.unionByName(asked).join(classes.select("cid", "sig", "bands"), "cid").select("key", "band", "qb", "mb", "query", "cid", "root", "sig", "bands")
+    signed = rows.join(classes.select("cid", "sig", "bands"), "cid").select("key", "band", "qb", "mb", "query", "cid", "root", "sig", "bands")
     wanted = cut(in_arrow(in_units(signed), _sieve(words, bounds), f"{UNIT_DDL}, cid long, root long"), "wanted")
     full = wanted.join(classes.select("cid", "sig", "bands"), "cid").join(texts, "cid").select("key", "band", "qb", "mb", "query", "cid", "root", "sig", "bands", "text")
     return cut(in_arrow(in_units(full), _in_blocks(words, percent, bounds), "x long, y long"), "more")
