@@ -77,12 +77,23 @@ def matrix_tiles(boxes: DataFrame, origin_x: float, origin_y: float, span: float
     return rows.select("id", "tile_col", "tile_row", url.alias("url"))
 
 
+#: Scales of a pyramid that best_scale() takes.
+MOST_SCALES = 1000
+
+
 def best_scale(wanted: DataFrame, scales: DataFrame) -> DataFrame:
-    """For each wanted pixel size the first scale (by place) whose pixel isn't larger, else the last. scales: a few rows."""
-    pairs = wanted.crossJoin(F.broadcast(scales))
-    fits = F.when(F.col("size") <= F.col("wanted"), F.col("place"))
-    chosen = pairs.groupBy("id").agg(F.coalesce(F.min(fits), F.max("place")).alias("place"))
-    return chosen.join(F.broadcast(scales), "place").select("id", "place", "size")
+    """For each of wanted(id, wanted) the first of scales(place, size), by place, whose pixel isn't larger, else the last.
+
+    A pyramid has few scales, so they are one literal; more than MOST_SCALES are refused."""
+    rows = scales.select("place", "size").orderBy("place").limit(MOST_SCALES + 1).collect()
+    if len(rows) > MOST_SCALES:
+        raise ValueError(f"more than {MOST_SCALES} scales")
+    if not rows:
+        return wanted.select("id").limit(0).crossJoin(scales.select("place", "size").limit(0))
+    kind = {f.name: f.dataType for f in scales.schema.fields}
+    every = F.array(*(F.struct(F.lit(r["place"]).cast(kind["place"]).alias("place"), F.lit(r["size"]).cast(kind["size"]).alias("size")) for r in rows))
+    found = F.coalesce(F.get(F.filter(every, lambda s: s["size"] <= F.col("wanted")), F.lit(0)), F.element_at(every, -1))
+    return wanted.select("id", found.alias("found")).select("id", "found.place", "found.size")
 
 
 def shuffled(df: DataFrame, key: str, seed: int, by: list[str] | None = None) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
-from ..operators import boundaries, changes, grid, mosaics, overlay, regions, tiles
-from ..sources import files, vectors
+from ..operators import boundaries, changes, grid, mosaics, overlay, regions, tiles, zonal
+from ..sources import files, tile_store, vectors
 from ..sources.fixtures import BX_SQL, GRID_SQL, PX_SQL, boxes, pixels, tile_grid
 from ..sources.shared import cut, new_folder
 from .range_join import box_join, halo, prefixed
@@ -26,6 +26,14 @@ def bbox_filter(spark, d):
     return boxes(spark, d).where(B.intersects(B.box(), tuple(map(F.lit, (100, 200, 150, 250))))).select("id", "x0", "y0", "x1", "y1")
 
 
+@query("sc8_morton_store", X + "SELECT id, grp, x0, y0, x1, y1 FROM bx WHERE x0 <= 150 AND x1 >= 100 AND y0 <= 250 AND y1 >= 200")
+def morton_store(spark, d):
+    """The same box from a store along a Morton curve, of which only some files are opened."""
+    path = new_folder(spark, "store")
+    tile_store.write_store(boxes(spark, d), path, 16, 32)
+    return tile_store.read_store(spark, path, (100, 200, 150, 250))
+
+
 @query("vg3_vg4_vg5_buffers", X + "SELECT id, x0 - 5 AS gx0, y0 - 5 AS gy0, x1 + 5 AS gx1, y1 + 5 AS gy1, x0 + 2 AS sx0, y0 + 2 AS sy0, x1 - 2 AS sx1, y1 - 2 AS sy1, (x1 - x0) * (y1 - y0) AS area FROM bx")
 def buffers(spark, d):
     g, s = B.grown(B.box(), F.lit(5)), B.grown(B.box(), F.lit(-2))
@@ -448,6 +456,15 @@ def mosaic_stats(spark, d):
     return mosaics.mosaic_stats(mosaic_labelled(spark, d))
 
 
+@query("ag15_box_zones", MOSAIC.split(",\nreach(")[0] + f", {BX_SQL} SELECT id, count(*) AS n, round(avg(conf1_milli), 6) AS conf1_milli, round(avg(conf2_milli), 6) AS conf2_milli FROM v JOIN bx ON gc >= x0 AND gc < x1 AND gr >= y0 AND gr < y1 GROUP BY id")
+def box_zones(spark, d):
+    """Mean confidences over box zones of the mosaic, by look-ups in summed-area tables."""
+    values = ["conf1_milli", "conf2_milli"]
+    at = mosaics.placed(pixels(spark, d), tile_grid(spark, d), 32).select(F.col("gr").alias("r"), F.col("gc").alias("c"), *values)
+    found = zonal.box_means(boxes(spark, d), zonal.summed_areas(at, values, 32), values, 32)
+    return found.select("id", "n", *(F.round(v, 6).alias(v) for v in values))
+
+
 @query("rs12_mosaic_sizes_back", MOSAIC + " SELECT tile_id, r, c, count(*) OVER (PARTITION BY region) AS n_px FROM q")
 def mosaic_sizes_back(spark, d):
     return mosaics.sizes_back(mosaic_labelled(spark, d)).select("tile_id", "r", "c", "n_px")

@@ -296,10 +296,11 @@ def missing_tiles(spark, d):
     return files.missing_only(px.select("tile_id").distinct(), px.where("pred = 7"), ["tile_id"])
 
 
-@query("sk10_upsert", W + ", a AS (SELECT DISTINCT tile_id FROM px WHERE tile_id % 2 = 0), b AS (SELECT tile_id, count(*) AS n FROM px WHERE tile_id % 3 = 0 GROUP BY tile_id) SELECT tile_id, coalesce(n, 0) AS n FROM a FULL JOIN b USING (tile_id)")
+@query("sk10_upsert", W + ", a AS (SELECT DISTINCT tile_id FROM px), b AS (SELECT tile_id, count(*) AS n FROM px WHERE pred = 0 GROUP BY tile_id) SELECT tile_id, coalesce(n, 0) AS n FROM a FULL JOIN b USING (tile_id)")
 def upsert(spark, d):
+    """The names of all tiles, with the new counts of those that have pixels of class 0."""
     px = pixels(spark, d)
-    return files.upsert_names(px.where("tile_id % 2 = 0").select("tile_id").distinct(), px.where("tile_id % 3 = 0").groupBy("tile_id").agg(F.count("*").alias("n")), "tile_id").na.fill(0)
+    return files.upsert_names(px.select("tile_id").distinct(), px.where("pred = 0").groupBy("tile_id").agg(F.count("*").alias("n")), "tile_id").na.fill(0)
 
 
 # tiles
