@@ -2,10 +2,12 @@
 
 Two smoothed variable-order Markov models, of accepted and of rejected URLs, learn from all URLs that a rule judges. A
 character's probability interpolates the contexts of 0 to ORDER characters, each by how many different characters were
-seen after it (Witten-Bell); a context never seen passes the shorter one's on, so the order varies. Contexts and
-n-grams are known by 64-bit hashes: the counts come from all of the corpus, summed by hash across the cluster, and the
-tables on the executors hold each n-gram that was seen, so they grow with the corpus. The mean difference of log-likelihoods per character is compared with a
-threshold calibrated on judged URLs that were held out from a model of the others.
+seen after it (Witten-Bell); a context never seen passes the shorter one's on, so the order varies. Contexts and n-grams
+are known by 64-bit hashes. Counts stay tables sharded by n-gram and by context; the distinct n-grams of all URLs join
+them order by order, each with the probability of the n-gram that is shorter by one character. The most frequent n-grams'
+likelihood ratios (a fixed number) go to all tasks, all others are joined to the URLs that have them, and only sums return.
+The mean difference of log-likelihoods per character is compared with a threshold calibrated on judged URLs that were held
+out from a model of the others.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, cut, in_arrow, scratch, slices
+from .common import LOWER, UPPER, cut, free_name, in_arrow, scratch, slices
 
 ORDER = 5
 #: Bytes of URLs that are worked on together: arrays take over a hundred bytes for each.
@@ -24,6 +26,8 @@ MOST_BYTES = 1 << 18
 HELD = 5
 #: Bins of the calibration's histogram, over differences of -RANGE to RANGE a character.
 BINS, RANGE = 4001, 4.0
+#: N-grams whose likelihood ratios go to every task (24 bytes each).
+MOST_FREQUENT = 131_072
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -82,13 +86,36 @@ def hashes(urls: list[str], coding: str = "utf-8") -> tuple[np.ndarray, np.ndarr
     return contexts, grams, begins
 
 
+def _blocks(urls: list[str]):
+    """Hashes of contexts and n-grams by order, and the number of the URL of each byte, for some MOST_BYTES at a time; a URL
+    that is longer comes in stretches, which begin with the ORDER bytes before them."""
+    base = 0
+    for (part,) in _stretches(urls):
+        if len(part) == 1 and len(part[0]) > MOST_BYTES:
+            for contexts, grams in _parts(part[0]):
+                yield contexts, grams, np.full(contexts.shape[1], base)
+        elif part:
+            contexts, grams, begins = hashes(part)
+            yield contexts, grams, base + np.repeat(np.arange(len(part)), np.diff(np.append(begins, contexts.shape[1])))
+        base += len(part)
+
+
+def _parts(url: str):
+    data = url.encode()
+    for a in range(0, len(data) + 1, MOST_BYTES):
+        before = min(a, ORDER)
+        contexts, grams, _ = hashes([data[a - before : a + MOST_BYTES].decode("latin-1")], "latin-1")
+        own = slice(before, None if a + MOST_BYTES > len(data) else -1)  # the byte 0 stands behind the last stretch alone
+        yield contexts[:, own], grams[:, own]
+
+
 def _counted(batches):
     """n of each (label, context, gram), and learnt: how many of these are of URLs that aren't held out."""
     for batch in slices(batches, most_bytes=MOST_BYTES):
-        for urls, labels, held in _stretches(*(c.to_pylist() for c in batch.columns)):
-            contexts, grams, begins = hashes(urls)
-            sizes = np.diff(np.append(begins, contexts.shape[1]))
-            label, out = np.repeat(np.asarray(labels, np.int64), sizes), np.repeat(np.asarray(held, bool), sizes)
+        urls, labels, held = (c.to_pylist() for c in batch.columns)
+        labels, held = np.asarray(labels, np.int64), np.asarray(held, bool)
+        for contexts, grams, url in _blocks(urls):
+            label, out = labels[url], held[url]
             for k in (0, 1):
                 # a gram's hash has its context's in it
                 own = label == k
@@ -121,7 +148,8 @@ def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Ratio:
-    """For each of the two models: sorted hashes of n-grams with counts, of contexts with totals and distinct followers."""
+    """The models as local tables, for URLs that are scored outside of Spark; they hold every n-gram that was seen, so this is
+    for rule sets that judge few URLs. For each of the two models: sorted hashes of n-grams with counts, of contexts with totals and distinct followers."""
 
     def __init__(self):
         none = np.zeros(0, np.int64), np.zeros(0, np.float32)
@@ -144,13 +172,8 @@ class Ratio:
 
     def _long(self, url: str) -> float:
         """A URL longer than MOST_BYTES, in stretches that begin with the ORDER bytes before them."""
-        data, total = url.encode(), 0.0
-        for a in range(0, len(data) + 1, MOST_BYTES):
-            before = min(a, ORDER)
-            contexts, grams, _ = hashes([data[a - before : a + MOST_BYTES].decode("latin-1")], "latin-1")
-            own = slice(before, None if a + MOST_BYTES > len(data) else -1)  # the byte 0 stands behind the last stretch alone
-            total += float(self._logs(contexts[:, own], grams[:, own]).sum())
-        return total / (len(data) + 1)
+        total = sum(float(self._logs(contexts, grams).sum()) for contexts, grams in _parts(url))
+        return total / (len(url.encode()) + 1)
 
     def _logs(self, contexts: np.ndarray, grams: np.ndarray) -> np.ndarray:
         logs = []
@@ -208,9 +231,13 @@ def _scored(df: DataFrame, ratio: Ratio) -> DataFrame:
 
 
 def calibrate(ratio: Ratio, judged: DataFrame) -> float:
+    """threshold() of judged(url, allowed), scored by local tables."""
+    return threshold(_scored(judged.where("url IS NOT NULL").select("url", "allowed"), ratio))
+
+
+def threshold(rows: DataFrame) -> float:
     """The difference that parts accepted and rejected URLs with the least mean error rate: the middle of the best
-    stretch of a histogram over all of judged(url, allowed). 0 if all have one verdict."""
-    rows = _scored(judged.where("url IS NOT NULL").select("url", "allowed"), ratio)
+    stretch of a histogram over all of rows(allowed, difference). 0 if all have one verdict."""
     place = F.least(F.greatest(F.round((F.col("difference") + RANGE) / (2 * RANGE) * (BINS - 1)), F.lit(0)), F.lit(BINS - 1)).cast("int")
     n = np.zeros((2, BINS))
     for r in rows.groupBy("allowed", place.alias("bin")).agg(F.count("*").alias("n")).collect():
@@ -222,6 +249,82 @@ def calibrate(ratio: Ratio, judged: DataFrame) -> float:
     return float((best[len(best) // 2] + 0.5) / (BINS - 1) * 2 * RANGE - RANGE)
 
 
+#: The four models: accepted and rejected URLs, of all that rules judge and of those that aren't held out.
+MODELS = [(1, "n"), (0, "n"), (1, "learnt"), (0, "learnt")]
+
+
+def _distinct_grams(batches):
+    """Each n-gram of some URLs once, by order, with its context and the n-gram shorter by its first character; n: how often."""
+    for batch in slices(batches, most_bytes=MOST_BYTES):
+        for contexts, grams, _ in _blocks(batch.column(0).to_pylist()):
+            for k in range(ORDER + 1):
+                found, first, n = np.unique(grams[k], return_index=True, return_counts=True)
+                parent = grams[k - 1][first] if k else np.zeros(len(found), np.int64)
+                yield pa.RecordBatch.from_pydict({"place": pa.array(np.full(len(found), k, np.int32)), "gram": pa.array(found), "context": pa.array(contexts[k][first]), "parent": pa.array(parent), "n": pa.array(n.astype(np.int64))})
+
+
+def ratios(urls: DataFrame, counts: DataFrame) -> DataFrame:
+    """gram, n, d_n, d_learnt: for each n-gram of the highest order in urls(url) how often it is there, and the log-likelihood
+    of its last character as accepted, less that as rejected, by the models of all judged URLs and of those not held out.
+
+    No context and no n-gram is a hot key: an n-gram has at most 257 that are longer by one character."""
+    of = lambda label, n: F.when((F.col("label") == label) & (F.col(n) > 0), F.col(n))
+    by_gram = cut(counts.groupBy("gram").agg(*(F.sum(of(*m)).alias(f"c{i}") for i, m in enumerate(MODELS))), "grams")
+    by_context = cut(counts.groupBy("context").agg(*(F.sum(of(*m)).alias(f"t{i}") for i, m in enumerate(MODELS)), *(F.count(of(*m)).alias(f"f{i}") for i, m in enumerate(MODELS))), "totals")
+    rows = in_arrow(urls.select("url"), _distinct_grams, "place int, gram long, context long, parent long, n long")
+    every = cut(rows.groupBy("place", "gram", "context", "parent").agg(F.sum("n").alias("n")), "distinct")
+    shorter = None
+    for k in range(ORDER + 1):
+        own = every.where(F.col("place") == k).select("gram", "context", "parent", "n").join(by_gram, "gram", "left").join(by_context, "context", "left")
+        if shorter is None:
+            own = own.withColumns({f"p{i}": F.lit(1 / 257) for i in range(4)})
+        else:
+            own = own.join(shorter.drop("n").withColumnRenamed("gram", "parent"), "parent")
+        p = {}
+        for i in range(4):
+            count, total, followers, before = F.coalesce(f"c{i}", F.lit(0)), F.coalesce(f"t{i}", F.lit(0)), F.coalesce(f"f{i}", F.lit(0)), F.col(f"p{i}")
+            p[f"q{i}"] = F.when(followers > 0, (count + followers * before) / F.greatest(total + followers, F.lit(1))).otherwise(before)
+        shorter = cut(own.select("gram", "n", *(e.alias(c.replace("q", "p")) for c, e in p.items())), "shorter")
+    return shorter.select("gram", "n", (F.log("p0") - F.log("p1")).alias("d_n"), (F.log("p2") - F.log("p3")).alias("d_learnt"))
+
+
+def _summed(frequent):
+    """Of rows (k1, k2, url): one with the sums over frequent n-grams and the URL's length, and one for each other n-gram."""
+    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("gram", pa.int64()), ("times", pa.int64()), ("d_n", pa.float64()), ("d_learnt", pa.float64())])
+
+    def run(batches):
+        known, d_n, d_learnt = frequent.value
+        for batch in slices(batches, most_bytes=MOST_BYTES):
+            k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            size, sums = np.zeros(len(k1), np.int64), np.zeros((2, len(k1)))
+            for _, grams, url in _blocks(batch.column(2).to_pylist()):
+                at, seen = _places(known, grams[ORDER]) if len(known) else (np.zeros(len(url), int), np.zeros(len(url), bool))
+                size += np.bincount(url, minlength=len(k1))
+                for total, d in zip(sums, (d_n, d_learnt), strict=True):
+                    total += np.bincount(url[seen], d[at[seen]], len(k1))
+                pair, times = np.unique(np.stack([url[~seen], grams[ORDER][~seen]]), axis=1, return_counts=True)
+                u = pair[0]
+                yield pa.RecordBatch.from_arrays([pa.array(k1[u]), pa.array(k2[u]), pa.array(pair[1]), pa.array(times.astype(np.int64)), pa.nulls(len(u), pa.float64()), pa.nulls(len(u), pa.float64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.nulls(len(k1), pa.int64()), pa.array(size), pa.array(sums[0]), pa.array(sums[1])], schema=schema)
+
+    return run
+
+
+def differences(urls: DataFrame, counts: DataFrame) -> DataFrame:
+    """k1, k2, d_n, d_learnt of urls(k1, k2, url), distinct ones: the mean difference a byte by both pairs of models."""
+    values = ratios(urls, counts)
+    top = values.orderBy(F.desc("n"), "gram").limit(MOST_FREQUENT).select("gram", "d_n", "d_learnt").toArrow()
+    known, d_n, d_learnt = (top.column(c).to_numpy() for c in ("gram", "d_n", "d_learnt"))
+    by = np.argsort(known)
+    frequent = urls.sparkSession.sparkContext.broadcast((known[by], d_n[by], d_learnt[by]))
+    rows = cut(in_arrow(urls.select("k1", "k2", "url"), _summed(frequent), "k1 long, k2 long, gram long, times long, d_n double, d_learnt double"), "summed")
+    whole = rows.where("gram IS NULL").select("k1", "k2", F.col("times").alias("size"), "d_n", "d_learnt")
+    rest = rows.where("gram IS NOT NULL").select("k1", "k2", "gram", "times").join(values.select("gram", "d_n", "d_learnt"), "gram")
+    more = rest.select("k1", "k2", F.lit(0).cast("long").alias("size"), (F.col("times") * F.col("d_n")).alias("d_n"), (F.col("times") * F.col("d_learnt")).alias("d_learnt"))
+    sums = whole.unionByName(more).groupBy("k1", "k2").agg(F.sum("size").alias("size"), F.sum("d_n").alias("d_n"), F.sum("d_learnt").alias("d_learnt"))
+    return sums.select("k1", "k2", (F.col("d_n") / F.col("size")).alias("d_n"), (F.col("d_learnt") / F.col("size")).alias("d_learnt"))
+
+
 def judge_urls(pages: DataFrame, rules: list[tuple[str, bool]]) -> DataFrame:
     """pages(url, ...) with host, path, rule, verdict ("allow" or "block") and difference.
 
@@ -233,15 +336,23 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, bool]]) -> DataFrame:
     clean = pages.drop("host", "path", "rule", "verdict", "difference", "allowed")
     url = F.col("url").cast("string")
     ruled = with_rules(clean.withColumns({"host": host_of(url), "path": path_of(url)}), rules)
-    judged = ruled.where("allowed IS NOT NULL").select("url", "allowed")
-    with scratch(pages.sparkSession):
+    judged = ruled.where("allowed IS NOT NULL").select(url.alias("url"), "allowed")
+    text = F.coalesce(url, F.lit(""))
+    k1, k2 = free_name(ruled, "k1"), free_name(ruled, "k2")
+    keyed = ruled.withColumns({k1: F.xxhash64(text), k2: F.xxhash64(F.lit(1), text)})
+    with scratch(pages.sparkSession) as kept:
         counts = counted(judged)
-        ratio = _tables(counts, "n")
-        both = all(len(g[0]) for g in ratio.grams)
-        ratio.threshold = calibrate(_tables(counts, "learnt"), judged.where(is_held(F.col("url")))) if both else -RANGE
-    scored = _scored(ruled, ratio)
-    allowed = F.coalesce(F.col("allowed"), (F.col("difference") >= ratio.threshold) if both else F.lit(True))
-    return scored.withColumn("verdict", F.when(allowed, "allow").otherwise("block")).drop("allowed")
+        both = counts.select("label").distinct().count() == 2
+        distinct = cut(keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), text.alias("url")).groupBy("k1", "k2").agg(F.first("url").alias("url")), "urls")
+        found = cut(differences(distinct, counts), "differences").withColumnsRenamed({"k1": k1, "k2": k2})
+        kept.append(found)
+        at = 0.0
+        if both:
+            held = keyed.where(F.col("allowed").isNotNull() & url.isNotNull() & is_held(url)).select(k1, k2, "allowed").join(found, [k1, k2])
+            at = threshold(held.select("allowed", F.col("d_learnt").alias("difference")))
+    scored = keyed.join(found.select(k1, k2, F.col("d_n").alias("difference")), [k1, k2])
+    allowed = F.coalesce(F.col("allowed"), (F.col("difference") >= at) if both else F.lit(True))
+    return scored.withColumn("verdict", F.when(allowed, "allow").otherwise("block")).select(*clean.columns, "host", "path", "rule", "difference", "verdict")
 
 
 def url_report(pages: DataFrame, rules: list[tuple[str, bool]]) -> DataFrame:
