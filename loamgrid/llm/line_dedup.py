@@ -4,7 +4,7 @@ Each line of enough characters becomes a 128-bit hash of its key with its docume
 The hashes are range-partitioned and sorted by hash, document and position, and a pass in that order finds how many
 documents have a key and which of them is the last. A frequent key is dealt over many ranges: a salt made of the
 document follows the hash of those keys that a mergeable frequent-items sketch names, and the counts of such keys (at
-most HOT_KEYS) are summed up across their salts. The sketch decides only where rows go, never what is counted.
+most MOST_HOT_KEYS) are summed up across their salts. The sketch decides only where rows go, never what is counted.
 
 The lines to drop return as runs (lines kept, lines dropped) for each document; joining these with the documents rebuilds
 texts. Two 64-bit hashes with different seeds stand for a key, so two keys are taken for one with a chance of about
@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, LOWER, UPPER, cut, free_name, text_column
 
-#: Keys that are dealt by document too, and into how many parts.
-HOT_KEYS, HOT_PARTS = 256, 1024
-#: A key is hot from this share of all lines on.
-HOT_SHARE = 1 / 2000
+#: Keys that are dealt by document too, at least and at most, and into how many parts.
+HOT_KEYS, MOST_HOT_KEYS, HOT_PARTS = 256, 100_000, 1024
+#: Lines of a key that one task takes: the number of hot keys follows the lines, so that none has more unless it is hot.
+TASK_LINES = 1_000_000
+#: A key is hot from this share of all lines for each hot key on.
+HOT_SHARE = 1 / 8
 
 
 def line_key(line: Column) -> Column:
@@ -41,8 +43,10 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
     """doc_id, h, pos of the lines that go."""
     spark = docs.sparkSession
     hashes = cut(line_hashes(docs, min_chars), "lines")
-    top = hashes.agg(F.expr(f"approx_top_k(k1, {HOT_KEYS}, {16 * HOT_KEYS})").alias("top"), F.count("*").alias("n")).first()
-    hot = [r["item"] for r in top["top"] or [] if r["count"] > max(1000, top["n"] * HOT_SHARE)]
+    n = hashes.count()
+    keys = int(min(MOST_HOT_KEYS, max(HOT_KEYS, n * HOT_SHARE / TASK_LINES)))
+    top = hashes.agg(F.expr(f"approx_top_k(k1, {keys}, {min(1_000_000, 16 * keys)})").alias("top")).first()
+    hot = [r["item"] for r in top["top"] or [] if r["count"] > max(1000, n * HOT_SHARE / keys)]
     is_hot = F.col("k1").isin(hot) if hot else F.lit(False)
     salted = hashes.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("doc_id"), F.lit(HOT_PARTS))).otherwise(F.lit(0)).cast("int"))
     # the windows' groups lie within one range of (k1, salt), so they need no further exchange
