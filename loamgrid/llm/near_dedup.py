@@ -313,8 +313,9 @@ def _prefixes(words: int, percent: int, common):
         for batch in slices(batches):
             found = [prefix(shingle_set(t, words), percent, hashes, rank).view(np.int64) for t in batch.column(3).to_pylist()]
             each = np.repeat(np.arange(batch.num_rows), [len(f) for f in found])
-            rows = batch.take(pa.array(each))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), *rows.columns[:3]], names=["key", "cid", "root", "n_shingles"])
+            # texts stay behind
+            rows = [batch.column(k).take(pa.array(each)) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), *rows], names=["key", "cid", "root", "n_shingles"])
 
     return run
 
