@@ -236,3 +236,25 @@ def test_kept_equals_fences_of_exact_quartiles_and_groups_differ(spark):
         by_lang.setdefault((lang, m), set()).add(round(hi[1], 9))
     assert any(len(v) > 1 for v in by_lang.values())
 
+
+
+@pytest.mark.parametrize("frequent", [0, 40, 131_072])
+def test_sharded_ratios_equal_local_tables(spark, monkeypatch, frequent):
+    """Verdicts and differences of the joins, whatever number of n-grams is sent out, and those of the models as local tables."""
+    monkeypatch.setattr(url_filter, "MOST_FREQUENT", frequent)
+    monkeypatch.setattr(url_filter, "MOST_BYTES", 256)
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdé/-") for _ in range(n))
+    urls = [f"http://{word(4)}{rng.choice(['.net/de/', '.com/en/', '.org/', '.fr/'])}{word(rng.choice([3, 9, 400]))}" for _ in range(150)] + [None, "", "x"]
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate([*urls, *urls[:20]])], "page_id long, url string").repartition(4)
+    got = url_filter.judge_urls(pages, RULES).collect()
+    judged = spark.createDataFrame([(r.url, r.rule is not None and dict(RULES)[r.rule]) for r in got if r.rule], "url string, allowed boolean")
+    counts = url_filter.counted(judged)
+    ratio = url_filter._tables(counts, "n")
+    at = url_filter.calibrate(url_filter._tables(counts, "learnt"), judged.where(url_filter.is_held(F.col("url"))))
+    want = ratio.differences([r.url or "" for r in got])
+    assert len(got) == len(urls) + 20
+    for r, d in zip(got, want, strict=True):
+        assert r.difference == pytest.approx(d, abs=1e-5)
+        if not r.rule and abs(d - at) > 1e-4:
+            assert r.verdict == ("allow" if d >= at else "block")

@@ -254,3 +254,64 @@ def test_repetitive_texts_are_searched_in_portions(monkeypatch):
     monkeypatch.setattr(decontam.Items, "_search", lambda self, coded, at, entries, best: sizes.append(len(coded)) or (search(self, coded, at, entries, best) if len(sizes) < 3 else None))
     items.matches(text)
     assert len(sizes) > 5  # 18,020 words, in portions
+
+
+# crowded buckets
+
+
+def template_texts(n, seed=1, shared=120, own=40):
+    """Texts of one template, which is about three quarters of each: similarities of about 0.6."""
+    rng = random.Random(seed)
+    template = [f"t{k}" for k in range(shared)]
+    return [" ".join(template + [f"o{rng.randrange(10**9)}" for _ in range(own)]) for _ in range(n)]
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(4)
+    common = np.sort(rng.integers(0, 1 << 60, 50).astype(np.uint64))
+    rank = rng.permutation(50)
+    met = 0
+    for _ in range(300):
+        n = int(rng.integers(1, 60))
+        base = np.unique(np.concatenate([rng.choice(common, n), rng.integers(0, 1 << 60, n).astype(np.uint64)]))
+        other = np.unique(np.where(rng.random(len(base)) < rng.uniform(0, 0.2), rng.integers(0, 1 << 60, len(base)).astype(np.uint64), base))
+        same = len(np.intersect1d(base, other))
+        a, b = (near_dedup.prefix(s, 80, common, rank) for s in (base, other))
+        assert set(a.tolist()) <= set(base.tolist()) and len(a) == len(base) - -(-80 * len(base) // 100) + 1
+        if 100 * same >= 80 * (len(base) + len(other) - same):
+            assert set(a.tolist()) & set(b.tolist())
+            met += 1
+    assert met > 50
+
+
+@pytest.mark.parametrize("texts", [noisy_group(90, 120, seed=8), template_texts(60) + noisy_group(40, 160, seed=9), noisy_group(60, 30, noise=(0.05, 0.1))], ids=["noisy", "template", "short"])
+def test_crowded_buckets_equal_brute_force(spark, monkeypatch, texts):
+    monkeypatch.setattr(near_dedup, "MOST_COMPARISONS", 1)
+    rows = list(enumerate(texts))
+    assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5) == brute(rows, 5)
+
+
+def test_rows_compared_grow_with_texts_of_one_template(spark, monkeypatch):
+    """Twice the texts of one template bring at most 2.2 times the rows to the comparison by signatures."""
+    inner, seen = near_dedup._sieve, []
+
+    def watched(words, bounds):
+        run, count = inner(words, bounds), seen[-1]
+
+        def counted(batches):
+            def each():
+                for batch in batches:
+                    count.add(batch.num_rows)
+                    yield batch
+
+            yield from run(each())
+
+        return counted
+
+    monkeypatch.setattr(near_dedup, "_sieve", watched)
+    for n in (750, 1500, 3000):
+        seen.append(spark.sparkContext.accumulator(0))
+        docs = spark.createDataFrame(list(enumerate(template_texts(n))), "doc_id long, text string").repartition(4)
+        assert near_dedup.near_duplicates(docs).where("kept").count() == n
+    rows = [max(1000, c.value) for c in seen]
+    assert rows[1] <= 2.2 * rows[0] and rows[2] <= 2.2 * rows[1]
