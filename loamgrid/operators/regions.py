@@ -334,15 +334,16 @@ def rectangles(px: DataFrame, keys: list[str], edge_dm: str = "px_dm") -> DataFr
     return best.select(*keys, (long * F.col("edge")).alias("long_axis"), F.round(short * F.col("edge"), 9).alias("short_axis"), F.round(short / long, 9).alias("axis_ratio"), F.round(F.col("n") / (long * short), 9).alias("rectangularity"))
 
 
-def merge_small(px: DataFrame, value: str, least_px: int, key: str = "tile_id") -> DataFrame:
-    """px with the column merged: regions of fewer pixels take the class of the neighbour with the longest shared
-    boundary (then the smallest label), all at once."""
+def merge_small(px: DataFrame, value: str, least: float, key: str = "tile_id", edge_dm: str | None = None) -> DataFrame:
+    """px with the column merged: regions of fewer than `least` pixels, or with edge_dm (a column with a pixel's edge in dm)
+    m2, take the class of the neighbour with the longest shared boundary (then the smallest label), all at once."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         cls = dense(pdf, value)
         labels = label4(cls)
         ids, n = np.unique(labels, return_counts=True)
-        small = set(ids[n < least_px].tolist())
+        size = n * int(pdf[edge_dm].max()) ** 2 / 100 if edge_dm else n
+        small = set(ids[size < least].tolist())
         shared: dict[tuple[int, int], int] = defaultdict(int)
         for a, b in ((labels[1:], labels[:-1]), (labels[:, 1:], labels[:, :-1])):
             for x, y in zip(a[a != b].tolist(), b[a != b].tolist(), strict=True):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
-from ..operators import boundaries, changes, grid, mosaics, overlay, regions, tiles, zonal
+from ..operators import arcs, boundaries, changes, grid, mosaics, overlay, regions, tiles, zonal
 from ..sources import files, tile_store, vectors
 from ..sources.fixtures import BX_SQL, GRID_SQL, PX_SQL, boxes, pixels, tile_grid
 from ..sources.shared import cut, new_folder
@@ -504,14 +504,15 @@ def rotated(spark, d):
     return regions.rectangles(labelled(spark, d), ["tile_id", "region"])
 
 
-SMALL = EDGES.replace("CASE WHEN tile_id % 2 = 0 THEN CAST((y1 - 1) * 17 + y2 AS INT) ELSE y1 END AS code", "pred AS code") + """, n AS (SELECT tile_id, region, code, count(*) AS n FROM q GROUP BY ALL),
+SMALL = EDGES.replace("CASE WHEN tile_id % 2 = 0 THEN CAST((y1 - 1) * 17 + y2 AS INT) ELSE y1 END AS code", "pred AS code") + """, n AS (SELECT tile_id, region, code, CAST(count(*) AS DOUBLE) * max(px_dm) * max(px_dm) / 100 AS n FROM q GROUP BY ALL),
 w AS (SELECT e.tile_id, e.region, arg_max(e.neighbour, e.shared_px * 10000000000 - e.neighbour) AS winner FROM e JOIN n USING (tile_id, region) WHERE n.n < 3 GROUP BY e.tile_id, e.region)
 SELECT q.tile_id, q.r, q.c, q.code AS pred, coalesce(o.code, q.code) AS merged FROM q LEFT JOIN w ON w.tile_id = q.tile_id AND w.region = q.region LEFT JOIN n o ON o.tile_id = w.tile_id AND o.region = w.winner"""
 
 
 @query("rs23_merged_small_regions", SMALL)
 def merged_small(spark, d):
-    return regions.merge_small(pixels(spark, d).select("tile_id", "r", "c", "pred"), "pred", 3)
+    """Regions below 3 m2 take the class of the neighbour with the longest shared boundary."""
+    return regions.merge_small(pixels(spark, d).select("tile_id", "r", "c", "px_dm", "pred"), "pred", 3, edge_dm="px_dm").drop("px_dm")
 
 
 @query("rs23_simplified_outlines")
@@ -519,3 +520,16 @@ def simplified(spark, d):
     """Small regions merged, then the outlines of all regions with fewer corners."""
     px = regions.merge_small(pixels(spark, d).select("tile_id", "r", "c", "px_dm", "pred"), "pred", 3)
     return regions.outlines(regions.polygonize(px, "merged"), ["tile_id", "region"], tolerance_px=1.0)
+
+
+@query("rs23_outline_areas", REGIONS + " SELECT tile_id, CAST(region AS BIGINT) AS region, CAST(count(*) AS DOUBLE) AS area_px FROM q GROUP BY tile_id, region")
+def outline_areas(spark, d):
+    """Areas of regions by their rings, holes taken off."""
+    return arcs.shared_outlines(labelled(spark, d), ["tile_id"]).select("tile_id", "region", "area_px")
+
+
+@query("rs23_shared_outlines")
+def shared_outlines(spark, d):
+    """Regions below 3 m2 merged, then rings with holes of all regions, of which neighbours share simplified borders."""
+    px = regions.merge_small(pixels(spark, d).select("tile_id", "r", "c", "px_dm", "pred"), "pred", 3, edge_dm="px_dm")
+    return arcs.shared_outlines(regions.polygonize(px, "merged"), ["tile_id"], tolerance_px=1.0)
