@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classes as K
 from ..operators import changes, grid, tiles
-from ..sources import files
+from ..sources import files, rasters, shared
 from ..sources.fixtures import BANDS_SQL, GRID_SQL, LOG_SQL, LOGITS_SQL, PX_SQL, bands, logits, pixels, tile_grid, train_log
 from .evaluation import NAMES, SUPER
 from .range_join import halo, predicate
@@ -409,3 +409,13 @@ def clip_normalise(spark, d):
 
 
 __all__ = ["grid"]
+
+
+@query("sk1_raster_files", W + "SELECT tile_id, r, c, pred FROM px WHERE r >= 8 AND r < 21 AND c >= 3 AND c < 30")
+def raster_files(spark, d):
+    """Tiles written as raster files, and a window of all of them read back: only the strips that it meets."""
+    path = shared.new_folder(spark, "rasters")
+    encoded = files.encode_tiles(pixels(spark, d), "pred", 32, empty=255)
+    rasters.write_rasters(encoded.withColumn("name", F.concat(F.col("tile_id").cast("string"), F.lit(".tif"))), path, rows_per_strip=8)
+    found = rasters.read_rasters(spark, path, (8, 21, 3, 30)).where("value <> 255")
+    return found.select(F.regexp_extract("name", r"^(\d+)", 1).cast("long").alias("tile_id"), "r", "c", F.col("value").alias("pred"))
