@@ -236,7 +236,8 @@ def _values(column: pa.Array) -> list:
 
 
 def _units(work):
-    """work(queries, members, unit) for each unit of rows (key, band, qb, mb, query, ...), in order of key, qb and mb."""
+    """work(queries, members, unit) for each unit of rows (key, band, qb, mb, query, ...), in order of key, band, qb and mb.
+    query: 0 for a member, 1 for a query, 2 for both."""
 
     def run(batches):
         unit, rows = None, [[], []]
@@ -247,7 +248,8 @@ def _units(work):
                     if unit is not None and rows[0] and rows[1]:
                         yield work(rows[1], rows[0], unit)
                     unit, rows = (key, band, qb, mb), [[], []]
-                rows[query].append(tuple(row))
+                for which in (0, 1) if query == 2 else (query,):
+                    rows[which].append(tuple(row))
         if unit is not None and rows[0] and rows[1]:
             yield work(rows[1], rows[0], unit)
 
@@ -264,7 +266,8 @@ def _sieve(words: int, bounds: list[tuple[int, int]]):
     def work(asked: list[tuple], members: list[tuple], unit: tuple) -> pa.RecordBatch:
         queries, all_ = _Block(asked, words), _Block(members, words)
         found = _wanted(queries, all_, unit[1], bounds)
-        rows = [(*unit, 1 - which, int(b.cids[k]), int(b.roots[k])) for which, (b, some) in enumerate(zip((queries, all_), found, strict=True)) for k in np.flatnonzero(some)]
+        asks, held = (dict(zip(b.cids[some].tolist(), b.roots[some].tolist(), strict=True)) for b, some in zip((queries, all_), found, strict=True))
+        rows = [(*unit, 2 if cid in asks and cid in held else int(cid in asks), cid, root) for cid, root in (held | asks).items()]
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
     return _units(work)
@@ -282,7 +285,7 @@ def _in_blocks(words: int, percent: int, bounds: list[tuple[int, int]]):
 
 
 #: A bucket of more comparisons than this is divided by prefixes. Classes and shingles of the sample that orders shingles.
-MOST_COMPARISONS, SAMPLE_CLASSES, MOST_COMMON = 1 << 14, 2000, 1 << 16
+MOST_COMPARISONS, SAMPLE_CLASSES, MOST_COMMON = 1 << 17, 2000, 1 << 16
 
 
 def prefix(shingles: np.ndarray, percent: int, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -351,10 +354,14 @@ def _in_units(placed: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame
     dealt = all_ if most is None else all_.where(F.col("work") <= most)
     block = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    single = (F.col("nb") == 1) & (F.col("nq") == 1)
+    # in one block a query is a row, which is a member as well
+    whole = dealt.where(single).select("key", "band", F.lit(0).alias("qb"), F.lit(0).alias("mb"), (2 * F.col("query")).alias("query"), "cid", "root")
+    dealt = dealt.where(~single)
     own = dealt.select("key", "band", every("nq").alias("qb"), block("nb").alias("mb"), F.lit(0).alias("query"), "cid", "root")
     asked = dealt.where("query = 1").select("key", "band", block("nq").alias("qb"), every("nb").alias("mb"), F.lit(1).alias("query"), "cid", "root")
     crowded = all_.where(F.lit(False) if most is None else F.col("work") > most).select("cid", "root", "n_shingles").distinct()
-    return own.unionByName(asked), crowded
+    return whole.unionByName(own).unionByName(asked), crowded
 
 
 def _rest_links(members: DataFrame, roots: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
