@@ -34,7 +34,7 @@ from .components import connected_components
 
 BANDS, ROWS, CHECKS, BATCH, MISS = 40, 6, 128, 16, 1e-7
 #: Classes of a block, and shingles of their texts (about 8 bytes each as sets, 6 as texts).
-BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+BLOCK, BLOCK_SHINGLES = 4096, 1 << 20
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _rng = np.random.default_rng(20240607)
 _A = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -285,7 +285,7 @@ def _in_blocks(words: int, percent: int, bounds: list[tuple[int, int]]):
 
 
 #: A bucket of more comparisons than this is divided by prefixes. Classes and shingles of the sample that orders shingles.
-MOST_COMPARISONS, SAMPLE_CLASSES, MOST_COMMON = 1 << 17, 2000, 1 << 16
+MOST_COMPARISONS, SAMPLE_CLASSES, MOST_COMMON = 1 << 23, 2000, 1 << 16
 
 
 def prefix(shingles: np.ndarray, percent: int, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
