@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.boxes import box
+from ..functions.boxes import BOX, box
+from .copies import last_of
 
 
 def crop_border(px: DataFrame, border: int, edge: int) -> DataFrame:
@@ -87,12 +88,14 @@ def mask_outside(px: DataFrame, inside: Column, value: str, nodata: int, invert:
 
 def rasterize(boxes: DataFrame, value: str, order: str, background: DataFrame, cell: int = 32) -> DataFrame:
     """background(r, c) with the value of the last box, by order, that holds the pixel's centre, else 0. Boxes are dealt
-    to cells of pixels; a pixel is in one cell."""
+    to cells of pixels; a pixel is in one cell. Of equal boxes only the last one is dealt, and cells are dealt to as many
+    tasks as shuffles have: their work is as pixels times boxes."""
     x0, y0, x1, y1 = box()
+    n = int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     span = lambda a, b: F.sequence(F.floor(a / cell), F.floor((b - 1) / cell))
-    dealt = boxes.where((x1 > x0) & (y1 > y0)).withColumn("cy", F.explode(span(y0, y1))).withColumn("cx", F.explode(span(x0, x1)))
+    dealt = last_of(boxes.where((x1 > x0) & (y1 > y0)), list(BOX), value, order).withColumn("cy", F.explode(span(y0, y1))).withColumn("cx", F.explode(span(x0, x1)))
     px = background.withColumns({"cy": F.floor(F.col("r") / cell), "cx": F.floor(F.col("c") / cell)})
-    hit = px.join(dealt, ["cy", "cx"]).where((F.col("c") + 0.5 > x0) & (F.col("c") + 0.5 < x1) & (F.col("r") + 0.5 > y0) & (F.col("r") + 0.5 < y1))
+    hit = px.repartition(n, "cy", "cx").join(dealt.repartition(n, "cy", "cx").hint("merge"), ["cy", "cx"]).where((F.col("c") + 0.5 > x0) & (F.col("c") + 0.5 < x1) & (F.col("r") + 0.5 > y0) & (F.col("r") + 0.5 < y1))
     won = hit.groupBy("r", "c").agg(F.max_by(value, order).alias(value))
     return background.join(won, ["r", "c"], "left").withColumn(value, F.coalesce(value, F.lit(0)))
 
