@@ -22,13 +22,21 @@ def _turn(side: Column, turns: dict[str, str]) -> Column:
     return F.translate(side, "".join(turns), "".join(turns.values()))
 
 
+def together(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows dealt by keys: windows and groups on keys and more need no further exchange.
+
+    The number of partitions is given, as pixels are small rows whose sides and arms are larger than Spark expects."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def sides(px: DataFrame, keys: list[str], region: str = "region") -> DataFrame:
     """keys, region, side, line, at, other: each side of a pixel behind which another region (other) or nothing (null) is.
 
-    px(keys, r, c, region): line is the row or column of the grid's line that the side lies on, at its place there."""
+    px(keys, r, c, region): line is the row or column of the grid's line that the side lies on, at its place there. The rows
+    are dealt by keys."""
     row, column = Window.partitionBy(*keys, "r").orderBy("c"), Window.partitionBy(*keys, "c").orderBy("r")
     beside = lambda f, w, c, step: F.when(f(c).over(w) == F.col(c) + step, f("region").over(w))
-    near = px.select(*keys, "r", "c", F.col(region).alias("region")).withColumns({"_L": beside(F.lag, row, "c", -1), "_R": beside(F.lead, row, "c", 1), "_T": beside(F.lag, column, "r", -1), "_B": beside(F.lead, column, "r", 1)})
+    near = together(px.select(*keys, "r", "c", F.col(region).alias("region")), keys).withColumns({"_L": beside(F.lag, row, "c", -1), "_R": beside(F.lead, row, "c", 1), "_T": beside(F.lag, column, "r", -1), "_B": beside(F.lead, column, "r", 1)})
     each = [F.struct(F.lit(s).alias("side"), line.cast("int").alias("line"), F.col(at).cast("int").alias("at"), F.col(f"_{s}").alias("other")) for s, line, at in (("L", F.col("c"), "r"), ("B", F.col("r") + 1, "c"), ("R", F.col("c") + 1, "r"), ("T", F.col("r"), "c"))]
     open_ = F.filter(F.array(*each), lambda e: e["other"].isNull() | (e["other"] != F.col("region")))
     return near.select(*keys, "region", F.inline(open_))

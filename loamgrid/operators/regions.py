@@ -361,11 +361,8 @@ def merge_small(px: DataFrame, value: str, least: float, key: str = "tile_id", e
     return px.groupBy(key).applyInPandas(run, px.withColumn("merged", F.lit(0)).schema)
 
 
-def simplify(points: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
-    """Douglas-Peucker: fewer points, none of those left out farther than tolerance from the line."""
-    p = np.asarray(points, float)
-    if len(p) < 3:
-        return points
+def kept_points(p: np.ndarray, tolerance: float) -> list[int]:
+    """Douglas-Peucker: which of the points stay, none of the others being farther than tolerance from the line."""
     keep, todo = {0, len(p) - 1}, [(0, len(p) - 1)]
     while todo:
         a, b = todo.pop()
@@ -378,7 +375,12 @@ def simplify(points: list[tuple[float, float]], tolerance: float) -> list[tuple[
         if off.max() > tolerance:
             keep.add(k)
             todo += [(a, k), (k, b)]
-    return [points[k] for k in sorted(keep)]
+    return sorted(keep)
+
+
+def simplify(points: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
+    """The points that kept_points() keeps."""
+    return points if len(points) < 3 else [points[k] for k in kept_points(np.asarray(points, float), tolerance)]
 
 
 def outlines(px: DataFrame, keys: list[str], tolerance_px: float = 0.0) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 
 from loamgrid.operators import arcs
 from loamgrid.operators import regions as R
+from loamgrid.sources import shared
 
 from .test_boundaries import fields, labelled, masks
 
@@ -66,3 +67,18 @@ def test_simplified_outlines_have_fewer_points(spark):
 def test_chains_are_ranked(spark):
     rows = [(k, None if k % 10 == 0 else k - 1) for k in range(57)]
     assert {r.node: r.rank for r in arcs.ranked(spark.createDataFrame(rows, "node long, before long")).collect()} == {k: k % 10 for k in range(57)}
+
+
+def test_rings_are_ordered_within_their_tile():
+    following = np.array([3, 4, 2, 0, 6, 1, 5])
+    head, rank = arcs.ring_order(following, np.array([5, 6, 0, 2, 1, 3, 4]))
+    assert head.tolist() == [3, 4, 2, 3, 4, 4, 4]
+    assert rank.tolist() == [1, 3, 0, 0, 0, 2, 1]
+
+
+def test_outlines_need_no_joins_and_no_tables_in_between(spark):
+    written = list(shared._folders)
+    found = arcs.shared_outlines(labelled(spark, fields()), ["tile_id"], 0.5)
+    assert shared._folders == written
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() > 0
