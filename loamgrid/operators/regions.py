@@ -11,6 +11,7 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -383,22 +384,37 @@ def simplify(points: list[tuple[float, float]], tolerance: float) -> list[tuple[
     return points if len(points) < 3 else [points[k] for k in kept_points(np.asarray(points, float), tolerance)]
 
 
-def outlines(px: DataFrame, keys: list[str], tolerance_px: float = 0.0) -> DataFrame:
-    """keys, corners (of the outer ring as traced) and ring: its points (x, y) in pixels, simplified, the first one repeated
-    at the end. A ring is cut at its first corner and at the one farthest from it, and both halves are simplified."""
+def _ring(r: np.ndarray, c: np.ndarray, tolerance_px: float) -> tuple[int, np.ndarray]:
+    """How many corners the outer ring of these pixels has, and its simplified points."""
+    r0, c0 = int(r.min()), int(c.min())
+    mask = np.zeros((int(r.max()) - r0 + 1, int(c.max()) - c0 + 1), bool)
+    mask[r - r0, c - c0] = True
+    edges = outline(mask)
+    ring = [(x + c0, y + r0) for k, (x, y, dx, dy) in enumerate(edges) if (dx, dy) != edges[k - 1][2:]]
+    far = max(range(len(ring)), key=lambda k: (ring[k][0] - ring[0][0]) ** 2 + (ring[k][1] - ring[0][1]) ** 2)
+    points = np.asarray([*ring, ring[0]], float)
+    return len(ring), points[kept_points(points[: far + 1], tolerance_px)[:-1] + [far + k for k in kept_points(points[far:], tolerance_px)]]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        r0, c0 = int(pdf.r.min()), int(pdf.c.min())
-        mask = np.zeros((int(pdf.r.max()) - r0 + 1, int(pdf.c.max()) - c0 + 1), bool)
-        mask[pdf.r - r0, pdf.c - c0] = True
-        edges = outline(mask)
-        ring = [(x + c0, y + r0) for k, (x, y, dx, dy) in enumerate(edges) if (dx, dy) != edges[k - 1][2:]]
-        far = max(range(len(ring)), key=lambda k: (ring[k][0] - ring[0][0]) ** 2 + (ring[k][1] - ring[0][1]) ** 2)
-        simple = simplify(ring[: far + 1], tolerance_px)[:-1] + simplify([*ring[far:], ring[0]], tolerance_px)
-        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, "corners": len(ring), "ring": [{"x": float(x), "y": float(y)} for x, y in simple]}])
 
-    kinds = dict(px.dtypes)
-    return px.select(*keys, "r", "c").groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", corners int, ring array<struct<x: double, y: double>>")
+def outlines(px: DataFrame, keys: list[str], tolerance_px: float = 0.0) -> DataFrame:
+    """keys, corners (of the outer ring as traced) and ring: its points (x, y) in pixels, simplified, the first one repeated
+    at the end. A ring is cut at its first corner and at the one farthest from it, and both halves are simplified.
+
+    A region's pixels are a list, and Python sees batches of regions: one is too small for a group of its own."""
+
+    @F.arrow_udf("corners int, ring array<struct<x: double, y: double>>")
+    def run(regions: pa.Array) -> pa.Array:
+        sizes, at = pc.list_value_length(regions).to_numpy(), regions.flatten().to_numpy()
+        ends = np.cumsum(sizes)
+        made = [_ring(at[a:b] >> 32, at[a:b] & 0xFFFFFFFF, tolerance_px) for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+        xy = np.concatenate([np.zeros((0, 2)), *(ring for _, ring in made)])
+        fields = [pa.field("x", pa.float64()), pa.field("y", pa.float64())]
+        points = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], fields=fields)
+        rings = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(ring) for _, ring in made)]), pa.int32()), points)
+        return pa.StructArray.from_arrays([pa.array([n for n, _ in made], pa.int32()), rings], ["corners", "ring"])
+
+    place = F.shiftleft(F.col("r").cast("long"), 32) + F.col("c")
+    return px.select(*keys, place.alias("_at")).groupBy(*keys).agg(F.collect_list("_at").alias("_at")).select(*keys, run("_at").alias("_o")).select(*keys, "_o.corners", "_o.ring")
 
 
 def soil_mask(px: DataFrame, value: str) -> DataFrame:

@@ -143,3 +143,17 @@ def test_outlines_are_simplified(spark):
     whole, less = (R.outlines(px, ["tile_id", "region"], t).first() for t in (0.0, 1.5))
     assert whole.corners == 8 and len(whole.ring) == 9 and len(less.ring) < 9
     assert whole.ring[0] == whole.ring[-1] and less.ring[0] == less.ring[-1]
+
+
+def test_outlines_of_many_regions_are_made_in_batches(spark):
+    f = np.random.default_rng(3).integers(0, 3, (20, 20))
+    labels = R.label4(f)
+    px = spark.createDataFrame([(7, int(labels[r, c]), int(r), int(c)) for r, c in np.ndindex(*f.shape)], "tile_id long, region long, r int, c int")
+    found = R.outlines(px, ["tile_id", "region"])
+    assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {r.region: (r.corners, [(p.x, p.y) for p in r.ring]) for r in found.collect()}
+    assert set(got) == set(np.unique(labels).tolist())
+    for i, (n, ring) in got.items():
+        edges = R.outline(labels == i)
+        want = [(x, y) for k, (x, y, dx, dy) in enumerate(edges) if (dx, dy) != edges[k - 1][2:]]
+        assert n == len(want) and ring == [*want, want[0]]
