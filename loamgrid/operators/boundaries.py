@@ -8,11 +8,13 @@ left turn is the boundary, as diagonal pixels aren't connected. A left turn is a
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import cut, scratch
-from .graphs import connected_components
 
 #: The arm that a left turn and that a right turn leads to.
 LEFT, RIGHT = {"L": "B", "B": "R", "R": "T", "T": "L"}, {"L": "T", "B": "L", "R": "B", "T": "R"}
@@ -56,41 +58,48 @@ def arms(rows: DataFrame, keys: list[str], by_other: bool = False) -> DataFrame:
 
 def corners(found: DataFrame, keys: list[str]) -> DataFrame:
     """keys, region, side, y, x, before, after, convex: each corner, where it lies, the lengths of the arms that meet there,
-    and the side of the arm before it."""
+    and the side of the arm before it. Arms meet by grouping their ends by place; a side ends or begins there once at most."""
     on = [*keys, "region"]
-    ends = found.select(*on, "side", F.col("ey").alias("y"), F.col("ex").alias("x"), F.col("length").alias("before"))
-    begins = found.select(*on, F.col("side").alias("next"), F.col("sy").alias("y"), F.col("sx").alias("x"), F.col("length").alias("after"))
-    left = F.col("next") == _turn(F.col("side"), LEFT)
-    turns = ends.join(begins, [*on, "y", "x"]).where(left | (F.col("next") == _turn(F.col("side"), RIGHT)))
-    best = turns.groupBy(*on, "side", "y", "x", "before").agg(F.max(F.struct(left.alias("convex"), "after")).alias("t"))
-    return best.select(*on, "side", "y", "x", "before", "t.after", "t.convex")
+    end = lambda y, x, ends: F.struct(F.col(y).alias("y"), F.col(x).alias("x"), F.lit(ends).alias("ends"))
+    ends = found.select(*on, "side", "length", F.inline(F.array(end("ey", "ex", True), end("sy", "sx", False))))
+    lengths = [F.max(F.when((F.col("side") == s) & (F.col("ends") == e), F.col("length"))).alias(f"_{s}{int(e)}") for s in LEFT for e in (True, False)]
+    begun = lambda s: F.col(f"_{s}0")
+    turn = lambda s: F.struct(F.lit(s).alias("side"), F.col(f"_{s}1").alias("before"), F.coalesce(begun(LEFT[s]), begun(RIGHT[s])).alias("after"), begun(LEFT[s]).isNotNull().alias("convex"))
+    met = ends.groupBy(*on, "y", "x").agg(*lengths)
+    turns = F.filter(F.array(*map(turn, LEFT)), lambda t: t["before"].isNotNull() & t["after"].isNotNull())
+    return met.select(*on, "y", "x", F.inline(turns)).select(*on, "side", "y", "x", "before", "after", "convex")
+
+
+def with_outer(every: DataFrame, keys: list[str]) -> DataFrame:
+    """corners() with the column outer: whether they are of their region's outer ring.
+
+    A ring's convex corners are four more than its others if it is the outer one, and four fewer if it is a hole's. A small
+    kernel on one tile's corners follows the rings by doubling pointers from corner to corner."""
+    kinds = dict(every.dtypes)
+    names = [*keys, "region", "side", "y", "x", "before", "after", "convex"]
+
+    def run(table: pa.Table) -> pa.Table:
+        y, x, after, convex = (table[k].to_numpy().astype(np.int64) for k in ("y", "x", "after", "convex"))
+        side = pc.index_in(table["side"], pa.array(list(LEFT))).to_numpy()
+        # the next arm, by its direction, leads to the next corner
+        ahead = (side + np.where(convex == 1, 1, 3)) % 4
+        to_y, to_x = y + np.array([1, 0, -1, 0])[ahead] * after, x + np.array([0, 1, 0, -1])[ahead] * after
+        own, height, width = np.unique(table["region"].to_numpy(), return_inverse=True)[1], int(y.max()) + 1, int(x.max()) + 1
+        place = lambda y, x, side: ((own * height + y) * width + x) * 4 + side
+        at = place(y, x, side)
+        order = np.argsort(at)
+        to = order[np.searchsorted(at[order], place(to_y, to_x, ahead))]
+        ring = np.arange(len(to))
+        for _ in range(len(to).bit_length()):
+            ring, to = np.minimum(ring, ring[to]), to[to]
+        return table.append_column("outer", pa.array(np.bincount(ring, np.where(convex == 1, 1, -1), len(ring))[ring] > 0))
+
+    return every.select(names).groupBy(*keys).applyInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in names) + ", outer boolean")
 
 
 def outer_corners(found: DataFrame, keys: list[str]) -> DataFrame:
-    """corners() of the outer ring of each region.
-
-    A region with h holes has 4 * (1 - h) more convex corners than others, so those without holes are known at once. Rings
-    of the others are the components of their arms, each linked to the next; the outer one begins at the upper left."""
-    on = [*keys, "region"]
-    with scratch(found.sparkSession) as kept:
-        every = cut(corners(found, keys), "corners")
-        holed = every.groupBy(*on).agg(F.sum(F.when(F.col("convex"), 1).otherwise(-1)).alias("turns")).where("turns < 4").select(*on)
-        some = cut(every.join(holed, on, "left_semi"), "holed")
-        kept.append(every)
-        if not some.limit(1).count():
-            return every
-        name = lambda side, y, x: F.xxhash64(*on, side, F.col(y).cast("int"), F.col(x).cast("int"))
-        arm = found.join(holed, on, "left_semi").select(*on, "sy", "sx", name("side", "sy", "sx").alias("node"), name("side", "ey", "ex").alias("end"))
-        # the corner at an arm's end says by its turn which arm is next, and that one begins there
-        after = F.when(F.col("convex"), _turn(F.col("side"), LEFT)).otherwise(_turn(F.col("side"), RIGHT))
-        to = some.select(name("side", "y", "x").alias("end"), F.xxhash64(*on, after, F.col("y").cast("int"), F.col("x").cast("int")).alias("v"))
-        links = arm.join(to, "end").select(F.col("node").alias("u"), "v")
-        rings = arm.join(connected_components(links), "node")
-        outer = rings.groupBy(*on).agg(F.min_by("root", F.struct("sy", "sx", "node")).alias("root"))
-        mine = rings.join(outer, [*on, "root"]).select("end")
-        chosen = cut(some.withColumn("end", name("side", "y", "x")).join(mine, "end", "left_semi").drop("end"), "outer")
-        kept.append(chosen)
-    return every.join(holed, on, "left_anti").unionByName(chosen)
+    """corners() of the outer ring of each region."""
+    return with_outer(corners(found, keys), keys).where("outer").drop("outer")
 
 
 def _large(px_edge_dm: Column, least_product: float) -> Column:

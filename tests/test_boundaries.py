@@ -5,6 +5,7 @@ import pytest
 
 from loamgrid.operators import boundaries
 from loamgrid.operators import regions as R
+from loamgrid.sources import shared
 
 KEYS = ["tile_id"]
 
@@ -95,3 +96,11 @@ def test_rectangles_equal_numpy(spark):
             assert (r.long_axis, r.short_axis, r.axis_ratio, r.rectangularity) == pytest.approx((2 * long, 2 * short, short / long, mask.sum() / (long * short)), abs=1e-8)
             n += 1
     assert n == len(got)
+
+
+def test_outer_corners_need_no_joins_and_no_tables_in_between(spark):
+    written = list(shared._folders)
+    found = boundaries.outer_corners(boundaries.arms(boundaries.sides(labelled(spark, fields()), KEYS), KEYS), KEYS)
+    assert shared._folders == written
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() > 0
