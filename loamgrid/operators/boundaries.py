@@ -110,19 +110,17 @@ def _large(px_edge_dm: Column, least_product: float) -> Column:
 def candidates(px: DataFrame, keys: list[str], edge_dm: str = "px_dm", most_perimeter: float = 400, least_fill: float = 0.4, least_product: float = 50) -> DataFrame:
     """keys, region, convex, perimeter_m, fill of the regions that look like cut-out squares: 1 to 4 convex right angles with
     large arms on the outer ring, a boundary (holes included) below most_perimeter m, and more than least_fill of the
-    bounding box. px(keys, r, c, region, edge_dm)."""
-    on = [*keys, "region"]
-    h, w = F.max("r") - F.min("r") + 1, F.max("c") - F.min("c") + 1
-    with scratch(px.sparkSession) as kept:
-        rows = cut(sides(px, keys), "sides")
-        shape = px.groupBy(*on).agg((F.count("*") / (h * w)).alias("fill"), F.max(edge_dm).alias("_edge"))
-        around = rows.groupBy(*on).agg(F.count("*").alias("n"))
-        likely = cut(shape.join(around, on).select(*on, "fill", "_edge", (F.col("n") * F.col("_edge") / 10.0).alias("perimeter_m")).where((F.col("fill") > least_fill) & (F.col("perimeter_m") < most_perimeter)), "likely")
-        # corners are looked for where a region can still be one
-        turns = outer_corners(arms(rows.join(likely.select(*on), on, "left_semi"), keys), keys).join(likely, on)
-        found = cut(turns.where(F.col("convex") & _large(F.col("_edge"), least_product)).groupBy(*on, "perimeter_m", "fill").agg(F.count("*").alias("convex")).where("convex < 5").select(*on, "convex", "perimeter_m", "fill"), "candidates")
-        kept.append(found)
-    return found
+    bounding box. px(keys, r, c, region, edge_dm): the pixels of a tile have one edge."""
+    on, tile = [*keys, "region"], [*keys, edge_dm]
+    turns = with_outer(corners(arms(sides(px, tile), tile), tile), tile)
+    # each arm ends at a corner, so lengths, extents and areas of regions are sums over corners
+    swept = F.when(F.col("side") == "R", F.col("x") * F.col("before")).when(F.col("side") == "L", -F.col("x") * F.col("before"))
+    h, w = F.max("y") - F.min("y"), F.max("x") - F.min("x")
+    shapes = turns.groupBy(*on).agg(
+        F.count_if(F.col("outer") & F.col("convex") & _large(F.col(edge_dm), least_product)).alias("convex"),
+        (F.sum("before") * F.max(edge_dm) / 10.0).alias("perimeter_m"), (F.sum(swept) / (h * w)).alias("fill"),
+    )
+    return shapes.where((F.col("convex") > 0) & (F.col("convex") < 5) & (F.col("fill") > least_fill) & (F.col("perimeter_m") < most_perimeter))
 
 
 def neighbours(px: DataFrame, keys: list[str], edge_dm: str = "px_dm", least_product: float = 50) -> DataFrame:

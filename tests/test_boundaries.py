@@ -104,3 +104,11 @@ def test_outer_corners_need_no_joins_and_no_tables_in_between(spark):
     assert shared._folders == written
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
     assert found.count() > 0
+
+
+def test_candidates_need_no_joins_and_no_tables_in_between(spark):
+    written = list(shared._folders)
+    found = boundaries.candidates(labelled(spark, fields()), KEYS, most_perimeter=30, least_fill=0.5, least_product=0.5)
+    assert shared._folders == written
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() > 0
