@@ -1,7 +1,7 @@
 """Raster files (TIFF: one band of bytes, in strips, plain or deflated) as a Spark data source that reads windows.
 
 A file is a row for its pixels when it is read, and a row (name, width, height, data) when it is written. The reader has a
-partition for each run of strips, so a window, given as options or by filters on the rows, opens only the strips that it
+partition for a number of runs of strips, so a window, given as options or by filters on the rows, opens only the strips that it
 meets. Files lie in a folder that driver and executors share; the writer renames them when the job commits.
 """
 
@@ -23,6 +23,8 @@ PLAIN, DEFLATE = 1, 8
 #: Tags of the format: fixed values.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, OFFSETS, SAMPLES, ROWS, COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279
 SHORT, LONG = 3, 4
+#: Pixels of a partition, what opening a file counts as, and pixels of a batch of rows.
+PARTITION, OPENING, BATCH = 1 << 20, 1 << 12, 1 << 16
 
 
 def local(path: str) -> str:
@@ -89,9 +91,17 @@ def layout(path: str) -> Layout:
 
 @dataclass
 class Strips(InputPartition):
-    path: str
-    first: int
-    last: int
+    """Runs of strips (path, first, last) of one or more files; first and last count them all."""
+
+    runs: list[tuple[str, int, int]]
+
+    @property
+    def first(self) -> int:
+        return 0
+
+    @property
+    def last(self) -> int:
+        return sum(b - a for _, a, b in self.runs)
 
 
 class Reader(DataSourceReader):
@@ -101,27 +111,53 @@ class Reader(DataSourceReader):
         self.columns = [int(options.get("c0", 0)), int(options.get("c1", 1 << 31))]
 
     def partitions(self) -> list[Strips]:
-        out, most = [], int(self.options.get("strips", 16))
+        """Small files share a partition: as many of them as cost, with their opening, PARTITION pixels."""
+        out, most, room = [], int(self.options.get("strips", 16)), 0
         for name in sorted(n for n in os.listdir(self.path) if n.lower().endswith((".tif", ".tiff"))):
             of = layout(path := f"{self.path}/{name}")
             first, last = self.rows[0] // of.rows, min(-(-min(self.rows[1], of.height) // of.rows), len(of.starts))
-            out += [Strips(path, a, min(a + most, last)) for a in range(max(0, first), last, most)]
+            for a in range(max(0, first), last, most):
+                b = min(a + most, last)
+                cost = OPENING + (b - a) * of.rows * of.width
+                if room < cost:
+                    out.append(Strips([]))
+                    room = PARTITION
+                out[-1].runs.append((path, a, b))
+                room -= cost
         return out
 
     def read(self, partition: Strips | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # no strip is wanted
             return
-        of = layout(partition.path)
-        name = os.path.basename(partition.path)
-        with open(partition.path, "rb") as f:
-            for k in range(partition.first, partition.last):
+        grids, n = [], 0
+        for run in partition.runs:
+            for grid in self._grids(*run):
+                grids.append(grid)
+                n += len(grid[3])
+                if n >= BATCH:
+                    yield self._batch(grids)
+                    grids, n = [], 0
+        if n:
+            yield self._batch(grids)
+
+    def _grids(self, path: str, first: int, last: int) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+        """name, r, c, value of the window's part of each strip."""
+        of = layout(path)
+        with open(path, "rb") as f:
+            for k in range(first, last):
                 f.seek(of.starts[k])
                 data = f.read(of.sizes[k])
                 grid = np.frombuffer(zlib.decompress(data) if of.compression == DEFLATE else data, np.uint8).reshape(-1, of.width)
                 r, c = np.arange(k * of.rows, k * of.rows + len(grid)), np.arange(of.width)
                 keep = (r >= self.rows[0]) & (r < self.rows[1]), (c >= self.columns[0]) & (c < self.columns[1])
                 grid, r, c = grid[keep[0]][:, keep[1]], r[keep[0]], c[keep[1]]
-                yield pa.RecordBatch.from_pydict({"name": pa.array([name] * grid.size, pa.string()), "r": pa.array(np.repeat(r, len(c)), pa.int32()), "c": pa.array(np.tile(c, len(r)), pa.int32()), "value": pa.array(grid.ravel(), pa.int32())})
+                yield os.path.basename(path), np.repeat(r, len(c)), np.tile(c, len(r)), grid.ravel()
+
+    @staticmethod
+    def _batch(grids: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        names = pa.array([g[0] for g in grids], pa.string()).take(pa.array(np.repeat(np.arange(len(grids)), [len(g[3]) for g in grids])))
+        r, c, value = (pa.array(np.concatenate([g[k] for g in grids]), pa.int32()) for k in (1, 2, 3))
+        return pa.RecordBatch.from_pydict({"name": names, "r": r, "c": c, "value": value})
 
 
 class PushedReader(Reader):

@@ -49,3 +49,13 @@ def test_odd_files_are_refused(spark, tmp_path):
         rasters.Reader(str(tmp_path), {}).partitions()
     with pytest.raises(ValueError, match="mounted"):
         rasters.local("hdfs://x/y")
+
+
+def test_small_files_share_a_partition(tmp_path):
+    for k in range(600):
+        (tmp_path / f"{k}.tif").write_bytes(rasters.encode(bytes(64), 8, 8, 4, rasters.PLAIN))
+    parts = rasters.Reader(str(tmp_path), {"r0": "4"}).partitions()
+    assert len(parts) < 5 and sum(p.last - p.first for p in parts) == 600
+    runs = [run for p in parts for run in p.runs]
+    assert len(set(runs)) == 600 and {(a, b) for _, a, b in runs} == {(1, 2)}
+    assert sum(b.num_rows for p in parts for b in rasters.Reader(str(tmp_path), {"r0": "4"}).read(p)) == 600 * 32
