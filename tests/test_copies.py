@@ -1,5 +1,7 @@
 """Tables in which many rows are equal but for their ids: the same results as SQL, with each different row worked on once."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -62,3 +64,32 @@ def test_copies_in_cells_are_not_broadcast(spark, folder, name):
     got = registry.QUERIES[name](spark, folder)
     assert "Broadcast" not in got._jdf.queryExecution().sparkPlan().toString()
     assert rows(got.toPandas()) == sql(folder, name)
+
+
+@pytest.fixture
+def plain_plans(spark):
+    """Plans that show what is in generated code before they have run."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def held_together(df):
+    """The lists that are unfolded in one piece of generated code with a join, or with each other."""
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    parts = {}
+    for line in plan:
+        if part := re.search(r"\*\((\d+)\) (SortMergeJoin|Generate explode\(\w*s#)", line):
+            parts.setdefault(part[1], []).append(part[2])
+    return [p for p in parts.values() if len(p) > 1 and any(k.startswith("Generate") for k in p)]
+
+
+@pytest.mark.parametrize("name", ["jn10_jn16_clipped_pairs", "jn11_vg2_box_iou_pairs", "jn7_contains_join"])
+def test_copies_of_all_partners_are_not_held_together(spark, folder, plain_plans, name):
+    assert held_together(registry.QUERIES[name](spark, folder)) == []
+
+
+def test_lists_are_unfolded_in_full(spark):
+    rows_ = spark.createDataFrame([([1, 2, 3], [7, 8], "a"), ([4], [9], "b"), ([], [1], "c"), ([5], [], "d")], "ids array<long>, r_ids array<long>, v string")
+    got = sorted((r.id, r.r_id, r.v) for r in copies.unfolded(rows_, "id", "r_id").collect())
+    assert got == [(1, 7, "a"), (1, 8, "a"), (2, 7, "a"), (2, 8, "a"), (3, 7, "a"), (3, 8, "a"), (4, 9, "b")]
