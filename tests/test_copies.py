@@ -5,10 +5,11 @@ import re
 import duckdb
 import pytest
 
-from loamgrid.operators import copies
+from loamgrid.operators import copies, polygons
 from loamgrid.plans import grid_queries, polygon_queries, range_join, registry  # noqa: F401  registers the queries
 from loamgrid.sources.fixtures import boxes
 
+from .test_polygons import RINGS, inside
 from .test_queries import rows
 
 BOXES = ["jn7_contains_join", "jn9_intersects_mask", "jn10_jn16_clipped_pairs", "jn11_vg2_box_iou_pairs", "jn12_vg6_contiguous", "sc18_clip_dissolve"]
@@ -93,3 +94,28 @@ def test_lists_are_unfolded_in_full(spark):
     rows_ = spark.createDataFrame([([1, 2, 3], [7, 8], "a"), ([4], [9], "b"), ([], [1], "c"), ([5], [], "d")], "ids array<long>, r_ids array<long>, v string")
     got = sorted((r.id, r.r_id, r.v) for r in copies.unfolded(rows_, "id", "r_id").collect())
     assert got == [(1, 7, "a"), (1, 8, "a"), (2, 7, "a"), (2, 8, "a"), (3, 7, "a"), (3, 8, "a"), (4, 9, "b")]
+
+
+def test_copies_of_a_polygon_are_not_held_together(spark, folder, plain_plans):
+    assert held_together(registry.QUERIES["jn7_points_in_polygons"](spark, folder)) == []
+
+
+def test_pairs_of_points_and_polygons_are_dealt_by_number(spark, folder):
+    got = registry.QUERIES["jn7_points_in_polygons"](spark, folder)
+    assert got._jdf.queryExecution().toRdd().getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_rings_are_not_sorted(spark, folder):
+    plan = registry.QUERIES["jn7_points_in_polygons"](spark, folder)._jdf.queryExecution().sparkPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 4 and not any("geometry" in line for line in windows)
+
+
+def test_shapes_of_the_same_corners_are_told_apart(spark):
+    a, b, shifted = [(0, 0), (8, 0), (8, 8), (0, 8), (0, 0)], [(2, 2), (6, 2), (6, 6), (2, 6), (2, 2)], [(4, 4), (12, 4), (12, 12), (4, 12), (4, 4)]
+    shapes = [[a, b], [a + b], [b, a], [a], None, [], [shifted]]
+    features = [(10 * k + i, None if s is None else [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in s]) for k, s in enumerate(shapes) for i in range(3)]
+    points = [(1000 + k, x / 2 + 0.25, y / 2 + 0.25) for k, (x, y) in enumerate([(x, y) for x in range(24) for y in range(24)] * 2)]
+    found = polygons.points_in(spark.createDataFrame(points, "id int, x double, y double"), spark.createDataFrame(features, f"key int, geometry {RINGS}").repartition(3), "key", 1.0, 2)
+    want = sorted((p, 10 * k + i) for p, x, y in points for k, s in enumerate(shapes) if s and inside(s, x, y) for i in range(3))
+    assert sorted((r.id, r.key) for r in found.collect()) == want
